@@ -177,7 +177,7 @@ def q_jdbc_wordcount(spark, sf_dir):
     jdbc_execute(spark, DERBY_URL, [f'CREATE TABLE {dst} ("word" VARCHAR(1024) NOT NULL PRIMARY KEY, "cnt" BIGINT)'],
                  DERBY_PROPS)
     counts = jobs.wordcount(jdbc_table(spark, DERBY_URL, src, "id", properties=DERBY_PROPS, num_partitions=8))
-    jdbc_upsert(counts, DERBY_URL, dst, ["word"], DERBY_PROPS, batch_id=0, column_types="word VARCHAR(1024)")
+    jdbc_upsert(counts, DERBY_URL, dst, ["word"], DERBY_PROPS, batch_id=0, casts={"word": "VARCHAR(1024)"})
     return jdbc_table(spark, DERBY_URL, dst, properties=DERBY_PROPS)
 
 
