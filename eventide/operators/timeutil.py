@@ -51,3 +51,20 @@ def with_event_time(df: DataFrame, ts: str = "ts", delay: str = "5 seconds") ->
     if is_ntz(df, ts):
         df = df.withColumn(ts, F.col(ts).cast("timestamp"))
     return df.withWatermark(ts, delay)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give a fan-out step (hop expansion, token explode) enough input tasks.
+
+    A step that multiplies each row should not run in fewer tasks than the
+    cluster has cores.  Large inputs already arrive in many splits and pass
+    through unchanged (no shuffle); a small or unsplittable input (one
+    row group, one multi-line CSV) is spread round-robin first.  Streams
+    pass through (their parallelism is set by the source).
+    """
+    if df.isStreaming:
+        return df
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n)
+    return df

@@ -38,7 +38,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.operators.timeutil import duration_micros, from_micros, is_ntz, to_micros
+from eventide.operators.timeutil import duration_micros, from_micros, is_ntz, spread, to_micros
 
 
 @dataclass(frozen=True)
@@ -110,6 +110,8 @@ def hop_agg(df: DataFrame, ts: str, size: str, slide: str, keys: list[str], aggs
     size_us, slide_us = duration_micros(size), duration_micros(slide)
     if strategy == "auto":
         strategy = "panes" if size_us % slide_us == 0 and size_us // slide_us >= 8 else "direct"
+    if size_us != slide_us:
+        df = spread(df)  # each row becomes size/slide window rows
     if strategy == "direct" or size_us == slide_us:
         w = F.window(ts, size, slide).alias("_w")
         return df.groupBy(w, *keys).agg(*[_direct(a) for a in aggs]).select(*_bounds("_w", keys, aggs))
