@@ -17,6 +17,8 @@ NULL in gives NULL out.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, SparkSession
@@ -49,9 +51,9 @@ def hash_code(c, factor: int = DEFAULT_FACTOR) -> Column:
         # |h| < 2**61 so 3*h fits; the shift then wraps exactly like a long multiply.
         return F.shiftleft(h * F.lit(3), 2)
     # generic factor: exact product in DECIMAL(38,0), then wrap into 64 bits
-    prod = h.cast("decimal(38,0)") * F.lit(factor).cast("decimal(38,0)")
-    two64 = F.lit(1 << 64).cast("decimal(38,0)")
-    two63 = F.lit(1 << 63).cast("decimal(38,0)")
+    prod = h.cast("decimal(38,0)") * F.lit(Decimal(factor)).cast("decimal(38,0)")
+    two64 = F.lit(Decimal(1 << 64)).cast("decimal(38,0)")
+    two63 = F.lit(Decimal(1 << 63)).cast("decimal(38,0)")
     return (F.pmod(prod + two63, two64) - two63).cast("bigint")
 
 

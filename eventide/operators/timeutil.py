@@ -47,7 +47,12 @@ def with_event_time(df: DataFrame, ts: str = "ts", delay: str = "5 seconds") ->
 
     Spark's watermark needs a TIMESTAMP column; TIMESTAMP_NTZ input is cast
     (exact, the session zone is UTC) and window bounds are cast back later.
+    Declare it at the source, before filters, as a table's WATERMARK clause
+    does: the watermark then follows the newest row of the whole source.
+    A column that already carries a watermark is left as it is.
     """
+    if "spark.watermarkDelayMs" in df.schema[ts].metadata:
+        return df
     if is_ntz(df, ts):
         df = df.withColumn(ts, F.col(ts).cast("timestamp"))
     return df.withWatermark(ts, delay)

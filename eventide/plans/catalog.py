@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions import hash_code_udf, register_sql_functions, schemas
 from eventide.operators import cdc, explode_json, register_split_dict
-from eventide.operators.timeutil import duration_micros
+from eventide.operators.timeutil import duration_micros, with_event_time
 from eventide.operators.windows import count_, max_, min_, avg_
 from eventide.plans import adapters, jobs
 from eventide.session import shared_path
@@ -196,11 +196,15 @@ def q_cdc_jdbc(spark, sf_dir):
 # --- stream queries ---------------------------------------------------------------
 
 def _cpu_stream(spark, sf_dir):
-    return adapters.cpu_usage(_t(spark, sf_dir, "events", stream=True))
+    """Metric stream with its watermark declared at the source."""
+    return with_event_time(adapters.cpu_usage(_t(spark, sf_dir, "events", stream=True)), "ts",
+                           schemas.WATERMARK_DELAY)
 
 
 def _actions_stream(spark, sf_dir):
-    return adapters.user_actions(_t(spark, sf_dir, "events", stream=True))
+    """Click stream with its watermark declared at the source (before any filter)."""
+    return with_event_time(adapters.user_actions(_t(spark, sf_dir, "events", stream=True)), "ts",
+                           schemas.WATERMARK_DELAY)
 
 
 def q_stream_cpu_tumbling(spark, sf_dir):
@@ -267,7 +271,7 @@ def q_stream_restart(spark, sf_dir):
         out = None
         for batch in ((0, 1), (2, 3)):
             _write_quarters(spark, sf_dir, f"{base}/src", order=batch)
-            stream = adapters.cpu_usage(parquet_dir(spark, f"{base}/src/*", ev_schema, stream=True))
+            stream = with_event_time(adapters.cpu_usage(parquet_dir(spark, f"{base}/src/*", ev_schema, stream=True)))
             out = sjobs.run_window_agg(stream, "hop", ["cluster_name"], [count_("cnt")], jobs.SLIDE_SIZE,
                                        jobs.SLIDE_STEP, path=f"{base}/out")
     finally:
