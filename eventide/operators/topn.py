@@ -47,23 +47,28 @@ def running_topn(df: DataFrame, group_col: str, item_col: str, n: int = 10) -> D
     return rank_counts(counts, [group_col], item_col, n)
 
 
-def topn_json_from_ranked(ranked: DataFrame, group_cols: list[str], item_col: str,
+def topn_json_from_counts(counts: DataFrame, group_cols: list[str], item_col: str, n: int,
                           alias: str = "top10") -> DataFrame:
-    """Fold ranked rows (at most n per group) into ``{"item": cnt, ...}`` in rank order.
+    """``{"item": cnt, ...}`` of the top ``n`` items per group, in rank order.
 
-    The collected list is bounded by n per group because ``ranked`` already went
-    through the top-n limit.  A NULL item is written as the key ``"null"``.
+    Two window passes share one partitioning and sort (group, cnt DESC,
+    item): ``row_number`` (planned as ``WindowGroupLimit``, n rows per group
+    and task before the shuffle), then a whole-partition ``collect_list`` of
+    the at most n surviving rows.  No aggregation buffer, no extra sort or
+    shuffle.  A NULL item is written as the key ``"null"``.
     """
-    entries = F.sort_array(F.collect_list(F.struct(
-        (-F.col("cnt")).alias("k"), F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("name"),
-        F.col("cnt").alias("cnt"))))
-    pairs = F.transform(entries, lambda e: F.struct(e["name"], e["cnt"]))
-    return ranked.groupBy(*group_cols).agg(F.to_json(F.map_from_entries(pairs)).alias(alias))
+    order = [F.col("cnt").desc(), F.col(item_col).asc()]
+    w = Window.partitionBy(*group_cols).orderBy(*order)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    entry = F.struct(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("k"), F.col("cnt").alias("v"))
+    ranked = counts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
+    listed = ranked.withColumn("_top", F.collect_list(entry).over(whole)).where(F.col("_rn") == 1)
+    return listed.select(*group_cols, F.to_json(F.map_from_entries("_top")).alias(alias))
 
 
 def topn_json(df: DataFrame, ts: str, size: str, slide: str, group_col: str, item_col: str,
               n: int = 10, alias: str = "top10", strategy: str = "auto") -> DataFrame:
     """Aggregate function form of top-N: one JSON text per (window, group)."""
-    ranked = window_topn(df, ts, size, slide, [group_col], item_col, n, strategy)
-    out = topn_json_from_ranked(ranked, ["start_time", "end_time", group_col], item_col, alias)
+    counts = window_counts(df, ts, size, slide, [group_col], item_col, strategy)
+    out = topn_json_from_counts(counts, ["start_time", "end_time", group_col], item_col, n, alias)
     return out.select(group_col, alias, "start_time", "end_time")

@@ -12,17 +12,22 @@ Plans
   each row into size/slide copies before the partial aggregate.
   ``strategy="panes"`` first aggregates slide-wide panes per key (partial
   aggregate, one row per non-empty (pane, key)), then expands panes into
-  windows: the fan-out applies to panes instead of rows.  Worth it when many
-  rows share a (pane, key); the default ``"auto"`` picks panes for a
-  size/slide ratio of 8 or more.
+  windows: the fan-out applies to panes instead of rows.  Worth it only when
+  many rows share a (pane, key) (dense streams, few keys); on sparse data it
+  adds a shuffle and the expansion runs after it, in as many tasks as AQE
+  leaves to the small pane table.  ``"auto"`` therefore means ``"direct"``;
+  pass ``"panes"`` for dense input.
 * ``session_agg(strategy="buckets")``: skew-safe sessions.  Two events closer
   than ``gap`` belong to one session, so all events of a key inside one
   gap-wide time bucket share a session: they are pre-aggregated to one row
-  per (key, bucket) with a partial aggregate.  Session starts are found by an
-  equi-join with the previous bucket of the same key (an empty previous
-  bucket always means a gap larger than ``gap``).  Session ids are a running
-  max of starts, computed in two levels (inside chunks of ``chunk`` buckets,
-  then a carry across chunks), so no task ever holds all rows of a hot key.
+  per (key, bucket) with a partial aggregate.  Buckets are cut into chunks of
+  ``chunk`` consecutive buckets; inside a chunk a window (bounded: at most
+  ``chunk`` rows) compares each bucket with the previous one (an empty
+  bucket between always means a gap larger than ``gap``) and keeps a
+  running max of session starts.  A per-chunk summary (a few rows per key)
+  links chunks: does the first bucket start a session, and what is the last
+  start of all earlier chunks.  One join back to that summary gives every
+  bucket its session, so no task ever holds all rows of a hot key.
   ``strategy="native"`` uses Spark's ``session_window`` (one sorted run per
   key); streams use it (see ``eventide.streaming``).
 
@@ -109,7 +114,7 @@ def hop_agg(df: DataFrame, ts: str, size: str, slide: str, keys: list[str], aggs
             strategy: str = "auto") -> DataFrame:
     size_us, slide_us = duration_micros(size), duration_micros(slide)
     if strategy == "auto":
-        strategy = "panes" if size_us % slide_us == 0 and size_us // slide_us >= 8 else "direct"
+        strategy = "direct"
     if size_us != slide_us:
         df = spread(df)  # each row becomes size/slide window rows
     if strategy == "direct" or size_us == slide_us:
@@ -137,37 +142,45 @@ def session_agg(df: DataFrame, ts: str, gap: str, keys: list[str], aggs: list[Ag
     g = duration_micros(gap)
     ntz = is_ntz(df, ts)
     t = to_micros(F.col(ts))
-    # 1. exact pre-aggregation per (key, gap-wide bucket)
+    # 1. exact pre-aggregation per (key, gap-wide bucket); buckets are grouped
+    #    into chunks of `chunk` consecutive buckets
     parts = (df.where(F.col(ts).isNotNull())
              .groupBy(*keys, F.floor(t / F.lit(g)).alias("_b"))
              .agg(F.min(t).alias("_lo"), F.max(t).alias("_hi"),
-                  *[c for a in aggs for c in _partial(a)]))
-    # 2. a bucket starts a session unless the previous bucket of the key ends within gap
+                  *[c for a in aggs for c in _partial(a)])
+             .withColumn("_c", F.floor(F.col("_b") / F.lit(chunk))))
     pcols = [c for c in parts.columns if c.startswith("_p_")]
-    prev = parts.select(*keys, (F.col("_b") + 1).alias("_b"), F.col("_hi").alias("_prev_hi"))
-    a, p = parts.alias("a"), prev.alias("p")
-    cond = [F.col(f"a.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys] + [F.col("a._b") == F.col("p._b")]
-    flagged = (a.join(p, cond, "left")
-               .select(*[F.col(f"a.{k}").alias(k) for k in keys], "a._b", "a._lo", "a._hi",
-                       *[F.col(f"a.{c}") for c in pcols],
-                       F.when(F.col("p._prev_hi").isNull() | (F.col("a._lo") - F.col("p._prev_hi") > g),
-                              F.col("a._b")).alias("_start"))
-               .withColumn("_c", F.floor(F.col("_b") / F.lit(chunk))))
-    # 3. session id = last start at or before the bucket: running max inside a
-    #    chunk, plus the last start of earlier chunks for buckets before the
-    #    chunk's first start.
-    in_chunk = Window.partitionBy(*keys, "_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    local = flagged.withColumn("_sid", F.max("_start").over(in_chunk))
-    carry = (local.groupBy(*keys, "_c").agg(F.max("_start").alias("_cl"))
-             .withColumn("_carry", F.max("_cl").over(
-                 Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)))
-             .select(*keys, "_c", "_carry"))
-    lo, ca = local.alias("l"), carry.alias("c")
-    cond2 = [F.col(f"l.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys] + [F.col("l._c") == F.col("c._c")]
-    sessions = (lo.join(ca, cond2, "left")
+    # 2. inside a chunk (at most `chunk` rows): a bucket starts a session when the
+    #    previous bucket is not adjacent (an empty bucket between means a gap
+    #    over `gap`) or ends more than `gap` before it; running max of starts.
+    w = Window.partitionBy(*keys, "_c").orderBy("_b")
+    local = (parts
+             .withColumn("_is_first", F.lag("_b").over(w).isNull())
+             .withColumn("_start", F.when(~F.col("_is_first") & (
+                 (F.lag("_b").over(w) != F.col("_b") - 1) | (F.col("_lo") - F.lag("_hi").over(w) > g)), F.col("_b")))
+             .withColumn("_sid", F.max("_start").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    # 3. per chunk: its first and last bucket and last local start; across the
+    #    chunks of a key (a few rows per key): whether the first bucket starts a
+    #    session, and the last start of all earlier chunks.
+    wc = Window.partitionBy(*keys).orderBy("_c")
+    chunks = (local.groupBy(*keys, "_c").agg(
+                  F.min("_b").alias("_fb"), F.min("_lo").alias("_flo"), F.max("_b").alias("_lb"),
+                  F.max("_hi").alias("_lhi"), F.max("_start").alias("_ls"))
+              .withColumn("_first_start", F.lag("_lb").over(wc).isNull()
+                          | (F.lag("_lb").over(wc) != F.col("_fb") - 1)
+                          | (F.col("_flo") - F.lag("_lhi").over(wc) > g))
+              .withColumn("_last_start", F.coalesce(
+                  "_ls", F.when(F.col("_first_start"), F.col("_fb"))))
+              .withColumn("_carry", F.max("_last_start").over(
+                  wc.rowsBetween(Window.unboundedPreceding, -1)))
+              .select(*keys, "_c", "_fb", "_first_start", "_carry"))
+    lo, ch = local.alias("l"), chunks.alias("c")
+    cond = [F.col(f"l.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys] + [F.col("l._c") == F.col("c._c")]
+    sessions = (lo.join(ch, cond, "inner")
                 .select(*[F.col(f"l.{k}").alias(k) for k in keys], "l._lo", "l._hi",
                         *[F.col(f"l.{c}") for c in pcols],
-                        F.coalesce(F.col("l._sid"), F.col("c._carry")).alias("_session")))
+                        F.coalesce(F.col("l._sid"), F.when(F.col("c._first_start"), F.col("c._fb")),
+                                   F.col("c._carry")).alias("_session")))
     # 4. merge the bucket partials of each session
     out = sessions.groupBy(*keys, "_session").agg(
         F.min("_lo").alias("_s"), F.max("_hi").alias("_e"), *[_merge(a) for a in aggs])
