@@ -124,3 +124,71 @@ def run_cdc_snapshot(changes: DataFrame, opts: rt.StreamOptions | None = None,
     if state is None:
         return spark.createDataFrame([], schemas.WORDS_JDBC)
     return cdc.live_rows(state)
+
+
+def run_jdbc_wordcount(words: DataFrame, url: str, table: str, properties: dict | None = None,
+                       opts: rt.StreamOptions | None = None, checkpoint: str | None = None,
+                       casts: dict | None = None):
+    """Streaming word count upserted into a JDBC table keyed by word.
+
+    Update mode: each micro-batch carries the new totals of the words it
+    touched; ``jdbc_upsert`` merges them in one transaction together with the
+    batch id, so a batch replayed after a restart is applied once.
+    """
+    from eventide.operators import word_count
+    from eventide.sinks import jdbc_upsert
+
+    spark = words.sparkSession
+    checkpoint = checkpoint or shared_path(spark, "jdbc-wordcount") + "/_checkpoint"
+    opts = opts or rt.StreamOptions()
+    opts.output_mode = "update"
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        jdbc_upsert(batch, url, table, ["word"], properties, batch_id=batch_id, casts=casts)
+
+    q = rt.start_foreach_batch(word_count(words), upsert, checkpoint, opts)
+    if opts.trigger in ("availableNow", "once"):
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    return q
+
+
+def run_cdc_jdbc(changes: DataFrame, url: str, table: str, properties: dict | None = None,
+                 opts: rt.StreamOptions | None = None, checkpoint: str | None = None):
+    """Change-record stream mirrored into a JDBC table (``cdc_jdbc.apply_folded``).
+
+    Each micro-batch is folded to one row per key, then applied with the
+    ``seq`` guard; replays and out-of-order batches leave the same table.
+    """
+    from eventide.sinks.cdc_jdbc import apply_folded
+
+    spark = changes.sparkSession
+    checkpoint = checkpoint or shared_path(spark, "cdc-jdbc") + "/_checkpoint"
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        apply_folded(cdc.fold_changes(batch), url, table, properties)
+
+    q = rt.start_foreach_batch(changes, apply, checkpoint, opts)
+    if (opts or rt.StreamOptions()).trigger in ("availableNow", "once"):
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    return q
+
+
+def run_click_rank(actions: DataFrame, path: str | None = None, n: int = 5,
+                   size: str = "60 seconds", slide: str = "1 second", opts: rt.StreamOptions | None = None):
+    """The click-rank job: two sinks fed by one source (clicks per sex, and top-n
+    names per sex, both per hop window).  Two streaming queries, each with its
+    own checkpoint; returns the two result tables."""
+    from eventide.operators import live_clicks
+
+    spark = actions.sparkSession
+    path = path or shared_path(spark, "click-rank")
+    src = with_event_time(actions, "ts", schemas.WATERMARK_DELAY)
+    clicks = live_clicks(src)
+    counts = run_window_agg(clicks, "hop", ["sex"], [count_("cnt")], size, slide, opts, path=f"{path}/sex_count")
+    top = run_window_topn(clicks, size, slide, ["sex"], "name", n, opts, path=f"{path}/sex_topn")
+    return (counts.select("sex", "cnt", "start_time", "end_time"),
+            top.select("start_time", "end_time", "sex", "name", "cnt"))

@@ -84,7 +84,10 @@ def run_to_table(df: DataFrame, name: str, spark: SparkSession | None = None,
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return spark.read.parquet(f"{path}/data")
+    fs, p, _ = _fs(spark, f"{path}/data")
+    if not fs.exists(p):  # no batch has committed output yet
+        return spark.createDataFrame([], df.schema)
+    return spark.read.schema(df.schema).parquet(f"{path}/data")
 
 
 # --- versioned tables written from foreachBatch -----------------------------------
@@ -159,3 +162,25 @@ def ntz_bounds(df: DataFrame) -> DataFrame:
         if c in df.columns:
             df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
     return df
+
+
+def copy_checkpoint(spark: SparkSession, src: str, dst: str) -> str:
+    """Copy a *stopped* query's checkpoint (offsets, commits, state) to ``dst``.
+
+    The copy is a restore point: a query started later on ``dst`` resumes
+    exactly where the stopped one was, e.g. after an upgrade, while the
+    original checkpoint keeps running or is rolled back to.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    sp, dp = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(sp.getFileSystem(conf), sp, dp.getFileSystem(conf), dp, False, conf)
+    return dst
+
+
+def start_console(df: DataFrame, checkpoint: str, output_mode: str = "append", trigger: str = "availableNow",
+                  num_rows: int = 20) -> StreamingQuery:
+    """The ``print`` sink for streams (inspection only: rows go to the driver log)."""
+    w = (df.writeStream.format("console").option("checkpointLocation", checkpoint)
+         .option("numRows", num_rows).option("truncate", False).outputMode(output_mode))
+    return _apply_trigger(w, trigger).start()
