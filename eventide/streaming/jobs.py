@@ -108,22 +108,27 @@ def cdc_step(prev: DataFrame | None, batch: DataFrame) -> DataFrame:
 
 
 def run_cdc_snapshot(changes: DataFrame, opts: rt.StreamOptions | None = None,
-                     path: str | None = None) -> DataFrame:
-    """Fold a change-record stream into a versioned keyed snapshot; return live rows.
+                     path: str | None = None, buckets: int = 64) -> DataFrame:
+    """Fold a change-record stream into a keyed snapshot table; return its live rows.
 
-    Each micro-batch folds its changes into the previous committed snapshot
-    (tombstones kept) and writes ``v=<batch_id>``.
+    Each micro-batch rewrites only the key-hash buckets it touches
+    (``sinks.cdc_files.fold_into_buckets``); tombstones are kept so records
+    arriving out of ``seq`` order never revive a deleted key.
     """
+    from eventide.sinks.cdc_files import fold_into_buckets, read_snapshot
+
     spark = changes.sparkSession
     path = path or shared_path(spark, "cdc")
-    q = rt.start_foreach_batch(changes, rt.versioned_fold(f"{path}/state", cdc_step), f"{path}/_checkpoint", opts)
+    table = f"{path}/table"
+    fn = lambda batch, batch_id: fold_into_buckets(batch, table, buckets)
+    q = rt.start_foreach_batch(changes, fn, f"{path}/_checkpoint", opts)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    state = rt.read_version(spark, f"{path}/state")
-    if state is None:
+    fs, p, _ = rt._fs(spark, table)
+    if not fs.exists(p):
         return spark.createDataFrame([], schemas.WORDS_JDBC)
-    return cdc.live_rows(state)
+    return read_snapshot(spark, table)
 
 
 def run_jdbc_wordcount(words: DataFrame, url: str, table: str, properties: dict | None = None,

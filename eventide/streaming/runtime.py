@@ -38,6 +38,26 @@ class StreamOptions:
     trigger: str = "availableNow"       # or an interval such as "10 seconds"
     output_mode: str = "append"
     query_name: str | None = None
+    # State/shuffle partitions of the query, fixed in its checkpoint at the
+    # first start.  None keeps the session's setting; "auto" uses the
+    # cluster's parallelism (total cores), which scales with the cluster.
+    state_partitions: int | str | None = "auto"
+
+
+def _start(writer, spark: SparkSession, opts: StreamOptions) -> StreamingQuery:
+    """Start with ``opts.state_partitions`` in effect (the query clones the session conf)."""
+    n = opts.state_partitions
+    if n == "auto":
+        n = spark.sparkContext.defaultParallelism
+    if n is None:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
 
 
 def _apply_trigger(writer, trigger: str):
@@ -59,7 +79,7 @@ def start_files(df: DataFrame, path: str, fmt: str = "parquet", opts: StreamOpti
         w = w.partitionBy(*partition_by)
     if opts.query_name:
         w = w.queryName(opts.query_name)
-    return _apply_trigger(w, opts.trigger).start()
+    return _start(_apply_trigger(w, opts.trigger), df.sparkSession, opts)
 
 
 def start_foreach_batch(df: DataFrame, fn, checkpoint: str, opts: StreamOptions | None = None) -> StreamingQuery:
@@ -67,7 +87,7 @@ def start_foreach_batch(df: DataFrame, fn, checkpoint: str, opts: StreamOptions
     w = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint).outputMode(opts.output_mode)
     if opts.query_name:
         w = w.queryName(opts.query_name)
-    return _apply_trigger(w, opts.trigger).start()
+    return _start(_apply_trigger(w, opts.trigger), df.sparkSession, opts)
 
 
 def run_to_table(df: DataFrame, name: str, spark: SparkSession | None = None,

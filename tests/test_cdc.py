@@ -66,3 +66,25 @@ def test_fold_equals_replay_in_order(spark, seed):
     batches = [recs[i::4] for i in range(4)]
     batches.append(batches[1])  # replay
     assert _fold_batches(spark, batches) == _apply_in_order(recs)
+
+
+def test_bucketed_snapshot_rewrites_touched_buckets_only(spark):
+    import glob
+    import tempfile
+
+    from eventide.sinks.cdc_files import fold_into_buckets, read_snapshot
+
+    path = tempfile.mkdtemp(prefix="eventide-cdcb-") + "/table"
+    snap = [rec("r", i, None, i, f"w{i}") for i in range(1, 41)]
+    assert fold_into_buckets(_df(spark, snap), path, buckets=8) == 8
+    files_before = {b: sorted(glob.glob(f"{path}/bucket={b}/*.parquet")) for b in range(8)}
+    b2 = [rec("u", 100, 7, 7, "seven"), rec("d", 101, 9, None, None)]
+    touched = fold_into_buckets(_df(spark, b2), path, buckets=8)
+    assert touched <= 2
+    changed = [b for b in range(8) if sorted(glob.glob(f"{path}/bucket={b}/*.parquet")) != files_before[b]]
+    assert len(changed) == touched
+    # out of order + replay
+    fold_into_buckets(_df(spark, [rec("u", 50, 7, 7, "older")]), path, buckets=8)
+    fold_into_buckets(_df(spark, b2), path, buckets=8)
+    got = dict(rows(read_snapshot(spark, path), "id", "word"))
+    assert got[7] == "seven" and 9 not in got and len(got) == 39
