@@ -197,3 +197,28 @@ def run_click_rank(actions: DataFrame, path: str | None = None, n: int = 5,
     top = run_window_topn(clicks, size, slide, ["sex"], "name", n, opts, path=f"{path}/sex_topn")
     return (counts.select("sex", "cnt", "start_time", "end_time"),
             top.select("start_time", "end_time", "sex", "name", "cnt"))
+
+
+def run_window_topn_json(stream: DataFrame, size: str, slide: str, group_col: str, item_col: str,
+                         n: int = 10, alias: str = "top10", opts: rt.StreamOptions | None = None,
+                         path: str | None = None) -> DataFrame:
+    """Top-n JSON text per (hop window, group) on a stream: the aggregate-function job.
+
+    Final window counts leave state once per window (append mode); each
+    micro-batch folds them to ``{"item": cnt, ...}`` in ``foreachBatch``.
+    """
+    from eventide.operators.topn import topn_json_from_counts
+
+    spark = stream.sparkSession
+    path = path or shared_path(spark, "stream-topn-json")
+    counts = window_agg_stream(stream, "hop", [group_col, item_col], [count_("cnt")], size, slide)
+
+    def fold(b: DataFrame) -> DataFrame:
+        out = topn_json_from_counts(b, ["start_time", "end_time", group_col], item_col, n, alias)
+        return out.select(group_col, alias, "start_time", "end_time")
+
+    q = rt.start_foreach_batch(counts, rt.batch_partitioned_writer(f"{path}/data", fold), f"{path}/_checkpoint", opts)
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return rt.read_batches(spark, f"{path}/data", fold(spark.createDataFrame([], counts.schema)).schema)
