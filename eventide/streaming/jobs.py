@@ -103,10 +103,6 @@ def run_running_topn(stream: DataFrame, group_col: str, item_col: str, n: int,
     return out
 
 
-def cdc_step(prev: DataFrame | None, batch: DataFrame) -> DataFrame:
-    return cdc.fold_changes(batch, prev)
-
-
 def run_cdc_snapshot(changes: DataFrame, opts: rt.StreamOptions | None = None,
                      path: str | None = None, buckets: int = 64) -> DataFrame:
     """Fold a change-record stream into a keyed snapshot table; return its live rows.

@@ -46,3 +46,9 @@ def test_message_roundtrip(spark):
     assert '"ts":"2024-03-01 10:00:01"' in text and '"is_delete":0' in text
     back = decode_json(msg, schemas.USER_ACTION).first()
     assert back["ts"] == dt.datetime(2024, 3, 1, 10, 0, 1) and back["sex"] == "男"
+
+
+def test_kafka_source_needs_connector(spark):
+    from eventide.sources import kafka_json
+    with pytest.raises(Exception, match="(?i)kafka"):
+        kafka_json(spark, "localhost:9092", "user_action", "g1")

@@ -41,3 +41,23 @@ def test_topn_plan_limits_before_shuffle(spark):
     df = _clicks(spark, [("m", "a", 3)])
     plan = window_topn(df, "ts", "1 hour", "1 hour", ["sex"], "name", n=2)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["m", "f", None]), st.sampled_from(list("abcdefg") + [None])),
+                min_size=1, max_size=60), st.integers(1, 4))
+def test_running_topn_equals_sort_and_slice(spark, events, n):
+    df = spark.createDataFrame([(name, sex) for sex, name in events], "name string, sex string")
+    got = rows(running_topn(df, "sex", "name", n), "sex", "name", "cnt")
+    counts = {}
+    for sex, name in events:
+        counts[(sex, name)] = counts.get((sex, name), 0) + 1
+    exp = []
+    for sex in {s for s, _ in counts}:
+        items = sorted(((name, c) for (s, name), c in counts.items() if s == sex),
+                       key=lambda x: (-x[1], (x[0] is not None, x[0] or "")))  # NULLs first, as in Spark ASC
+        exp += [(sex, name, c) for name, c in items[:n]]
+    assert got == sorted(exp, key=repr)
