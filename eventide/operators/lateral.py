@@ -42,9 +42,10 @@ def explode_json(df: DataFrame, col: str = "bs_info", keep: list[str] | None = N
     return df.select(*keep, gen(parse_json_array(col, strict)))
 
 
-@udtf(returnType=schemas.BS_INFO_ITEM.replace(" STRING", ": string").replace(" INT", ": int"))
+@udtf(returnType=schemas.BS_INFO_ITEM.replace(" STRING", ": string").replace(" INT", ": int"), useArrow=True)
 class SplitDict:
-    """Python table function: one output row per object of the JSON array text."""
+    """Python table function: one output row per object of the JSON array text
+    (Arrow-batched transport between the JVM and the Python worker)."""
 
     def eval(self, input_map):
         if input_map:
