@@ -41,6 +41,9 @@ def run_window_agg(stream: DataFrame, kind: str, keys: list[str], aggs: list[Agg
                    slide: str | None = None, opts: rt.StreamOptions | None = None,
                    path: str | None = None) -> DataFrame:
     out = window_agg_stream(stream, kind, keys, aggs, size, slide)
+    if kind == "session":
+        opts = opts or rt.StreamOptions()
+        opts.conf = {**rt.SESSION_LOCAL_MERGE, **opts.conf}
     return rt.run_to_table(out, f"stream-{kind}", opts=opts, path=path)
 
 

@@ -13,7 +13,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,22 +42,36 @@ class StreamOptions:
     # first start.  None keeps the session's setting; "auto" uses the
     # cluster's parallelism (total cores), which scales with the cluster.
     state_partitions: int | str | None = "auto"
+    # Extra SQL settings of this query only (fixed when it starts).
+    conf: dict = field(default_factory=dict)
+
+
+# Pre-merge session windows inside each partition before the shuffle to the
+# state store (a partial aggregate for sessions): a hot key then ships its
+# local sessions, not its rows.
+SESSION_LOCAL_MERGE = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
 
 
 def _start(writer, spark: SparkSession, opts: StreamOptions) -> StreamingQuery:
-    """Start with ``opts.state_partitions`` in effect (the query clones the session conf)."""
+    """Start with ``opts.state_partitions`` and ``opts.conf`` in effect: the query
+    clones the session conf when it starts, the session is restored after."""
+    conf = dict(opts.conf)
     n = opts.state_partitions
     if n == "auto":
         n = spark.sparkContext.defaultParallelism
-    if n is None:
-        return writer.start()
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+    if n is not None:
+        conf["spark.sql.shuffle.partitions"] = str(n)
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         return writer.start()
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def _apply_trigger(writer, trigger: str):
