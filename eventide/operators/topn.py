@@ -16,6 +16,9 @@ from eventide.operators.windows import count_, hop_agg
 
 def top_n(df: DataFrame, partition_cols: list[str], order_cols: list[Column], n: int,
           rank_col: str | None = None) -> DataFrame:
+    if df.isStreaming:
+        raise ValueError("ranking a stream: use eventide.streaming.jobs.run_window_topn / run_running_topn "
+                         "(they rank each micro-batch of final counts in foreachBatch)")
     w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
     ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
     if rank_col:

@@ -134,6 +134,8 @@ def hop_agg(df: DataFrame, ts: str, size: str, slide: str, keys: list[str], aggs
 
 def session_agg(df: DataFrame, ts: str, gap: str, keys: list[str], aggs: list[Agg],
                 strategy: str = "buckets", chunk: int = 1024) -> DataFrame:
+    if df.isStreaming:
+        strategy = "native"  # the bucket plan's joins and windows are batch-only
     if strategy == "native":
         w = F.session_window(ts, gap).alias("_w")
         return df.groupBy(*keys, w).agg(*[_direct(a) for a in aggs]).select(*_bounds("_w", keys, aggs))

@@ -78,3 +78,46 @@ def test_stream_topn_and_running_topn(spark):
     assert rows(top, "start_time", "name", "cnt") == [(T0, "b", 3), (T0 + dt.timedelta(minutes=1), "c", 3)]
     run = sjobs.run_running_topn(stream(), "sex", "name", 2)
     assert rows(run, "name", "cnt") == [("b", 3), ("c", 4)]
+
+
+def test_multi_batch_streams_equal_single_batch(spark):
+    """Four ts-ordered micro-batches give what one batch gives (no row is late)."""
+    from eventide.operators import live_clicks
+    from eventide.operators.timeutil import with_event_time
+    from eventide.plans import adapters, catalog
+    from eventide.sources.files import parquet_dir
+
+    sf = "/root/testdata/sf0.001"
+    base = tempfile.mkdtemp(prefix="eventide-mb-")
+    schema = catalog._write_quarters(spark, sf, f"{base}/src")
+    stream = lambda: parquet_dir(spark, f"{base}/src/*", schema, stream=True, max_files_per_trigger=1)
+    cpu = lambda: with_event_time(adapters.cpu_usage(stream()))
+    clicks = lambda: live_clicks(with_event_time(adapters.user_actions(stream())))
+    one = {k: catalog.queries()[k](spark, sf) for k in ("stream_cpu_sliding", "stream_cpu_session",
+                                                        "stream_sex_topn", "stream_running_topn")}
+    many = {
+        "stream_cpu_sliding": sjobs.run_window_agg(cpu(), "hop", ["cluster_name"], [count_("cnt")], "10 minutes",
+                                                   "60 seconds"),
+        "stream_cpu_session": sjobs.run_window_agg(cpu(), "session", ["cluster_name"], [count_("cnt")], "5 minutes"),
+        "stream_sex_topn": sjobs.run_window_topn(clicks(), "1 day", "1 hour", ["sex"], "name", 5),
+        "stream_running_topn": sjobs.run_running_topn(with_event_time(adapters.user_actions(stream())), "sex",
+                                                      "name", 10),
+    }
+    for k in one:
+        cols = sorted(one[k].columns)
+        assert rows(one[k].select(cols)) == rows(many[k].select(cols)), k
+
+
+def test_same_job_functions_on_streams(spark):
+    import pytest as _pytest
+
+    from eventide.operators import running_topn
+    from eventide.operators.timeutil import with_event_time
+    from eventide.plans import jobs
+
+    d = _write_batches([[(0, "c"), (200, "c")], [(900, "c")]])
+    cpu = with_event_time(decode_json(json_value_files(spark, d, stream=True), schemas.CPU_USAGE))
+    out = jobs.cpu_session(cpu)          # batch default (buckets) switches to the stream plan
+    assert out.isStreaming
+    with _pytest.raises(ValueError, match="foreachBatch"):
+        running_topn(cpu, "cluster_name", "host_ip", 3)
