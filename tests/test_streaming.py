@@ -121,3 +121,10 @@ def test_same_job_functions_on_streams(spark):
     assert out.isStreaming
     with _pytest.raises(ValueError, match="foreachBatch"):
         running_topn(cpu, "cluster_name", "host_ip", 3)
+
+
+def test_out_of_order_within_bound_is_kept(spark):
+    # 12 s arrives after 15 s but within the 5 s bound: counted in [10, 20)
+    d = _write_batches([[(1, "c"), (15, "c")], [(12, "c"), (14, "c")], [(40, "c")]])
+    out = sjobs.run_window_agg(_cpu_stream(spark, d), "tumble", ["cluster_name"], [count_("cnt")], "10 seconds")
+    assert rows(out, "start_time", "cnt") == [(T0, 1), (T0 + dt.timedelta(seconds=10), 3)]
