@@ -157,15 +157,28 @@ def write_version(df: DataFrame, path: str, version: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/v={version}")
 
 
-def versioned_fold(path: str, step):
+def drop_versions_before(spark: SparkSession, path: str, keep_from: int) -> None:
+    """Delete committed versions older than ``keep_from`` (their successors are committed)."""
+    fs, p, jvm = _fs(spark, path)
+    for v in committed_versions(spark, path):
+        if v < keep_from:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(p, f"v={v}"), True)
+
+
+def versioned_fold(path: str, step, retain: int = 2):
     """foreachBatch function: ``new = step(previous_version_or_None, batch_df)``,
     written as version ``v=<batch_id>``.  A replayed batch id reads the same
-    previous version and overwrites its own: idempotent."""
+    previous version and overwrites its own: idempotent.  Versions older than
+    the last ``retain`` committed ones are deleted (a replay of batch b needs
+    only the version before b)."""
 
     def _fn(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         prev = read_version(spark, path, before=batch_id)
         write_version(step(prev, batch_df), path, batch_id)
+        vs = [v for v in committed_versions(spark, path) if v <= batch_id]
+        if len(vs) > retain:
+            drop_versions_before(spark, path, vs[-retain])
 
     return _fn
 

@@ -128,3 +128,16 @@ def test_out_of_order_within_bound_is_kept(spark):
     d = _write_batches([[(1, "c"), (15, "c")], [(12, "c"), (14, "c")], [(40, "c")]])
     out = sjobs.run_window_agg(_cpu_stream(spark, d), "tumble", ["cluster_name"], [count_("cnt")], "10 seconds")
     assert rows(out, "start_time", "cnt") == [(T0, 1), (T0 + dt.timedelta(seconds=10), 3)]
+
+
+def test_versioned_fold_keeps_recent_versions(spark):
+    from eventide.streaming.runtime import committed_versions, read_version, versioned_fold
+
+    path = tempfile.mkdtemp(prefix="eventide-vf-") + "/t"
+    step = lambda prev, b: b if prev is None else prev.unionByName(b)
+    fn = versioned_fold(path, step)
+    for i in range(5):
+        fn(spark.createDataFrame([(i,)], "x int"), i)
+    fn(spark.createDataFrame([(4,)], "x int"), 4)   # replay of the last batch
+    assert committed_versions(spark, path) == [3, 4]
+    assert sorted(r.x for r in read_version(spark, path).collect()) == [0, 1, 2, 3, 4]
