@@ -268,23 +268,16 @@ def _write_quarters(spark, sf_dir, base, order=(0, 1, 2, 3), derive=None):
 
 def q_stream_restart(spark, sf_dir):
     """Sliding counts stopped after half the input and restarted from the checkpoint
-    (RocksDB state store)."""
+    (RocksDB state store with changelog checkpoints)."""
     base = shared_path(spark, "restart")
     ev_schema = _t(spark, sf_dir, "events").schema
-    prev = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    rt.use_rocksdb(spark)
-    try:
-        out = None
-        for batch in ((0, 1), (2, 3)):
-            _write_quarters(spark, sf_dir, f"{base}/src", order=batch)
-            stream = with_event_time(adapters.cpu_usage(parquet_dir(spark, f"{base}/src/*", ev_schema, stream=True)))
-            out = sjobs.run_window_agg(stream, "hop", ["cluster_name"], [count_("cnt")], jobs.SLIDE_SIZE,
-                                       jobs.SLIDE_STEP, path=f"{base}/out")
-    finally:
-        if prev:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", prev)
-        else:
-            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    out = None
+    for batch in ((0, 1), (2, 3)):
+        _write_quarters(spark, sf_dir, f"{base}/src", order=batch)
+        stream = with_event_time(adapters.cpu_usage(parquet_dir(spark, f"{base}/src/*", ev_schema, stream=True)))
+        out = sjobs.run_window_agg(stream, "hop", ["cluster_name"], [count_("cnt")], jobs.SLIDE_SIZE,
+                                   jobs.SLIDE_STEP, opts=rt.StreamOptions(conf=rt.rocksdb_conf()),
+                                   path=f"{base}/out")
     return out
 
 

@@ -24,12 +24,18 @@ from eventide.session import shared_path
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def rocksdb_conf(changelog: bool = True) -> dict:
+    """Settings of the RocksDB state store with incremental (changelog) checkpoints."""
+    return {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": str(changelog).lower()}
+
+
 def use_rocksdb(spark: SparkSession, changelog: bool = True) -> None:
-    """RocksDB state store with incremental (changelog) checkpoints.  Must be set
-    before a query first starts; the choice is then fixed in its checkpoint."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
-                   str(changelog).lower())
+    """RocksDB state store for every query started afterwards in this session.
+    (Per query: ``StreamOptions(conf=rocksdb_conf())``.)  The choice is fixed in
+    a query's checkpoint at its first start."""
+    for k, v in rocksdb_conf(changelog).items():
+        spark.conf.set(k, v)
 
 
 @dataclass
