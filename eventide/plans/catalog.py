@@ -10,6 +10,7 @@ compared with the batch oracle cut at the final watermark:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -170,7 +171,7 @@ def q_cdc_snapshot(spark, sf_dir):
 
 
 def q_jdbc_wordcount(spark, sf_dir):
-    tag = shared_path(spark, "x").rsplit("-", 1)[-1]
+    tag = uuid.uuid4().hex[:12]
     src, dst = f"words_{tag}", f"wordcount_{tag}"
     words = adapters.words(_t(spark, sf_dir, "events")).select(F.col("id").cast("int").alias("id"), "word")
     jdbc_write(words, DERBY_URL, src, "overwrite", DERBY_PROPS, column_types="word VARCHAR(1024)")
@@ -182,8 +183,7 @@ def q_jdbc_wordcount(spark, sf_dir):
 
 
 def q_cdc_jdbc(spark, sf_dir):
-    tag = shared_path(spark, "x").rsplit("-", 1)[-1]
-    table = f"words_cdc_{tag}"
+    table = f"words_cdc_{uuid.uuid4().hex[:12]}"
     create_cdc_tables(spark, DERBY_URL, table, DERBY_PROPS)
     changes = adapters.changes(_t(spark, sf_dir, "events"))
     # two halves applied newest first: the seq guard must keep the newest record
