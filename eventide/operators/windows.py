@@ -16,7 +16,8 @@ Plans
   many rows share a (pane, key) (dense streams, few keys); on sparse data it
   adds a shuffle and the expansion runs after it, in as many tasks as AQE
   leaves to the small pane table.  ``"auto"`` therefore means ``"direct"``;
-  pass ``"panes"`` for dense input.
+  pass ``"panes"`` for dense input (batch or stream: on a stream the two
+  aggregations are chained stateful operators linked by ``window_time``).
 * ``session_agg(strategy="buckets")``: skew-safe sessions.  Two events closer
   than ``gap`` belong to one session, so all events of a key inside one
   gap-wide time bucket share a session: they are pre-aggregated to one row
