@@ -237,6 +237,14 @@ def q_stream_sex_topn(spark, sf_dir):
     return out.select("start_time", "end_time", "sex", "name", "cnt")
 
 
+def q_stream_sex_topn_60s(spark, sf_dir):
+    """The window top-N job with the reference's own window (60 s / 1 s, top 5)."""
+    from eventide.operators import live_clicks
+    out = sjobs.run_window_topn(live_clicks(_actions_stream(spark, sf_dir)), jobs.CLICK_WINDOW, jobs.CLICK_SLIDE,
+                                ["sex"], "name", jobs.CLICK_TOP_SQL)
+    return out.select("start_time", "end_time", "sex", "name", "cnt")
+
+
 def q_stream_sex_top_json(spark, sf_dir):
     from eventide.operators import live_clicks
     return sjobs.run_window_topn_json(live_clicks(_actions_stream(spark, sf_dir)), jobs.CLICK_WINDOW,
@@ -327,6 +335,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_cpu_session": q_stream_cpu_session,
     "stream_sex_count": q_stream_sex_count,
     "stream_sex_topn": q_stream_sex_topn,
+    "stream_sex_topn_60s": q_stream_sex_topn_60s,
     "stream_sex_top_json": q_stream_sex_top_json,
     "stream_running_topn": q_stream_running_topn,
     "stream_restart": q_stream_restart,
@@ -440,6 +449,7 @@ _ORACLE = {
     "stream_cpu_session": f"SELECT * FROM ({_SESSION_CPU}) o WHERE {_CUT}",
     "stream_sex_count": f"SELECT * FROM ({_SEX_COUNT}) o WHERE {_CUT}",
     "stream_sex_topn": f"SELECT * FROM ({_topn(DAY, HOUR, 5)}) o WHERE {_CUT}",
+    "stream_sex_topn_60s": f"SELECT * FROM ({_topn(jobs.CLICK_WINDOW, jobs.CLICK_SLIDE, jobs.CLICK_TOP_SQL)}) o WHERE {_CUT}",
     "stream_sex_top_json": f"SELECT * FROM ({_top_json(jobs.CLICK_WINDOW, jobs.CLICK_SLIDE, jobs.CLICK_TOP_UDF)}) o WHERE {_CUT}",
     "stream_running_topn": _RUNNING,
     "stream_restart": f"SELECT * FROM ({_SLIDE_CPU}) o WHERE {_CUT}",
