@@ -9,6 +9,10 @@ newest ``seq`` per key wins), cut from their lineage with ``checkpoint()``
 partition overwrite.  The fold is idempotent, so a batch replayed after a
 failure that left some buckets rewritten converges to the same table.
 Readers see per-bucket atomicity only.
+
+Choose ``buckets`` so that one bucket holds roughly what a batch may rewrite
+(e.g. state size / 1 GB): a batch rewrites the buckets its keys hash to, and
+the list of touched buckets (at most ``buckets`` ints) goes through the driver.
 """
 
 from __future__ import annotations
@@ -43,15 +47,20 @@ def fold_into_buckets(changes: DataFrame, path: str, buckets: int = DEFAULT_BUCK
     touched = sorted(r[0] for r in folded.select("bucket").distinct().collect())
     if not touched:
         return 0
-    rows = folded
+    new = folded
     if _exists(spark, path):
         old = spark.read.parquet(path).where(F.col("bucket").isin(touched))
         rows = old.select(*folded.columns).unionByName(folded)
-    checkpoint_root(spark)  # make sure a (shared) checkpoint dir is set
-    new = (cdc.fold_changes(rows.drop("bucket"), None, key, value_cols, normalized=True)
-           .withColumn("bucket", _bucket(key, buckets))
-           .repartition("bucket")
-           .checkpoint())
+        checkpoint_root(spark)  # make sure a (shared) checkpoint dir is set
+        # the result overwrites the files it is computed from: cut the lineage first
+        new = (cdc.fold_changes(rows.drop("bucket"), None, key, value_cols, normalized=True)
+               .withColumn("bucket", _bucket(key, buckets))
+               .hint("rebalance", "bucket")
+               .checkpoint())
+    else:
+        new = new.hint("rebalance", "bucket")
+    # REBALANCE keeps a bucket's rows together (few files per bucket) while AQE
+    # splits a bucket that is too large for one task and merges small ones
     (new.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
      .partitionBy("bucket").parquet(path))
     return len(touched)
