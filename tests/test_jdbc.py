@@ -45,3 +45,17 @@ def test_cdc_apply_out_of_order(spark):
     for batch in (new, old, new):   # newest first, then older records, then a replay
         apply_folded(fold_changes(spark.createDataFrame(batch, schemas.CHANGE_RECORD)), URL, t, PROPS)
     assert rows(jdbc_table(spark, URL, t, properties=PROPS)) == [(1, "new"), (3, None), (4, "four")]
+
+
+def test_upsert_sql_dialects():
+    from eventide.sinks.jdbc import _merge_sql
+
+    m = _merge_sql("wc", "stg", ["word"], ["word", "cnt"], "merge", {"word": "VARCHAR(64)"})
+    assert m == ('MERGE INTO wc t USING stg s ON t."word" = CAST(s."word" AS VARCHAR(64)) '
+                 'WHEN MATCHED THEN UPDATE SET "cnt" = s."cnt" '
+                 'WHEN NOT MATCHED THEN INSERT ("word", "cnt") VALUES (CAST(s."word" AS VARCHAR(64)), s."cnt")')
+    assert _merge_sql("wc", "stg", ["word"], ["word", "cnt"], "mysql") == (
+        "INSERT INTO wc (`word`, `cnt`) SELECT `word`, `cnt` FROM stg ON DUPLICATE KEY UPDATE `cnt` = VALUES(`cnt`)")
+    assert _merge_sql("wc", "stg", ["word"], ["word", "cnt"], "postgres") == (
+        'INSERT INTO wc ("word", "cnt") SELECT "word", "cnt" FROM stg ON CONFLICT ("word") DO UPDATE SET '
+        '"cnt" = EXCLUDED."cnt"')
