@@ -69,18 +69,26 @@ def json_value_files(spark: SparkSession, path: str, stream: bool = False,
 
 
 def kafka_json(spark: SparkSession, servers: str, topic: str, group_id: str | None = None,
-               starting_offsets: str = "earliest", stream: bool = True, **options) -> DataFrame:
+               starting_offsets: str = "earliest", stream: bool = True,
+               max_offsets_per_trigger: int | None = None, min_partitions: int | None = None,
+               **options) -> DataFrame:
     """Kafka topic as a ``value STRING`` DataFrame (needs the Kafka connector jar).
 
     ``starting_offsets='earliest'`` applies on the first start only; after
-    that the stream resumes from its checkpoint.  Feed the result to
-    ``decode_json``.
+    that the stream resumes from its checkpoint.  ``max_offsets_per_trigger``
+    bounds a micro-batch (catch-up after downtime stays within memory);
+    ``min_partitions`` splits large topic partitions over more tasks.  Feed
+    the result to ``decode_json``.
     """
     r = (spark.readStream if stream else spark.read).format("kafka")
     r = r.option("kafka.bootstrap.servers", servers).option("subscribe", topic)
     r = r.option("startingOffsets", starting_offsets)
     if group_id:
         r = r.option("kafka.group.id", group_id)
+    if max_offsets_per_trigger and stream:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    if min_partitions:
+        r = r.option("minPartitions", min_partitions)
     for k, v in options.items():
         r = r.option(k, v)
     return r.load().select(F.col("value").cast("string").alias("value"))
