@@ -3,7 +3,7 @@
     python -m eventide wordcount --input words.csv [--output out_dir]
     python -m eventide click-rank --json-dir msgs/ --output out/ [--n 5]
     python -m eventide click-top-json --kafka host:9092 --topic user_action --output out/
-    python -m eventide running-topn --json-dir msgs/ --output out/ [--n 10]
+    python -m eventide running-topn --json-dir msgs/ --output out/ [--n 10] [--changelog]
     python -m eventide tumbling|sliding|session --json-dir metrics/ --output out/
     python -m eventide udf --input words.csv
     python -m eventide udtf --input input.csv [--outer]
@@ -59,6 +59,7 @@ def main(argv=None) -> None:
     ap.add_argument("--n", type=int); ap.add_argument("--rows", type=int, default=20)
     ap.add_argument("--url"); ap.add_argument("--source"); ap.add_argument("--sink"); ap.add_argument("--table")
     ap.add_argument("--changes"); ap.add_argument("--driver")
+    ap.add_argument("--changelog", action="store_true", help="running-topn: also write +/- change rows")
     ap.add_argument("--master")
     a = ap.parse_args(argv)
 
@@ -90,7 +91,7 @@ def main(argv=None) -> None:
         show(out, a.rows)
     elif a.job == "running-topn":
         show(sjobs.run_running_topn(_messages(spark, a, schemas.USER_ACTION), "sex", "name", a.n or 10,
-                                    opts=opts, path=a.output), a.rows)
+                                    opts=opts, path=a.output, changelog=a.changelog), a.rows)
     elif a.job in ("tumbling", "sliding", "session"):
         cpu = _messages(spark, a, schemas.CPU_USAGE)
         if a.job == "tumbling":

@@ -87,20 +87,50 @@ def running_topn_step(group_col: str, item_col: str, n: int):
     return step
 
 
+def topn_changes(prev: DataFrame | None, new: DataFrame, group_col: str, item_col: str) -> DataFrame:
+    """Rows that left (``op='-'``) or entered/changed (``op='+'``) the top-n table,
+    like an update stream printed as retractions and insertions."""
+    cols = [group_col, item_col, "cnt"]
+    added = new.select(*cols) if prev is None else new.select(*cols).exceptAll(prev.select(*cols))
+    out = added.withColumn("op", F.lit("+"))
+    if prev is not None:
+        out = prev.select(*cols).exceptAll(new.select(*cols)).withColumn("op", F.lit("-")).unionByName(out)
+    return out.select("op", *cols)
+
+
 def run_running_topn(stream: DataFrame, group_col: str, item_col: str, n: int,
-                     opts: rt.StreamOptions | None = None, path: str | None = None) -> DataFrame:
-    """Unwindowed top-n per group, updated on every micro-batch (no watermark)."""
+                     opts: rt.StreamOptions | None = None, path: str | None = None,
+                     changelog: bool = False) -> DataFrame:
+    """Unwindowed top-n per group, updated on every micro-batch (no watermark).
+
+    With ``changelog=True`` each micro-batch also writes the rows that left or
+    entered the top-n to ``<path>/changes/batch_id=<id>`` (``op`` '-' / '+').
+    """
     spark = stream.sparkSession
     path = path or shared_path(spark, "stream-running-topn")
     counts = stream.groupBy(group_col, item_col).agg(F.count(F.lit(1)).alias("cnt"))
     opts = opts or rt.StreamOptions()
     opts.output_mode = "update"
-    q = rt.start_foreach_batch(counts, rt.versioned_fold(f"{path}/table", running_topn_step(group_col, item_col, n)),
-                               f"{path}/_checkpoint", opts)
+    step = running_topn_step(group_col, item_col, n)
+    table = f"{path}/table"
+    if changelog:
+        def fold(batch: DataFrame, batch_id: int) -> None:
+            prev = rt.read_version(batch.sparkSession, table, before=batch_id)
+            new = step(prev, batch)
+            rt.write_version(new, table, batch_id)
+            new = rt.read_version(batch.sparkSession, table)  # the committed copy, not a recomputation
+            (topn_changes(prev, new, group_col, item_col).write.mode("overwrite")
+             .parquet(f"{path}/changes/batch_id={batch_id}"))
+            vs = [v for v in rt.committed_versions(batch.sparkSession, table) if v <= batch_id]
+            if len(vs) > 2:
+                rt.drop_versions_before(batch.sparkSession, table, vs[-2])
+    else:
+        fold = rt.versioned_fold(table, step)
+    q = rt.start_foreach_batch(counts, fold, f"{path}/_checkpoint", opts)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    out = rt.read_version(spark, f"{path}/table")
+    out = rt.read_version(spark, table)
     if out is None:
         return spark.createDataFrame([], f"{group_col} string, {item_col} string, cnt bigint")
     return out

@@ -158,3 +158,22 @@ def test_stream_panes_equal_direct(spark):
         res[st] = rt.run_to_table(rt.ntz_bounds(out), "panes-" + st)
     assert res["direct"].count() > 0
     assert rows(res["direct"]) == rows(res["panes"].select(res["direct"].columns))
+
+
+def test_running_topn_changelog(spark):
+    d = tempfile.mkdtemp(prefix="eventide-rchg-")
+    now = time.time() - 100
+    for i, b in enumerate([["a", "b"], ["b", "b"], ["c", "c", "c", "c"]]):
+        p = os.path.join(d, f"b{i}.json")
+        with open(p, "w") as f:
+            for name in b:
+                f.write(json.dumps({"name": name, "sex": "m", "action": "click", "is_delete": 0,
+                                    "ts": "2024-01-01 00:00:01"}) + "\n")
+        os.utime(p, (now + i, now + i))
+    path = tempfile.mkdtemp(prefix="eventide-rchg-out-")
+    stream = decode_json(json_value_files(spark, d, stream=True, max_files_per_trigger=1), schemas.USER_ACTION)
+    top = sjobs.run_running_topn(stream, "sex", "name", 1, path=path, changelog=True)
+    assert rows(top, "name", "cnt") == [("c", 4)]
+    ch = spark.read.parquet(f"{path}/changes")
+    got = sorted((r["batch_id"], r["op"], r["name"], r["cnt"]) for r in ch.collect())
+    assert got == [(0, "+", "a", 1), (1, "+", "b", 3), (1, "-", "a", 1), (2, "+", "c", 4), (2, "-", "b", 3)]
