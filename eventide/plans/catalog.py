@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.functions import hash_code_udf, register_sql_functions, schemas
-from eventide.operators import cdc, explode_json, register_split_dict
+from eventide.operators import cdc, live_clicks, register_split_dict
 from eventide.operators.timeutil import duration_micros, with_event_time
 from eventide.operators.windows import count_, max_, min_, avg_
 from eventide.plans import adapters, jobs
@@ -67,7 +67,6 @@ def q_sql_projection(spark, sf_dir):
 
 
 def q_click_filter(spark, sf_dir):
-    from eventide.operators import live_clicks
     return live_clicks(adapters.user_actions(_t(spark, sf_dir, "events"))).select("ts", "name", "sex")
 
 
@@ -225,28 +224,24 @@ def q_stream_cpu_session(spark, sf_dir):
 
 
 def q_stream_sex_count(spark, sf_dir):
-    from eventide.operators import live_clicks
     out = sjobs.run_window_agg(live_clicks(_actions_stream(spark, sf_dir)), "hop", ["sex"], [count_("cnt")],
                                jobs.CLICK_WINDOW, jobs.CLICK_SLIDE)
     return out.select("sex", "cnt", "start_time", "end_time")
 
 
 def q_stream_sex_topn(spark, sf_dir):
-    from eventide.operators import live_clicks
     out = sjobs.run_window_topn(live_clicks(_actions_stream(spark, sf_dir)), DAY, HOUR, ["sex"], "name", 5)
     return out.select("start_time", "end_time", "sex", "name", "cnt")
 
 
 def q_stream_sex_topn_60s(spark, sf_dir):
     """The window top-N job with the reference's own window (60 s / 1 s, top 5)."""
-    from eventide.operators import live_clicks
     out = sjobs.run_window_topn(live_clicks(_actions_stream(spark, sf_dir)), jobs.CLICK_WINDOW, jobs.CLICK_SLIDE,
                                 ["sex"], "name", jobs.CLICK_TOP_SQL)
     return out.select("start_time", "end_time", "sex", "name", "cnt")
 
 
 def q_stream_sex_top_json(spark, sf_dir):
-    from eventide.operators import live_clicks
     return sjobs.run_window_topn_json(live_clicks(_actions_stream(spark, sf_dir)), jobs.CLICK_WINDOW,
                                       jobs.CLICK_SLIDE, "sex", "name", jobs.CLICK_TOP_UDF)
 
