@@ -60,6 +60,8 @@ def main(argv=None) -> None:
     ap.add_argument("--url"); ap.add_argument("--source"); ap.add_argument("--sink"); ap.add_argument("--table")
     ap.add_argument("--changes"); ap.add_argument("--driver")
     ap.add_argument("--changelog", action="store_true", help="running-topn: also write +/- change rows")
+    ap.add_argument("--word-type", help="jdbc-wordcount: SQL type the staged word is cast to in the MERGE "
+                                        "(e.g. VARCHAR(256) where strings are staged as CLOB)")
     ap.add_argument("--master")
     a = ap.parse_args(argv)
 
@@ -78,7 +80,7 @@ def main(argv=None) -> None:
         _emit(jobs.split_lateral(csv_json_cells(spark, a.input), outer=a.outer), a)
     elif a.job == "jdbc-wordcount":
         counts = jobs.wordcount(jdbc_table(spark, a.url, a.source, "id", properties=props))
-        jdbc_upsert(counts, a.url, a.sink, ["word"], props)
+        jdbc_upsert(counts, a.url, a.sink, ["word"], props, casts={"word": a.word_type} if a.word_type else None)
     elif a.job == "click-rank":
         counts, top = sjobs.run_click_rank(_messages(spark, a, schemas.USER_ACTION), a.output, n=a.n or 5,
                                            opts=opts)
