@@ -59,3 +59,12 @@ def test_upsert_sql_dialects():
     assert _merge_sql("wc", "stg", ["word"], ["word", "cnt"], "postgres") == (
         'INSERT INTO wc ("word", "cnt") SELECT "word", "cnt" FROM stg ON CONFLICT ("word") DO UPDATE SET '
         '"cnt" = EXCLUDED."cnt"')
+
+
+def test_read_with_predicates(spark):
+    t = _name("skewed")
+    jdbc_write(spark.createDataFrame([(1, "hot")] * 5 + [(2, "a"), (3, "b")], schemas.WORDS_JDBC), URL, t,
+               "overwrite", PROPS)
+    r = jdbc_table(spark, URL, t, properties=PROPS,
+                   predicates=['"id" = 1 AND "word" < \'hot\'', '"id" = 1 AND "word" >= \'hot\'', '"id" <> 1'])
+    assert r.rdd.getNumPartitions() == 3 and r.count() == 7
