@@ -1,8 +1,9 @@
 """The stream jobs: event-time windows, window top-N, running top-N, CDC mirror.
 
 Every job takes a streaming DataFrame shaped like the batch input (see
-``eventide.plans.adapters``), marks event time with the 5 s watermark, and
-runs to a table.  Windows are emitted in append mode once the watermark
+``eventide.plans.adapters``), marks event time with the 5 s watermark unless
+the source already declares one (declare it at the source, before filters),
+and runs to a table.  Windows are emitted in append mode once the watermark
 passes their end, so at the end of input the windows with
 ``end_time <= max(ts) - 5 s`` are final and present.
 """

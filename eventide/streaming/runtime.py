@@ -5,10 +5,14 @@
   (offsets, state, sink log), which is the recovery and upgrade path.
 * ``trigger="availableNow"`` processes what is there and stops (tests,
   catch-up); a duration string runs micro-batches on that interval.
-* ``use_rocksdb`` selects the RocksDB state store with changelog
-  checkpointing (incremental state snapshots).
+* ``StreamOptions`` carries per-query settings applied only while the query
+  starts (it clones the session conf then): state partitions follow the
+  cluster's parallelism, and the RocksDB state store with changelog
+  checkpointing is the default (state off the JVM heap, incremental
+  snapshots).  ``use_rocksdb`` sets it for a whole session instead.
 * Versioned ``foreachBatch`` outputs (``<path>/v=<batch_id>``) make a batch
   replayed after a failure overwrite its own version: exactly-once results.
+  ``batch_id=<id>`` outputs do the same for per-batch results.
 """
 
 from __future__ import annotations
