@@ -406,8 +406,12 @@ _ITEMS = (f"SELECT 'x' || event_id AS id, event_type AS bs3_name, CAST(user_id A
           f"{_K} + 1, 'v' || user_id, 'view' FROM events WHERE event_type = 'view'")
 _ITEMS_LEFT = (_ITEMS + " UNION ALL SELECT 'x' || event_id, NULL, NULL, NULL, NULL, NULL, NULL FROM events "
                "WHERE event_type NOT IN ('click', 'view')")
-_CDC = ("SELECT CAST(user_id AS INTEGER) AS id, event_type AS word FROM events "
-        "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1 AND event_type <> 'error'")
+# Latest record per key; a view also deletes the key it moved from (user_id + 1000).
+_CDC = ("SELECT id, word FROM (SELECT CAST(user_id AS INTEGER) AS id, event_id AS seq, "
+        "event_type = 'error' AS del, event_type AS word FROM events "
+        "UNION ALL SELECT CAST(user_id + 1000 AS INTEGER), event_id, TRUE, NULL FROM events "
+        "WHERE event_type = 'view') c "
+        "QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1 AND NOT del")
 
 _ORACLE = {
     "wordcount": _WORDS,
