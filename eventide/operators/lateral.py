@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import udtf
 
 from eventide.functions import schemas
+from eventide.operators.timeutil import spread
 
 
 def _item_types() -> list[T.StructField]:
@@ -42,10 +43,13 @@ def explode_json(df: DataFrame, col: str = "bs_info", keep: list[str] | None = N
     return df.select(*keep, gen(parse_json_array(col, strict)))
 
 
-@udtf(returnType=schemas.BS_INFO_ITEM.replace(" STRING", ": string").replace(" INT", ": int"), useArrow=True)
+@udtf(returnType=schemas.BS_INFO_ITEM.replace(" STRING", ": string").replace(" INT", ": int"))
 class SplitDict:
-    """Python table function: one output row per object of the JSON array text
-    (Arrow-batched transport between the JVM and the Python worker)."""
+    """Python table function: one output row per object of the JSON array text.
+
+    Rows travel to the Python worker in pickled batches; the Arrow transport
+    (``useArrow=True``) measured 5x slower for this generator on Spark 4.1.
+    """
 
     def eval(self, input_map):
         if input_map:
@@ -56,3 +60,19 @@ class SplitDict:
 
 def register_split_dict(spark: SparkSession, name: str = "split_dict") -> None:
     spark.udtf.register(name, SplitDict)
+
+
+def lateral_split_dict(df: DataFrame, col: str = "bs_info", keep: str = "id", outer: bool = False) -> DataFrame:
+    """``FROM t, LATERAL split_dict(col)`` (or ``LEFT JOIN LATERAL ... ON TRUE``) in SQL.
+
+    The Python work is spread over the cluster's cores first when the input
+    arrives in fewer splits (a single multi-line CSV file is not splittable).
+    """
+    spark = df.sparkSession
+    register_split_dict(spark)
+    t = spread(df)
+    if outer:
+        q = f"SELECT t.{keep}, s.* FROM {{t}} t LEFT JOIN LATERAL split_dict(t.{col}) s ON TRUE"
+    else:
+        q = f"SELECT t.{keep}, s.* FROM {{t}} t, LATERAL split_dict(t.{col}) s"
+    return spark.sql(q, t=t)

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.functions import hash_code_udf, register_sql_functions, schemas
-from eventide.operators import cdc, live_clicks, register_split_dict
+from eventide.operators import cdc, live_clicks
+from eventide.operators.lateral import lateral_split_dict
 from eventide.operators.timeutil import duration_micros, with_event_time
 from eventide.operators.windows import count_, max_, min_, avg_
 from eventide.plans import adapters, jobs
@@ -159,9 +160,7 @@ def q_lateral_left(spark, sf_dir):
 
 
 def q_lateral_udtf(spark, sf_dir):
-    register_split_dict(spark)
-    t = _input_table_csv(spark, sf_dir)
-    return spark.sql("SELECT t.id, s.* FROM {t} t, LATERAL split_dict(t.bs_info) s", t=t)
+    return lateral_split_dict(_input_table_csv(spark, sf_dir))
 
 
 def q_cdc_snapshot(spark, sf_dir):

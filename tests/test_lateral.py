@@ -54,3 +54,8 @@ def test_udtf_matches_native(spark, input_table):
     register_split_dict(spark)
     sql = spark.sql("SELECT t.id, s.* FROM {t} t, LATERAL split_dict(t.bs_info) s", t=input_table)
     assert rows(sql) == rows(explode_json(input_table, "bs_info"))
+
+
+def test_udtf_left_lateral(spark, input_table):
+    from eventide.operators import lateral_split_dict
+    assert rows(lateral_split_dict(input_table, outer=True)) == rows(explode_json(input_table, "bs_info", outer=True))
