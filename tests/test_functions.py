@@ -40,3 +40,22 @@ def test_update_stream_refused_by_append_sink(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)append|watermark"):
         (word_count(words).writeStream.format("parquet").option("path", str(tmp_path / "out"))
          .option("checkpointLocation", str(tmp_path / "ck")).outputMode("append").start())
+
+
+def test_package_functions_ship_to_workers_by_value(tmp_path):
+    """Python workers need no copy of the package: run from a folder where it is not importable."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (f"import sys; sys.path.insert(0, {repo!r})\n"
+            "from eventide import get_session\n"
+            "from eventide.functions import hash_code_udf\n"
+            "from pyspark.sql import functions as F\n"
+            "s = get_session('local[2]', 2); s.sparkContext.setLogLevel('ERROR')\n"
+            "print('OUT', s.range(3).select(hash_code_udf()(F.col('id')).alias('h')).collect())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env, capture_output=True, text=True,
+                         timeout=300)
+    assert "OUT [Row(h=0), Row(h=12), Row(h=24)]" in out.stdout, out.stderr[-2000:]
