@@ -19,3 +19,7 @@ def rows(df, *cols):
     """Sorted tuples of ``cols`` (all columns if none) for order-free asserts."""
     cols = cols or tuple(df.columns)
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+
+
+SF_SMALL = "/root/testdata/sf0.001"
+requires_testdata = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="driver test data absent")

@@ -5,6 +5,9 @@ import re
 import pytest
 
 import __spark_entry__ as se
+from tests.conftest import requires_testdata
+
+pytestmark = requires_testdata
 
 SF = "/root/testdata/sf0.001"
 BATCH = [k for k in se.queries() if not k.startswith(("stream_", "cdc_stream", "cdc_jdbc", "jdbc_"))]

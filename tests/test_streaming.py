@@ -9,7 +9,7 @@ from eventide.operators import count_
 from eventide.sources import decode_json, json_value_files
 from eventide.streaming import jobs as sjobs
 from eventide.streaming.runtime import StreamOptions
-from tests.conftest import rows
+from tests.conftest import requires_testdata, rows
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -80,6 +80,7 @@ def test_stream_topn_and_running_topn(spark):
     assert rows(run, "name", "cnt") == [("b", 3), ("c", 4)]
 
 
+@requires_testdata
 def test_multi_batch_streams_equal_single_batch(spark):
     """Four ts-ordered micro-batches give what one batch gives (no row is late)."""
     from eventide.operators import live_clicks
@@ -143,6 +144,7 @@ def test_versioned_fold_keeps_recent_versions(spark):
     assert sorted(r.x for r in read_version(spark, path).collect()) == [0, 1, 2, 3, 4]
 
 
+@requires_testdata
 def test_stream_panes_equal_direct(spark):
     """Pane pre-aggregation chains two stateful aggregations (linked by window_time)."""
     from eventide.operators import hop_agg, max_
