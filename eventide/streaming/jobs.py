@@ -24,13 +24,18 @@ from eventide.streaming import runtime as rt
 
 def window_agg_stream(stream: DataFrame, kind: str, keys: list[str], aggs: list[Agg], size: str,
                       slide: str | None = None, ts: str = "ts",
-                      delay: str = schemas.WATERMARK_DELAY) -> DataFrame:
-    """Streaming DataFrame of final window aggregates (append mode)."""
+                      delay: str = schemas.WATERMARK_DELAY, strategy: str = "direct") -> DataFrame:
+    """Streaming DataFrame of final window aggregates (append mode).
+
+    ``strategy="panes"`` (hop only) pre-aggregates slide-wide panes in a first
+    stateful aggregation: for dense streams the window fan-out then applies to
+    panes, not rows.
+    """
     ev = with_event_time(stream, ts, delay)
     if kind == "tumble":
         out = tumble_agg(ev, ts, size, keys, aggs)
     elif kind == "hop":
-        out = hop_agg(ev, ts, size, slide, keys, aggs, strategy="direct")
+        out = hop_agg(ev, ts, size, slide, keys, aggs, strategy=strategy)
     elif kind == "session":
         out = session_agg(ev, ts, size, keys, aggs, strategy="native")
     else:
@@ -40,8 +45,8 @@ def window_agg_stream(stream: DataFrame, kind: str, keys: list[str], aggs: list[
 
 def run_window_agg(stream: DataFrame, kind: str, keys: list[str], aggs: list[Agg], size: str,
                    slide: str | None = None, opts: rt.StreamOptions | None = None,
-                   path: str | None = None) -> DataFrame:
-    out = window_agg_stream(stream, kind, keys, aggs, size, slide)
+                   path: str | None = None, strategy: str = "direct") -> DataFrame:
+    out = window_agg_stream(stream, kind, keys, aggs, size, slide, strategy=strategy)
     if kind == "session":
         opts = opts or rt.StreamOptions()
         opts.conf = {**rt.SESSION_LOCAL_MERGE, **opts.conf}
