@@ -60,6 +60,7 @@ def main(argv=None) -> None:
     ap.add_argument("--url"); ap.add_argument("--source"); ap.add_argument("--sink"); ap.add_argument("--table")
     ap.add_argument("--changes"); ap.add_argument("--driver")
     ap.add_argument("--changelog", action="store_true", help="running-topn: also write +/- change rows")
+    ap.add_argument("--panes", action="store_true", help="sliding: pre-aggregate slide-wide panes (dense streams)")
     ap.add_argument("--word-type", help="jdbc-wordcount: SQL type the staged word is cast to in the MERGE "
                                         "(e.g. VARCHAR(256) where strings are staged as CLOB)")
     ap.add_argument("--master")
@@ -102,7 +103,8 @@ def main(argv=None) -> None:
                                         avg_("cpu_usage", "avg_cpu_usage")], jobs.TUMBLE_SIZE, opts=opts, path=a.output)
         elif a.job == "sliding":
             out = sjobs.run_window_agg(cpu, "hop", ["cluster_name"], [count_("cnt")], jobs.SLIDE_SIZE,
-                                       jobs.SLIDE_STEP, opts=opts, path=a.output)
+                                       jobs.SLIDE_STEP, opts=opts, path=a.output,
+                                       strategy="panes" if a.panes else "direct")
         else:
             out = sjobs.run_window_agg(cpu, "session", ["cluster_name"], [count_("cnt")], jobs.SESSION_GAP,
                                        opts=opts, path=a.output)
