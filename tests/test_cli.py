@@ -54,3 +54,17 @@ def test_cli_jdbc_udtf_udf_cdc(spark, tmp_path):
     main(["cdc", "--changes", str(tmp_path / "changes" / "*"), "--output", str(tmp_path / "snap")])
     from eventide.sinks.cdc_files import read_snapshot
     assert [tuple(r) for r in read_snapshot(spark, str(tmp_path / "snap" / "table")).collect()] == [(1, "a")]
+
+
+def test_cli_sliding_panes_equal_direct(spark, tmp_path):
+    d = tmp_path / "metrics"
+    d.mkdir()
+    with open(d / "m.json", "w") as f:
+        for sec, c in [(5, "a"), (65, "a"), (70, "b"), (400, "a"), (2000, "a")]:
+            f.write(json.dumps({"cluster_name": c, "host_ip": "10.0.0.1", "cpu_usage": 1.0,
+                                "ts": (T0 + dt.timedelta(seconds=sec)).strftime("%Y-%m-%d %H:%M:%S")}) + "\n")
+    main(["sliding", "--json-dir", str(d), "--output", str(tmp_path / "direct")])
+    main(["sliding", "--json-dir", str(d), "--output", str(tmp_path / "panes"), "--panes"])
+    a = spark.read.parquet(str(tmp_path / "direct" / "data"))
+    b = spark.read.parquet(str(tmp_path / "panes" / "data")).select(a.columns)
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
