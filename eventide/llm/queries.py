@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventide.llm import exact_dedup, token_files
+from eventide.llm import exact_dedup, language_id, token_files, topk, warc
 from eventide.llm.common import table
 
 END_ID = 2
@@ -18,6 +19,11 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return topk.search(rows, rows.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), END_ID)
 
@@ -27,6 +33,33 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(out["id"].alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"), min_revisit=1_000)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predictions(table(spark, sf_dir, "documents"))
+
+
+_OP1 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+           FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10
+"""
+
+_OP8 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     r AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest,
+                  CASE WHEN strlen(html) >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS response FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN response IS NULL OR response = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN response <> page_id THEN response END AS refers_to FROM r
+"""
+
 _OP4 = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (PARTITION BY body) AS group_size,
@@ -34,10 +67,15 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (P
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk": op1_topk,
     "op3_token_files": op3_token_files,
     "op4_exact_dedup": op4_exact_dedup,
+    "op8_warc": op8_warc,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_topk": _OP1,
     "op4_exact_dedup": _OP4,
+    "op8_warc": _OP8,
 }
