@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import exact_dedup, language_id, token_files, topk, warc
+from eventide.llm import exact_dedup, language_id, licenses, sentence_pieces, token_files, topk, warc
 from eventide.llm.common import table
 
 END_ID = 2
@@ -33,6 +33,14 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(out["id"].alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.round_trip(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"), min_revisit=1_000)
 
@@ -70,6 +78,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op3_token_files": op3_token_files,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_licenses": op6_licenses,
+    "op7_sentence_pieces": op7_sentence_pieces,
     "op8_warc": op8_warc,
     "op10_language_id": op10_language_id,
 }

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from eventide.llm.common import shards, written
 
 #: Candidates per shard and queries per group.
-SHARD = 8_192
+SHARD = 2_048
 GROUP = 512
 SCALE = 1024.0
 
