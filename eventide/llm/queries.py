@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import exact_dedup, language_id, licenses, sentence_pieces, token_files, topk, warc
+from eventide.llm import exact_dedup, language_id, licenses, packing, sentence_pieces, token_files, topk, warc
 from eventide.llm.common import table
 
 END_ID = 2
@@ -24,6 +24,10 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(rows, rows.where(F.col("vec_id") % 100 == 0), k=10)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), END_ID).drop("ids", "width")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), END_ID)
 
@@ -76,6 +80,7 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (P
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
+    "op2_packing": op2_packing,
     "op3_token_files": op3_token_files,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_licenses": op6_licenses,
