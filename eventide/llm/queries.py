@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import exact_dedup, language_id, licenses, packing, sentence_pieces, token_files, topk, warc
+from eventide.llm import exact_dedup, language_id, licenses, packing, sentence_pieces, suffix_dedup, token_files, topk, warc
 from eventide.llm.common import table
 
 END_ID = 2
@@ -49,6 +49,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"), min_revisit=1_000)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.spans(table(spark, sf_dir, "documents"), length=400).drop("spans")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predictions(table(spark, sf_dir, "documents"))
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_licenses": op6_licenses,
     "op7_sentence_pieces": op7_sentence_pieces,
     "op8_warc": op8_warc,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_language_id": op10_language_id,
 }
 
