@@ -80,6 +80,8 @@ def retained(spark: SparkSession, arrivals: str, state: str, batch_bytes: int =
 
     conf = rocksdb_conf() | {
         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+        # Many small stores: do not reserve disk ahead of use.
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
         "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": str(STATE_MEMORY_MB),
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     }
@@ -116,18 +118,17 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     rows = with_locator(docs).select(F.col(id_col).alias("id"), F.col("_loc").alias("loc"),
                                      normalised(text_col).alias("body"))
-    rows = rows.withColumn("digest", digest(F.col("body")))
-    hashed = rows.select("digest", "id", "loc", sha256(F.col("body")).alias("sha"))
+    hashed = rows.select(digest(F.col("body")).alias("digest"), "id", "loc", sha256(F.col("body")).alias("sha"))
     arrivals = written_as(hashed, "dedup-arrivals")
     kept = retained(spark, arrivals, state or shared_path(spark, "dedup-state"), batch_bytes)
     light = spark.read.parquet(arrivals).join(kept, "digest")
 
-    # Hits: compare with the full bytes at the retained locator.
-    hits = kept.where("seen > 1").select("digest", "first")
-    bodies = rows.select("digest", "loc", "body").join(hits, "digest")
-    owner = F.col("loc") == F.col("first.loc")
-    content = bodies.where(owner).select("digest", F.col("body").alias("kept_body"))
-    clash = (bodies.where(~owner).join(content, "digest").where(F.col("body") != F.col("kept_body"))
+    # Hits: compare with the full bytes at the retained locator.  Which rows
+    # those are is known from the arrivals, so texts are dealt out once, by locator.
+    hits = light.where("seen > 1").select("loc", "digest", (F.col("loc") == F.col("first.loc")).alias("owner"))
+    bodies = rows.select("loc", "body").join(hits, "loc")
+    content = bodies.where("owner").select("digest", F.col("body").alias("kept_body"))
+    clash = (bodies.where("NOT owner").join(content, "digest").where(F.col("body") != F.col("kept_body"))
              .select("digest", "loc", "body"))
     clash = written(clash, "dedup-clashes")
     if clash.isEmpty():
