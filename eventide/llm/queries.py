@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import exact_dedup, language_id, licenses, packing, sentence_pieces, suffix_dedup, token_files, topk, warc
+from eventide.llm import exact_dedup, jaccard_join, language_id, licenses, packing, sentence_pieces, suffix_dedup, token_files, topk, warc
 from eventide.llm.common import table
 
 END_ID = 2
@@ -37,6 +37,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(out["id"].alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard_join.groups(table(spark, sf_dir, "documents"), width=4, num=85, den=100)
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_token_files": op3_token_files,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_licenses": op6_licenses,
     "op7_sentence_pieces": op7_sentence_pieces,
     "op8_warc": op8_warc,
