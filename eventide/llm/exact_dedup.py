@@ -47,18 +47,22 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def with_locator(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_loc`` (file path, position): the address of a row's content.
-
-    A frame that does not come straight from files is written first, which
-    gives its rows an address that does not change.
-    """
+def from_files(docs: DataFrame) -> DataFrame:
+    """``docs`` itself if it reads files straight away, else written and read back:
+    rows then have addresses that do not change."""
     try:
-        docs.select("_metadata.file_path", "_metadata.row_index").schema
-    except AnalysisException:  # no file source below
-        docs = written(docs, "dedup-content")
-    return docs.withColumn("_loc", F.struct(F.col("_metadata.file_path").alias("path"),
-                                            F.col("_metadata.row_index").alias("row")))
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
+        return docs
+    except AnalysisException:  # no file source right below
+        return written(docs, "dedup-content")
+
+
+def addressed(docs: DataFrame) -> DataFrame:
+    """(row, loc) of a frame that reads files: each row as one struct, which
+    clashes with no other name, and its address (file path, position)."""
+    at = docs.metadataColumn("_metadata")
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
+                       F.struct(at["file_path"].alias("path"), at["row_index"].alias("row")).alias("loc"))
 
 
 def retained(spark: SparkSession, arrivals: str, state: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
@@ -115,9 +119,9 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``digest`` maps the normalised text to a string; equal texts must give
     equal digests, and unequal ones are told apart by their bytes.
     """
-    spark = docs.sparkSession
-    rows = with_locator(docs).select(F.col(id_col).alias("id"), F.col("_loc").alias("loc"),
-                                     normalised(text_col).alias("body"))
+    spark, docs = docs.sparkSession, from_files(docs)
+    rows = addressed(docs).select(F.col(f"row.{id_col}").alias("id"), "loc",
+                                  normalised(f"row.{text_col}").alias("body"))
     hashed = rows.select(digest(F.col("body")).alias("digest"), "id", "loc", sha256(F.col("body")).alias("sha"))
     arrivals = written_as(hashed, "dedup-arrivals")
     kept = retained(spark, arrivals, state or shared_path(spark, "dedup-state"), batch_bytes)
@@ -151,7 +155,6 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their columns."""
-    cols = docs.columns
-    located = with_locator(docs)
+    docs = from_files(docs)
     stay = groups(docs, id_col, text_col).where("kept").select("loc")
-    return located.join(stay, located["_loc"] == stay["loc"], "left_semi").select(*cols)
+    return addressed(docs).join(stay, "loc", "left_semi").select("row.*")

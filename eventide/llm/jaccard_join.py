@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from eventide.llm.common import per_process, shards, written
 from eventide.llm.components import connected
-from eventide.llm.exact_dedup import with_locator
+from eventide.llm.exact_dedup import addressed, from_files
 
 #: Word hashes kept per worker process: the first ones seen hold the common words.
 CACHE_WORDS = 300_000
@@ -193,8 +193,9 @@ def sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return with_locator(docs).select(F.col(id_col).cast("long").alias("id"), F.xxhash64("_loc.path").alias("fh"),
-                                     F.col("_loc.row").alias("ri"), F.col(text_col).cast("string").cast("binary").alias("body"))
+    return addressed(docs).select(F.col(f"row.{id_col}").cast("long").alias("id"), F.xxhash64("loc.path").alias("fh"),
+                                  F.col("loc.row").alias("ri"),
+                                  F.col(f"row.{text_col}").cast("string").cast("binary").alias("body"))
 
 
 def shared_keys(texts: DataFrame, width: int, num: int, den: int, buckets: int) -> DataFrame:
@@ -282,6 +283,7 @@ def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_co
            text_col: str = "text", buckets: int | None = None) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, and whether it is its group's kept row
     (``kept``: the smallest identifier, then the first by address), with the address (fh, ri)."""
+    docs = from_files(docs)
     rows = sets(docs, width, id_col, text_col)
     texts = _texts(docs, id_col, text_col)
     info = ["node", "n", *(f"s{i}" for i in range(SKETCH))]
@@ -346,7 +348,7 @@ def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_co
 def deduplicate(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group; rows without words all stay."""
-    names = docs.columns
-    located = with_locator(docs).withColumns({"_fh": F.xxhash64("_loc.path"), "_ri": F.col("_loc.row")})
-    gone = groups(docs, width, num, den, id_col, text_col).where("NOT kept").select(F.col("fh").alias("_fh"), F.col("ri").alias("_ri"))
-    return located.join(gone, ["_fh", "_ri"], "left_anti").select(*names)
+    docs = from_files(docs)
+    gone = groups(docs, width, num, den, id_col, text_col).where("NOT kept").select("fh", "ri")
+    located = addressed(docs).select("row", F.xxhash64("loc.path").alias("fh"), F.col("loc.row").alias("ri"))
+    return located.join(gone, ["fh", "ri"], "left_anti").select("row.*")

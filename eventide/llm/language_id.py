@@ -230,8 +230,10 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
         found = shared.value.predict([t if isinstance(t, str) else None for t in text])
         return pd.DataFrame(found, columns=["lang_pred", "score", "rejected"])
 
-    p = predict(F.col(text_col).cast("string"))
-    return docs.withColumn("_p", p).withColumns({c: F.col(f"_p.{c}") for c in ("lang_pred", "score", "rejected")}).drop("_p")
+    added = ["lang_pred", "score", "rejected"]
+    row = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
+                      predict(docs[f"`{text_col}`"].cast("string")).alias("p"))
+    return row.select(*[F.col(f"row.`{c}`") for c in docs.columns if c not in added], *[F.col(f"p.{c}") for c in added])
 
 
 def predictions(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.llm.common import written
-from eventide.llm.exact_dedup import with_locator
+from eventide.llm.exact_dedup import addressed, from_files
 
 LENGTH = 400
 #: Bytes of an anchor, a power of two.
@@ -259,18 +259,18 @@ def _ranges(rows: DataFrame, length: int, hot: int, width: int) -> DataFrame:
 
 
 def _located(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` with the row's address (fh, ri) and its bytes."""
-    return (with_locator(docs).withColumns({"_fh": F.xxhash64("_loc.path"), "_ri": F.col("_loc.row"),
-                                            "_body": F.coalesce(F.col(text_col).cast("string").cast("binary"),
-                                                                F.lit(b""))}).drop("_loc"))
+    """(row, fh, ri, body): each row, its address and its bytes."""
+    body = F.coalesce(F.col(f"row.{text_col}").cast("string").cast("binary"), F.lit(b""))
+    return addressed(docs).select("row", F.xxhash64("loc.path").alias("fh"), F.col("loc.row").alias("ri"), body.alias("body"))
 
 
 def covered(docs: DataFrame, length: int = LENGTH, text_col: str = "text", hot: int = HOT,
             gram: int = GRAM) -> DataFrame:
-    """(_fh, _ri, ranges): per row with repeated windows, the covered byte ranges (not yet merged)."""
+    """(fh, ri, ranges): per row with repeated windows, the covered byte ranges (not yet merged)."""
     if length < 2 * gram:
         raise ValueError("a window must be at least two anchors long")
-    texts = _located(docs, text_col).select(F.col("_fh").alias("fh"), F.col("_ri").alias("ri"), F.col("_body").alias("body"))
+    docs = from_files(docs)
+    texts = _located(docs, text_col).drop("row")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("key", pa.int64()), ("c0", pa.int64()), ("c1", pa.int64()), ("fh", pa.int64()),
@@ -319,9 +319,9 @@ def covered(docs: DataFrame, length: int = LENGTH, text_col: str = "text", hot:
     whole = alike.where("weight > 1").select("c0", "c1", F.lit(0).alias("lo"), (F.col("n") + length - 1).alias("hi"))
     # Strands are told by content; every place of one has the same covered range.
     places = kept.select("c0", "c1", "fh", "ri", "pos").join(single.unionByName(whole), ["c0", "c1"])
-    return (places.groupBy(F.col("fh").alias("_fh"), F.col("ri").alias("_ri"))
+    return (places.groupBy("fh", "ri")
             .agg(F.collect_list(F.struct((F.col("pos") + F.col("lo")).alias("lo"),
-                                         (F.col("pos") + F.col("hi")).alias("hi"))).alias("_ranges")))
+                                         (F.col("pos") + F.col("hi")).alias("hi"))).alias("ranges")))
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -359,14 +359,15 @@ def remaining(body: bytes, runs: list[tuple[int, int]]) -> bytes:
 def spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
           hot: int = HOT) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the removed ``spans``."""
-    rows = _located(docs, text_col).select(F.col(id_col).cast("long").alias("doc_id"), "_fh", "_ri", "_body")
-    joined = rows.join(covered(docs, length, text_col, hot), ["_fh", "_ri"], "left")
+    docs = from_files(docs)
+    rows = _located(docs, text_col).select(F.col(f"row.{id_col}").cast("long").alias("doc_id"), "fh", "ri", "body")
+    joined = rows.join(covered(docs, length, text_col, hot), ["fh", "ri"], "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(5)]
-            bodies = batch["_body"].to_pylist()
-            for body, ranges in zip(bodies, batch["_ranges"].to_pylist()):
+            bodies = batch["body"].to_pylist()
+            for body, ranges in zip(bodies, batch["ranges"].to_pylist()):
                 runs = merged([(r["lo"], r["hi"]) for r in ranges or ()])
                 for col, v in zip(out, (len(body), sum(b - a for a, b in runs), len(runs),
                                         hashlib.sha256(remaining(body, runs)).hexdigest(),
@@ -377,7 +378,7 @@ def spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, k) for c, k in zip(out, kinds))],
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    return joined.select("doc_id", "_body", "_ranges").mapInArrow(
+    return joined.select("doc_id", "body", "ranges").mapInArrow(
         cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
              "spans array<struct<lo: long, hi: long>>")
 
@@ -387,18 +388,19 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, text_col: str = "text", h
 
     A character that a removed run covers only in part stays, so that the text stays valid.
     """
+    docs = from_files(docs)
     found = covered(docs, length, text_col, hot)
-    located = _located(docs, text_col)
-    names = docs.columns
-    joined = located.join(found, ["_fh", "_ri"], "left")
-    return joined.select(*[_shortened()("_body", "_ranges").alias(c) if c == text_col else F.col(c) for c in names])
+    joined = _located(docs, text_col).join(found, ["fh", "ri"], "left")
+    # A text without any such string, null included, stays as it is.
+    text = F.when(F.col("ranges").isNull(), F.col(f"row.{text_col}")).otherwise(_shortened()("body", "ranges"))
+    return joined.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def _shortened():
     @F.udf("string", useArrow=True)
     def shorten(body, ranges):
         if not ranges:
-            return body.decode()
+            return None
         runs = whole_characters(body, merged([(r["lo"], r["hi"]) for r in ranges]))
         return remaining(body, runs).decode()
 
