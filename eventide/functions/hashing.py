@@ -20,7 +20,7 @@ from __future__ import annotations
 from decimal import Decimal
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,12 +82,12 @@ def hash_code_udf(factor: int = DEFAULT_FACTOR, use_arrow: bool = True):
 
 
 def hash_code_pandas(factor: int = DEFAULT_FACTOR):
-    """Vectorised form: one call per Arrow batch."""
+    """Vectorised form: one call per Arrow batch.  The column stays an Arrow array
+    of 64-bit integers, so a NULL beside large values costs no digits."""
 
-    @F.pandas_udf(T.LongType())
-    def _hash_code(s: pd.Series) -> pd.Series:
-        v = s.astype("Int64")
-        a = v.fillna(0).to_numpy(dtype=np.int64)
+    @F.arrow_udf(T.LongType())
+    def _hash_code(column: pa.Array) -> pa.Array:
+        a = column.fill_null(0).to_numpy(zero_copy_only=False)
         # sign(i) * (|i| mod M) in int64 without overflow
         neg = a < 0
         absm = np.where(neg, (-(a + 1)) % MODULUS + 1, a) % MODULUS
@@ -95,7 +95,7 @@ def hash_code_pandas(factor: int = DEFAULT_FACTOR):
         h = np.where(h == -1, -2, h)
         with np.errstate(over="ignore"):
             out = (h * np.int64(factor)).astype(np.int64)  # wraps like a JVM long
-        return pd.Series(out, index=s.index).where(v.notna().to_numpy(), None).astype("Int64")
+        return pa.array(out, pa.int64(), mask=column.is_null().to_numpy(zero_copy_only=False))
 
     return _hash_code
 

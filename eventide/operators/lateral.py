@@ -2,12 +2,13 @@
 
 Native form: ``from_json`` + ``inline`` (inner: rows whose array is NULL,
 empty or undecodable vanish) or ``inline_outer`` (left: they give one row of
-NULLs).  Fields are read as text and converted with ``try_cast``, so a number
-given as text still converts (``int(x)`` in the reference).  ``strict=True``
-fails the job on an undecodable cell.
+NULLs).  Fields are read as text and converted: a whole number, also one given
+as text, converts as it is, a number with a fraction loses it (``2.7`` gives
+2), anything else gives NULL.  ``strict=True`` fails the job on an undecodable
+cell.
 
-``SplitDict`` is the same table function as a Python UDTF, for SQL users who
-call ``LATERAL split_dict(bs_info)``.
+``json_rows`` builds the same table function as a Python UDTF from any item
+schema, for SQL users who call ``LATERAL split_dict(bs_info)``.
 """
 
 from __future__ import annotations
@@ -27,12 +28,16 @@ def _item_types() -> list[T.StructField]:
     return T._parse_datatype_string(schemas.BS_INFO_ITEM).fields
 
 
+def _number(text, kind: T.DataType):
+    return F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind))
+
+
 def parse_json_array(col: str, strict: bool = False):
     fields = _item_types()
     text_item = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
     arr = F.from_json(F.col(col), T.ArrayType(text_item), {"mode": "FAILFAST" if strict else "PERMISSIVE"})
     return F.transform(arr, lambda x: F.struct(*[
-        (x[f.name] if isinstance(f.dataType, T.StringType) else x[f.name].try_cast(f.dataType)).alias(f.name)
+        (x[f.name] if isinstance(f.dataType, T.StringType) else _number(x[f.name], f.dataType)).alias(f.name)
         for f in fields]))
 
 
@@ -43,34 +48,68 @@ def explode_json(df: DataFrame, col: str = "bs_info", keep: list[str] | None = N
     return df.select(*keep, gen(parse_json_array(col, strict)))
 
 
-@udtf(returnType=schemas.BS_INFO_ITEM.replace(" STRING", ": string").replace(" INT", ": int"))
-class SplitDict:
-    """Python table function: one output row per object of the JSON array text.
+def _as_number(value, bits: int):
+    """``value`` as an integer of ``bits`` bits under the rule above, or None."""
+    if isinstance(value, bool):
+        return None
+    try:
+        n = int(value) if not isinstance(value, str) or value.strip().lstrip("+-").isdigit() else int(float(value))
+    except (TypeError, ValueError, OverflowError):
+        return None
+    return n if -(1 << bits - 1) <= n < 1 << bits - 1 else None
+
+
+def _as_text(value):
+    return value if value is None or isinstance(value, str) else json.dumps(value, separators=(",", ":"))
+
 
-    Rows travel to the Python worker in pickled batches; the Arrow transport
-    (``useArrow=True``) measured 5x slower for this generator on Spark 4.1.
+def json_rows(item_schema: str = schemas.BS_INFO_ITEM, strict: bool = False):
+    """Python table function: one row of ``item_schema`` per object of a JSON array text.
+
+    A field that is missing gives NULL.  Text that is no array of objects gives
+    no row, or fails with ``strict``.  Rows travel to the Python worker in
+    pickled batches; the Arrow transport (``useArrow=True``) measured 5x slower
+    for this generator on Spark 4.1.
     """
+    # Parsed here, as a table function may be declared before any session exists.
+    fields = [f.split() for f in item_schema.lower().split(",")]
+    bits = {"int": 32, "bigint": 64}
+    convert = [(name, _as_text if kind == "string" else (lambda v, n=bits[kind]: None if v is None else _as_number(v, n)))
+               for name, kind in fields]
+
+    class JsonRows:
+        def eval(self, text):
+            try:
+                found = json.loads(text) if text else []
+                if not isinstance(found, list) or not all(isinstance(x, dict) for x in found):
+                    raise ValueError(f"no array of objects: {text[:100]}")
+            except ValueError:
+                if strict:
+                    raise
+                return
+            for item in found:
+                yield tuple(change(item.get(name)) for name, change in convert)
+
+    return udtf(JsonRows, returnType=", ".join(f"{name}: {kind}" for name, kind in fields))
+
 
-    def eval(self, input_map):
-        if input_map:
-            for line in json.loads(input_map):
-                yield (line["bs3_name"], int(line["bs3_name_id"]), int(line["bs1_name_id"]),
-                       int(line["bs2_name_id"]), line["bs2_name"], line["bs1_name"])
+SplitDict = json_rows()
 
 
 def register_split_dict(spark: SparkSession, name: str = "split_dict") -> None:
     spark.udtf.register(name, SplitDict)
 
 
-def lateral_split_dict(df: DataFrame, col: str = "bs_info", keep: str = "id", outer: bool = False) -> DataFrame:
+def lateral_split_dict(df: DataFrame, col: str = "bs_info", keep: str = "id", outer: bool = False,
+                       spread_to: int | None = None) -> DataFrame:
     """``FROM t, LATERAL split_dict(col)`` (or ``LEFT JOIN LATERAL ... ON TRUE``) in SQL.
 
-    The Python work is spread over the cluster's cores first when the input
-    arrives in fewer splits (a single multi-line CSV file is not splittable).
+    ``spread_to`` deals the rows out to so many tasks before the Python work (a
+    single multi-line CSV file is not splittable).
     """
     spark = df.sparkSession
     register_split_dict(spark)
-    t = spread(df)
+    t = spread(df, spread_to)
     if outer:
         q = f"SELECT t.{keep}, s.* FROM {{t}} t LEFT JOIN LATERAL split_dict(t.{col}) s ON TRUE"
     else:

@@ -32,6 +32,13 @@ def is_ntz(df: DataFrame, ts: str) -> bool:
     return isinstance(df.schema[ts].dataType, T.TimestampNTZType)
 
 
+def require_utc(spark) -> None:
+    """Times without a zone are read as wall-clock UTC: that needs a UTC session."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone.upper() not in ("UTC", "ETC/UTC", "Z", "GMT", "+00:00", "UTC+0"):
+        raise ValueError(f"spark.sql.session.timeZone is {zone}: event time without a zone needs UTC")
+
+
 def to_micros(c: Column) -> Column:
     """Microseconds since the epoch (wall clock; the session zone is UTC)."""
     return F.unix_micros(c.cast("timestamp"))
@@ -54,22 +61,19 @@ def with_event_time(df: DataFrame, ts: str = "ts", delay: str = "5 seconds") ->
     if "spark.watermarkDelayMs" in df.schema[ts].metadata:
         return df
     if is_ntz(df, ts):
+        require_utc(df.sparkSession)
         df = df.withColumn(ts, F.col(ts).cast("timestamp"))
     return df.withWatermark(ts, delay)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a fan-out step (hop expansion, token explode) enough input tasks.
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal rows out to ``partitions`` tasks before a step that multiplies them.
 
-    A step that multiplies each row should not run in fewer tasks than the
-    cluster has cores.  Large inputs already arrive in many splits and pass
-    through unchanged (no shuffle); a small or unsplittable input (one
-    row group, one multi-line CSV) is spread round-robin first.  Streams
-    pass through (their parallelism is set by the source).
+    The default changes nothing: large inputs arrive in many splits.  Give a
+    number for an input that cannot be split (one row group, one multi-line
+    CSV file).  The plan depends on the argument alone.  Streams pass through
+    (their parallelism is set by the source).
     """
-    if df.isStreaming:
+    if partitions is None or df.isStreaming:
         return df
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        return df.repartition(n)
-    return df
+    return df.repartition(partitions)

@@ -32,15 +32,15 @@ def rank_counts(counts: DataFrame, group_cols: list[str], item_col: str, n: int,
 
 
 def window_counts(df: DataFrame, ts: str, size: str, slide: str, group_cols: list[str],
-                  item_col: str, strategy: str = "auto") -> DataFrame:
+                  item_col: str, strategy: str = "auto", spread_to: int | None = None) -> DataFrame:
     """count(*) per (hop window, group, item)."""
-    return hop_agg(df, ts, size, slide, [*group_cols, item_col], [count_("cnt")], strategy=strategy)
+    return hop_agg(df, ts, size, slide, [*group_cols, item_col], [count_("cnt")], strategy, spread_to)
 
 
 def window_topn(df: DataFrame, ts: str, size: str, slide: str, group_cols: list[str],
-                item_col: str, n: int = 10, strategy: str = "auto") -> DataFrame:
+                item_col: str, n: int = 10, strategy: str = "auto", spread_to: int | None = None) -> DataFrame:
     """Top ``n`` items per (hop window, group): start_time, end_time, groups, item, cnt."""
-    counts = window_counts(df, ts, size, slide, group_cols, item_col, strategy)
+    counts = window_counts(df, ts, size, slide, group_cols, item_col, strategy, spread_to)
     return rank_counts(counts, ["start_time", "end_time", *group_cols], item_col, n)
 
 
@@ -58,7 +58,8 @@ def topn_json_from_counts(counts: DataFrame, group_cols: list[str], item_col: st
     item): ``row_number`` (planned as ``WindowGroupLimit``, n rows per group
     and task before the shuffle), then a whole-partition ``collect_list`` of
     the at most n surviving rows.  No aggregation buffer, no extra sort or
-    shuffle.  A NULL item is written as the key ``"null"``.
+    shuffle.  A NULL item is written as the key ``"null"``; beside an item of
+    that name the key stands twice, as the counts are two.
     """
     order = [F.col("cnt").desc(), F.col(item_col).asc()]
     w = Window.partitionBy(*group_cols).orderBy(*order)
@@ -66,12 +67,15 @@ def topn_json_from_counts(counts: DataFrame, group_cols: list[str], item_col: st
     entry = F.struct(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("k"), F.col("cnt").alias("v"))
     ranked = counts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
     listed = ranked.withColumn("_top", F.collect_list(entry).over(whole)).where(F.col("_rn") == 1)
-    return listed.select(*group_cols, F.to_json(F.map_from_entries("_top")).alias(alias))
+    # A one-element array gives the item as a JSON string between brackets.
+    key = lambda e: F.regexp_replace(F.to_json(F.array(e["k"])), r"^\[|\]$", "")
+    pairs = F.transform("_top", lambda e: F.concat(key(e), F.lit(":"), e["v"].cast("string")))
+    return listed.select(*group_cols, F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}")).alias(alias))
 
 
 def topn_json(df: DataFrame, ts: str, size: str, slide: str, group_col: str, item_col: str,
-              n: int = 10, alias: str = "top10", strategy: str = "auto") -> DataFrame:
+              n: int = 10, alias: str = "top10", strategy: str = "auto", spread_to: int | None = None) -> DataFrame:
     """Aggregate function form of top-N: one JSON text per (window, group)."""
-    counts = window_counts(df, ts, size, slide, [group_col], item_col, strategy)
+    counts = window_counts(df, ts, size, slide, [group_col], item_col, strategy, spread_to)
     out = topn_json_from_counts(counts, ["start_time", "end_time", group_col], item_col, n, alias)
     return out.select(group_col, alias, "start_time", "end_time")

@@ -44,7 +44,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.operators.timeutil import duration_micros, from_micros, is_ntz, spread, to_micros
+from eventide.operators.timeutil import duration_micros, from_micros, is_ntz, require_utc, spread, to_micros
 
 
 @dataclass(frozen=True)
@@ -112,12 +112,13 @@ def tumble_agg(df: DataFrame, ts: str, size: str, keys: list[str], aggs: list[Ag
 
 
 def hop_agg(df: DataFrame, ts: str, size: str, slide: str, keys: list[str], aggs: list[Agg],
-            strategy: str = "auto") -> DataFrame:
+            strategy: str = "auto", spread_to: int | None = None) -> DataFrame:
+    """``spread_to`` deals an input that cannot be split out to so many tasks before the fan-out."""
     size_us, slide_us = duration_micros(size), duration_micros(slide)
     if strategy == "auto":
         strategy = "direct"
     if size_us != slide_us:
-        df = spread(df)  # each row becomes size/slide window rows
+        df = spread(df, spread_to)  # each row becomes size/slide window rows
     if strategy == "direct" or size_us == slide_us:
         w = F.window(ts, size, slide).alias("_w")
         return df.groupBy(w, *keys).agg(*[_direct(a) for a in aggs]).select(*_bounds("_w", keys, aggs))
@@ -127,6 +128,10 @@ def hop_agg(df: DataFrame, ts: str, size: str, slide: str, keys: list[str], aggs
         raise ValueError("panes need size to be a multiple of slide")
     partials = [c for a in aggs for c in _partial(a)]
     panes = df.groupBy(F.window(ts, slide).alias("_p"), *keys).agg(*partials)
+    if not df.isStreaming:
+        # Panes are few and small, and AQE merges them into a task or two; each is
+        # about to become size/slide rows, so they are dealt out evenly again.
+        panes = panes.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # A pane lies inside a window iff its last instant does; window_time() gives
     # that instant and keeps event-time semantics on streams.
     w = F.window(F.window_time("_p"), size, slide).alias("_w")
@@ -144,6 +149,8 @@ def session_agg(df: DataFrame, ts: str, gap: str, keys: list[str], aggs: list[Ag
         raise ValueError(strategy)
     g = duration_micros(gap)
     ntz = is_ntz(df, ts)
+    if ntz:
+        require_utc(df.sparkSession)
     t = to_micros(F.col(ts))
     # 1. exact pre-aggregation per (key, gap-wide bucket); buckets are grouped
     #    into chunks of `chunk` consecutive buckets
@@ -152,6 +159,10 @@ def session_agg(df: DataFrame, ts: str, gap: str, keys: list[str], aggs: list[Ag
              .agg(F.min(t).alias("_lo"), F.max(t).alias("_hi"),
                   *[c for a in aggs for c in _partial(a)])
              .withColumn("_c", F.floor(F.col("_b") / F.lit(chunk))))
+    # Both branches below read the buckets: they are dealt out once, by (key, chunk),
+    # and the exchange is reused, so that the input is read once.  That takes the same
+    # columns in both, which is why the summary's last bucket is a maximum over all.
+    parts = parts.repartition(*[F.col(k) for k in keys], F.col("_c"))
     pcols = [c for c in parts.columns if c.startswith("_p_")]
     # 2. inside a chunk (at most `chunk` rows): a bucket starts a session when the
     #    previous bucket is not adjacent (an empty bucket between means a gap
@@ -167,7 +178,7 @@ def session_agg(df: DataFrame, ts: str, gap: str, keys: list[str], aggs: list[Ag
     #    session, and the last start of all earlier chunks.
     wc = Window.partitionBy(*keys).orderBy("_c")
     chunks = (local.groupBy(*keys, "_c").agg(
-                  F.min("_b").alias("_fb"), F.min("_lo").alias("_flo"), F.max("_b").alias("_lb"),
+                  F.min("_b").alias("_fb"), F.min("_lo").alias("_flo"), F.max(F.struct("_b", *pcols))["_b"].alias("_lb"),
                   F.max("_hi").alias("_lhi"), F.max("_start").alias("_ls"))
               .withColumn("_first_start", F.lag("_lb").over(wc).isNull()
                           | (F.lag("_lb").over(wc) != F.col("_fb") - 1)

@@ -16,7 +16,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.functions import hash_code_udf, register_sql_functions, schemas
+from eventide.functions import (clock_text, hash_code_pandas, hash_code_udf, register_sql_functions, scalar_function,
+                                schemas)
 from eventide.operators import cdc, live_clicks
 from eventide.operators.lateral import lateral_split_dict
 from eventide.operators.timeutil import duration_micros, with_event_time
@@ -24,6 +25,7 @@ from eventide.operators.windows import count_, max_, min_, avg_
 from eventide.plans import adapters, jobs
 from eventide.session import shared_path
 from eventide.sinks import csv_sink, jdbc_execute, jdbc_upsert, jdbc_write, write_json_messages
+from eventide.sinks.tables import create_table, insert_into
 from eventide.sinks.cdc_jdbc import apply_folded, create_cdc_tables
 from eventide.sources import csv_json_cells, csv_table, decode_json, jdbc_table, json_value_files, parquet_table
 from eventide.sources.files import parquet_dir
@@ -42,6 +44,13 @@ def _t(spark: SparkSession, sf_dir: str, name: str, stream: bool = False) -> Dat
     return parquet_table(spark, sf_dir, name, stream=stream)
 
 
+def _spread_to(spark: SparkSession) -> int | None:
+    """Tasks that fan-out steps are dealt out to: the caller's setting, for tables
+    whose files cannot be split; unset, plans are the same on every cluster."""
+    n = spark.conf.get("eventide.spreadTo", None)
+    return int(n) if n else None
+
+
 def _round_avg(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, F.round(col, 6))
 
@@ -59,7 +68,7 @@ def q_wordcount_csv(spark, sf_dir):
 
 
 def q_wordcount_tokens(spark, sf_dir):
-    return jobs.wordcount_tokens(_t(spark, sf_dir, "documents"))
+    return jobs.wordcount_tokens(_t(spark, sf_dir, "documents"), _spread_to(spark))
 
 
 def q_sql_projection(spark, sf_dir):
@@ -83,23 +92,38 @@ def q_json_messages(spark, sf_dir):
 
 
 def q_sex_count(spark, sf_dir):
-    return jobs.sex_count(adapters.user_actions(_t(spark, sf_dir, "events")))
+    return jobs.sex_count(adapters.user_actions(_t(spark, sf_dir, "events")), spread_to=_spread_to(spark))
 
 
 def q_sex_topn(spark, sf_dir):
-    return jobs.sex_topn(adapters.user_actions(_t(spark, sf_dir, "events")))
+    return jobs.sex_topn(adapters.user_actions(_t(spark, sf_dir, "events")), spread_to=_spread_to(spark))
 
 
 def q_sex_topn_daily(spark, sf_dir):
-    return jobs.sex_topn(adapters.user_actions(_t(spark, sf_dir, "events")), 5, DAY, HOUR)
+    return jobs.sex_topn(adapters.user_actions(_t(spark, sf_dir, "events")), 5, DAY, HOUR, spread_to=_spread_to(spark))
 
 
 def q_sex_top_json(spark, sf_dir):
-    return jobs.sex_top_json(adapters.user_actions(_t(spark, sf_dir, "events")))
+    return jobs.sex_top_json(adapters.user_actions(_t(spark, sf_dir, "events")), spread_to=_spread_to(spark))
 
 
 def q_sex_top_json_daily(spark, sf_dir):
-    return jobs.sex_top_json(adapters.user_actions(_t(spark, sf_dir, "events")), 10, DAY, HOUR)
+    return jobs.sex_top_json(adapters.user_actions(_t(spark, sf_dir, "events")), 10, DAY, HOUR, spread_to=_spread_to(spark))
+
+
+def q_sex_topn_panes(spark, sf_dir):
+    return jobs.sex_topn(adapters.user_actions(_t(spark, sf_dir, "events")), strategy="panes", spread_to=_spread_to(spark))
+
+
+def _nullable_actions(actions):
+    """Every seventh user without a name, and one user in seven named "null"."""
+    n = F.pmod(F.col("name").cast("bigint"), F.lit(7))
+    return actions.withColumn("name", F.when(n == 1, F.lit("null")).when(n != 0, F.col("name")))
+
+
+def q_sex_top_json_nulls(spark, sf_dir):
+    actions = _nullable_actions(adapters.user_actions(_t(spark, sf_dir, "events")))
+    return jobs.sex_top_json(actions, 10, DAY, HOUR, spread_to=_spread_to(spark))
 
 
 def q_running_topn(spark, sf_dir):
@@ -111,11 +135,11 @@ def q_cpu_tumbling(spark, sf_dir):
 
 
 def q_cpu_sliding(spark, sf_dir):
-    return jobs.cpu_sliding(adapters.cpu_usage(_t(spark, sf_dir, "events")), strategy="panes")
+    return jobs.cpu_sliding(adapters.cpu_usage(_t(spark, sf_dir, "events")), strategy="panes", spread_to=_spread_to(spark))
 
 
 def q_cpu_sliding_direct(spark, sf_dir):
-    return jobs.cpu_sliding(adapters.cpu_usage(_t(spark, sf_dir, "events")), strategy="direct")
+    return jobs.cpu_sliding(adapters.cpu_usage(_t(spark, sf_dir, "events")), strategy="direct", spread_to=_spread_to(spark))
 
 
 def q_cpu_session(spark, sf_dir):
@@ -145,6 +169,44 @@ def q_hash_code_udf(spark, sf_dir):
     return w.select("id", "word", hash_code_udf()(F.col("id")).alias("hash_id"))
 
 
+def q_hash_code_vectorised(spark, sf_dir):
+    """Order keys with large odd values and NULLs, in one Arrow batch after another."""
+    k = F.col("id")
+    big = (F.when(k % 5 == 0, F.lit(None).cast("bigint")).when(k % 5 == 1, k + F.lit((1 << 62) + 1))
+           .when(k % 5 == 2, -k - F.lit((1 << 61) - 2)).when(k % 5 == 3, k + F.lit(9007199254740993)).otherwise(k))
+    w = _order_words(spark, sf_dir).select(k.alias("o_id"), big.alias("id")).coalesce(1)
+    # as text: values beyond 2^53 beside NULLs must not pass through doubles on their way out
+    return w.select("o_id", F.col("id").cast("string").alias("id"),
+                    hash_code_pandas()(F.col("id")).cast("string").alias("hash_id"))
+
+
+def q_scalar_variadic(spark, sf_dir):
+    """A scalar function over any number of columns, through ``scalar_function``."""
+    class Glue:
+        def eval(self, *args):
+            return "|".join("-" if a is None else str(a) for a in args)
+
+    glue = scalar_function(Glue(), "string")
+    o = _t(spark, sf_dir, "orders")
+    return o.select("o_orderkey", glue("o_orderkey", "o_orderstatus").alias("two"),
+                    glue("o_orderkey", "o_custkey", "o_orderstatus").alias("three"))
+
+
+def q_window_clock_text(spark, sf_dir):
+    out = jobs.cpu_tumbling(adapters.cpu_usage(_t(spark, sf_dir, "events")))
+    return out.groupBy(clock_text("start_time").alias("clock")).agg(F.count(F.lit(1)).alias("windows"))
+
+
+def q_insert_into(spark, sf_dir):
+    """Counts inserted into a table in two statements, then read back and summed."""
+    name = f"wordcount_{uuid.uuid4().hex[:10]}"
+    create_table(spark, name, "word STRING, cnt BIGINT", shared_path(spark, name))
+    words = adapters.words(_t(spark, sf_dir, "events"))
+    for part in (0, 1):
+        insert_into(spark, name, "SELECT word, count(1) AS cnt FROM {w} GROUP BY word", w=words.where(F.col("id") % 2 == part))
+    return spark.table(name).groupBy("word").agg(F.sum("cnt").alias("cnt"))
+
+
 def _input_table_csv(spark, sf_dir):
     path = shared_path(spark, "input-table-csv")
     csv_sink(adapters.input_table(_t(spark, sf_dir, "events")), path)
@@ -160,7 +222,7 @@ def q_lateral_left(spark, sf_dir):
 
 
 def q_lateral_udtf(spark, sf_dir):
-    return lateral_split_dict(_input_table_csv(spark, sf_dir))
+    return lateral_split_dict(_input_table_csv(spark, sf_dir), spread_to=_spread_to(spark))
 
 
 def q_cdc_snapshot(spark, sf_dir):
@@ -308,7 +370,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sex_topn_daily": q_sex_topn_daily,
     "sex_top_json": q_sex_top_json,
     "sex_top_json_daily": q_sex_top_json_daily,
+    "sex_topn_panes": q_sex_topn_panes,
+    "sex_top_json_nulls": q_sex_top_json_nulls,
     "running_topn": q_running_topn,
+    "hash_code_vectorised": q_hash_code_vectorised,
+    "scalar_variadic": q_scalar_variadic,
+    "window_clock_text": q_window_clock_text,
+    "insert_into": q_insert_into,
     "cpu_tumbling": q_cpu_tumbling,
     "cpu_sliding": q_cpu_sliding,
     "cpu_sliding_direct": q_cpu_sliding_direct,
@@ -373,15 +441,15 @@ def _session(src: str, key: str, gap: str, key_alias: str) -> str:
             f"THEN 1 ELSE 0 END AS nw FROM {src} x WHERE ts IS NOT NULL) a) b GROUP BY {key}, sid")
 
 
-def _topn(size: str, slide: str, n: int) -> str:
+def _topn(size: str, slide: str, n: int, src: str = _LIVE, nulls: str = "") -> str:
     return (f"SELECT start_time, end_time, sex, name, cnt FROM (SELECT start_time, end_time, sex, name, count(*) AS cnt "
-            f"FROM {_hop(_LIVE, size, slide, 'sex, name')} h GROUP BY ALL) c "
-            f"QUALIFY row_number() OVER (PARTITION BY start_time, end_time, sex ORDER BY cnt DESC, name) <= {n}")
+            f"FROM {_hop(src, size, slide, 'sex, name')} h GROUP BY ALL) c "
+            f"QUALIFY row_number() OVER (PARTITION BY start_time, end_time, sex ORDER BY cnt DESC, name {nulls}) <= {n}")
 
 
-def _top_json(size: str, slide: str, n: int) -> str:
-    return (f"SELECT sex, '{{' || string_agg('\"' || name || '\":' || cnt, ',' ORDER BY cnt DESC, name) || '}}' AS top10, "
-            f"start_time, end_time FROM ({_topn(size, slide, n)}) t GROUP BY sex, start_time, end_time")
+def _top_json(size: str, slide: str, n: int, src: str = _LIVE, nulls: str = "", name: str = "name") -> str:
+    return (f"SELECT sex, '{{' || string_agg('\"' || {name} || '\":' || cnt, ',' ORDER BY cnt DESC, name {nulls}) || '}}' AS top10, "
+            f"start_time, end_time FROM ({_topn(size, slide, n, src, nulls)}) t GROUP BY sex, start_time, end_time")
 
 
 _TUMBLE_CPU = (f"SELECT start_time, end_time, cluster_name, max(cpu_usage) AS max_cpu_usage, "
@@ -398,6 +466,14 @@ _WORDS = "SELECT event_type AS word, count(*) AS cnt FROM events GROUP BY event_
 _HASH = ("SELECT o_orderkey AS id, o_orderstatus AS word, (CASE WHEN o_orderkey >= 0 THEN o_orderkey % 2305843009213693951 "
          "ELSE -((-(o_orderkey + 1)) % 2305843009213693951 + 1) % 2305843009213693951 END) * 12 AS hash_id FROM orders")
 
+_NULLABLE = (f"(SELECT * REPLACE (CASE WHEN name::BIGINT % 7 = 1 THEN 'null' WHEN name::BIGINT % 7 <> 0 THEN name END AS name) "
+             f"FROM {_LIVE} z)")
+_BIG = ("CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN o_orderkey + 4611686018427387905 "
+        "WHEN 2 THEN -o_orderkey - 2305843009213693950 WHEN 3 THEN o_orderkey + 9007199254740993 ELSE o_orderkey END")
+_HASH_BIG = (f"SELECT o_id, id::VARCHAR AS id, (CASE WHEN w >= 9223372036854775808 THEN w - 18446744073709551616 ELSE w END)::VARCHAR AS hash_id "
+             f"FROM (SELECT *, ((CASE WHEN h = -1 THEN -2 ELSE h END * 12) % 18446744073709551616 + 18446744073709551616) "
+             f"% 18446744073709551616 AS w FROM (SELECT *, CASE WHEN id < 0 THEN -((-id::HUGEINT) % 2305843009213693951) "
+             f"ELSE id::HUGEINT % 2305843009213693951 END AS h FROM (SELECT o_orderkey AS o_id, {_BIG} AS id FROM orders) a) b) c")
 _ITEMS = (f"SELECT 'x' || event_id AS id, event_type AS bs3_name, CAST(user_id AS INTEGER) AS bs3_name_id, "
           f"CAST(event_id AS INTEGER) AS bs1_name_id, {_K} AS bs2_name_id, 'u' || user_id AS bs2_name, "
           f"'e' || event_id AS bs1_name FROM events WHERE event_type IN ('click', 'view') "
@@ -426,7 +502,15 @@ _ORACLE = {
     "sex_topn_daily": _topn(DAY, HOUR, 5),
     "sex_top_json": _top_json(jobs.CLICK_WINDOW, jobs.CLICK_SLIDE, jobs.CLICK_TOP_UDF),
     "sex_top_json_daily": _top_json(DAY, HOUR, 10),
+    "sex_topn_panes": _topn(jobs.CLICK_WINDOW, jobs.CLICK_SLIDE, jobs.CLICK_TOP_SQL),
+    "sex_top_json_nulls": _top_json(DAY, HOUR, 10, _NULLABLE, "NULLS FIRST", "coalesce(name, 'null')"),
     "running_topn": _RUNNING,
+    "hash_code_vectorised": _HASH_BIG,
+    "scalar_variadic": ("SELECT o_orderkey, concat_ws('|', o_orderkey, coalesce(o_orderstatus, '-')) AS two, "
+                        "concat_ws('|', o_orderkey, coalesce(o_custkey::VARCHAR, '-'), coalesce(o_orderstatus, '-')) AS three FROM orders"),
+    "window_clock_text": (f"SELECT strftime(start_time, '%H:%M:%S') AS clock, count(*) AS windows FROM ({_TUMBLE_CPU}) t "
+                          "GROUP BY clock"),
+    "insert_into": _WORDS,
     "cpu_tumbling": _TUMBLE_CPU,
     "cpu_sliding": _SLIDE_CPU,
     "cpu_sliding_direct": _SLIDE_CPU,

@@ -29,32 +29,28 @@ def wordcount(words: DataFrame) -> DataFrame:
     return word_count(words)
 
 
-def wordcount_tokens(docs: DataFrame) -> DataFrame:
-    return token_count(docs, "text", " ")
+def wordcount_tokens(docs: DataFrame, spread_to: int | None = None) -> DataFrame:
+    return token_count(docs, "text", " ", spread_to=spread_to)
 
 
-def mirror(words: DataFrame) -> DataFrame:
-    """SELECT id, word FROM words (the CDC job's projection)."""
-    return words.select("id", "word")
-
-
-def sex_count(actions: DataFrame, size: str = CLICK_WINDOW, slide: str = CLICK_SLIDE) -> DataFrame:
+def sex_count(actions: DataFrame, size: str = CLICK_WINDOW, slide: str = CLICK_SLIDE, strategy: str = "direct",
+              spread_to: int | None = None) -> DataFrame:
     """Live clicks per sex and hop window -> sex, cnt, start_time, end_time."""
-    out = hop_agg(live_clicks(actions), "ts", size, slide, ["sex"], [count_("cnt")])
+    out = hop_agg(live_clicks(actions), "ts", size, slide, ["sex"], [count_("cnt")], strategy, spread_to)
     return out.select("sex", "cnt", "start_time", "end_time")
 
 
 def sex_topn(actions: DataFrame, n: int = CLICK_TOP_SQL, size: str = CLICK_WINDOW,
-             slide: str = CLICK_SLIDE) -> DataFrame:
+             slide: str = CLICK_SLIDE, strategy: str = "direct", spread_to: int | None = None) -> DataFrame:
     """Top-n names per (hop window, sex) -> start_time, end_time, sex, name, cnt."""
-    out = window_topn(live_clicks(actions), "ts", size, slide, ["sex"], "name", n)
+    out = window_topn(live_clicks(actions), "ts", size, slide, ["sex"], "name", n, strategy, spread_to)
     return out.select("start_time", "end_time", "sex", "name", "cnt")
 
 
 def sex_top_json(actions: DataFrame, n: int = CLICK_TOP_UDF, size: str = CLICK_WINDOW,
-                 slide: str = CLICK_SLIDE) -> DataFrame:
+                 slide: str = CLICK_SLIDE, strategy: str = "direct", spread_to: int | None = None) -> DataFrame:
     """TopN(name, n) aggregate as JSON text -> sex, top10, start_time, end_time."""
-    return topn_json(live_clicks(actions), "ts", size, slide, "sex", "name", n, alias="top10")
+    return topn_json(live_clicks(actions), "ts", size, slide, "sex", "name", n, "top10", strategy, spread_to)
 
 
 def running_top(actions: DataFrame, n: int = CLICK_TOP_UDF) -> DataFrame:
@@ -69,8 +65,8 @@ def cpu_tumbling(cpu: DataFrame, size: str = TUMBLE_SIZE) -> DataFrame:
 
 
 def cpu_sliding(cpu: DataFrame, size: str = SLIDE_SIZE, slide: str = SLIDE_STEP,
-                strategy: str = "auto") -> DataFrame:
-    return hop_agg(cpu, "ts", size, slide, ["cluster_name"], [count_("cnt")], strategy=strategy)
+                strategy: str = "auto", spread_to: int | None = None) -> DataFrame:
+    return hop_agg(cpu, "ts", size, slide, ["cluster_name"], [count_("cnt")], strategy, spread_to)
 
 
 def cpu_session(cpu: DataFrame, gap: str = SESSION_GAP, strategy: str = "buckets") -> DataFrame:

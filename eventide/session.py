@@ -46,14 +46,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
     Read from the session (``spark.checkpoint.dir`` or the SparkContext's
-    checkpoint dir).  If neither is set we are not on a cluster: create a
-    local folder and register it, as tests do.
+    checkpoint dir).  If neither is set, a local master gets a local folder, as
+    in tests; on a cluster that folder would be another one on every machine,
+    so a missing setting is an error there.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all of {sc.master} shares")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="eventide-ckpt-"))
         root = sc.getCheckpointDir()
     return root.rstrip("/")
