@@ -18,7 +18,7 @@ answers "where does document i start" from one sample and one popcount scan.
 Defined results
     null text           no ids but the end id
     null identifier     sorted first, kept as null
-    repeated rows       each is a document of its own, in order of its text
+    repeated rows       each is a document of its own; rows of one identifier are ordered by a hash of the text
     empty table         no file, an empty result
     extra columns       ignored
     very long texts     encoded whole; a file is closed at the first document past ``file_ids`` ids
@@ -142,8 +142,10 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, folder: str
     """Write all documents as token files; return the manifest, a written table
     (path, base, n_docs, n_ids) with ``base`` the ids of all files before."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    parts = rows.repartitionByRange(F.col("id").asc_nulls_first(), F.col("text"))
-    ordered = parts.sortWithinPartitions(F.col("id").asc_nulls_first(), F.col("text"))
+    # The range's sample goes to the driver: it holds two numbers a row, no text.
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    parts = rows.repartitionByRange(F.col("id").asc_nulls_first(), "h")
+    ordered = parts.sortWithinPartitions(F.col("id").asc_nulls_first(), "h").drop("h")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
