@@ -14,7 +14,7 @@ Stream jobs read JSON messages from a folder of text files (``--json-dir``)
 or a Kafka topic (``--kafka`` + ``--topic``; needs the connector jar), run
 with ``--trigger`` (default: process what is there and stop) and keep their
 checkpoint below ``--output`` (or ``--checkpoint``).  Without ``--output``
-results are printed.
+results are printed: the first ``--rows`` of them (20 unless said otherwise).
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from eventide.operators import with_event_time
 from eventide.operators.windows import avg_, count_, max_, min_
 from eventide.plans import jobs
 from eventide.sinks import csv_sink, jdbc_upsert, show
+from eventide.sinks.dialects import dialect_for
 from eventide.sources import csv_json_cells, csv_table, decode_json, jdbc_table, json_value_files, kafka_json
 from eventide.sources.files import parquet_dir
 from eventide.streaming import jobs as sjobs
@@ -56,13 +57,15 @@ def main(argv=None) -> None:
     ap.add_argument("--json-dir"); ap.add_argument("--kafka"); ap.add_argument("--topic"); ap.add_argument("--group")
     ap.add_argument("--max-files", type=int); ap.add_argument("--trigger", default="availableNow")
     ap.add_argument("--checkpoint"); ap.add_argument("--rocksdb", action="store_true")
-    ap.add_argument("--n", type=int); ap.add_argument("--rows", type=int, default=20)
+    ap.add_argument("--n", type=int); ap.add_argument("--rows", type=int, default=20,
+                                                                help="result rows to print without --output")
     ap.add_argument("--url"); ap.add_argument("--source"); ap.add_argument("--sink"); ap.add_argument("--table")
     ap.add_argument("--changes"); ap.add_argument("--driver")
     ap.add_argument("--changelog", action="store_true", help="running-topn: also write +/- change rows")
-    ap.add_argument("--panes", action="store_true", help="sliding: pre-aggregate slide-wide panes (dense streams)")
+    ap.add_argument("--panes", action="store_true", help="sliding, click-rank, click-top-json: pre-aggregate slide-wide panes (dense streams)")
     ap.add_argument("--word-type", help="jdbc-wordcount: SQL type the staged word is cast to in the MERGE "
                                         "(e.g. VARCHAR(256) where strings are staged as CLOB)")
+    ap.add_argument("--dialect", choices=["merge", "mysql", "postgres"], help="SQL dialect of --url (default: by the URL)")
     ap.add_argument("--master")
     a = ap.parse_args(argv)
 
@@ -80,17 +83,19 @@ def main(argv=None) -> None:
     elif a.job == "udtf":
         _emit(jobs.split_lateral(csv_json_cells(spark, a.input), outer=a.outer), a)
     elif a.job == "jdbc-wordcount":
-        counts = jobs.wordcount(jdbc_table(spark, a.url, a.source, "id", properties=props))
-        jdbc_upsert(counts, a.url, a.sink, ["word"], props, casts={"word": a.word_type} if a.word_type else None)
+        d = dialect_for(a.url, a.dialect)
+        counts = jobs.wordcount(jdbc_table(spark, a.url, a.source, "id", properties=props, quote=d.mark))
+        jdbc_upsert(counts, a.url, a.sink, ["word"], props, casts={"word": a.word_type} if a.word_type else None, dialect=d)
     elif a.job == "click-rank":
         counts, top = sjobs.run_click_rank(_messages(spark, a, schemas.USER_ACTION), a.output, n=a.n or 5,
-                                           opts=opts)
+                                           opts=opts, strategy="panes" if a.panes else "direct")
         if not a.output:
             show(counts, a.rows); show(top, a.rows)
     elif a.job == "click-top-json":
         from eventide.operators import live_clicks
         out = sjobs.run_window_topn_json(live_clicks(_messages(spark, a, schemas.USER_ACTION)), jobs.CLICK_WINDOW,
-                                         jobs.CLICK_SLIDE, "sex", "name", a.n or 10, opts=opts, path=a.output)
+                                         jobs.CLICK_SLIDE, "sex", "name", a.n or 10, opts=opts, path=a.output,
+                                         strategy="panes" if a.panes else "direct")
         show(out, a.rows)
     elif a.job == "running-topn":
         show(sjobs.run_running_topn(_messages(spark, a, schemas.USER_ACTION), "sex", "name", a.n or 10,
@@ -113,7 +118,7 @@ def main(argv=None) -> None:
         schema = spark.read.parquet(a.changes).schema
         changes = parquet_dir(spark, a.changes, schema, stream=True, max_files_per_trigger=a.max_files)
         if a.url:
-            sjobs.run_cdc_jdbc(changes, a.url, a.table, props, opts, checkpoint=a.checkpoint)
+            sjobs.run_cdc_jdbc(changes, a.url, a.table, props, opts, checkpoint=a.checkpoint, dialect=a.dialect)
         else:
             show(sjobs.run_cdc_snapshot(changes, opts, path=a.output), a.rows)
 

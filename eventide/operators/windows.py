@@ -189,7 +189,8 @@ def session_agg(df: DataFrame, ts: str, gap: str, keys: list[str], aggs: list[Ag
                   wc.rowsBetween(Window.unboundedPreceding, -1)))
               .select(*keys, "_c", "_fb", "_first_start", "_carry"))
     lo, ch = local.alias("l"), chunks.alias("c")
-    cond = [F.col(f"l.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys] + [F.col("l._c") == F.col("c._c")]
+    # (null-safe for the chunk, too: a not-null filter on one side only would split the exchange in two)
+    cond = [F.col(f"l.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys] + [F.col("l._c").eqNullSafe(F.col("c._c"))]
     sessions = (lo.join(ch, cond, "inner")
                 .select(*[F.col(f"l.{k}").alias(k) for k in keys], "l._lo", "l._hi",
                         *[F.col(f"l.{c}") for c in pcols],

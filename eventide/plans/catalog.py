@@ -24,7 +24,7 @@ from eventide.operators.timeutil import duration_micros, with_event_time
 from eventide.operators.windows import count_, max_, min_, avg_
 from eventide.plans import adapters, jobs
 from eventide.session import shared_path
-from eventide.sinks import csv_sink, jdbc_execute, jdbc_upsert, jdbc_write, write_json_messages
+from eventide.sinks import csv_sink, jdbc_execute, jdbc_upsert, jdbc_write, to_json_messages, write_json_messages
 from eventide.sinks.tables import create_table, insert_into
 from eventide.sinks.cdc_jdbc import apply_folded, create_cdc_tables
 from eventide.sources import csv_json_cells, csv_table, decode_json, jdbc_table, json_value_files, parquet_table
@@ -34,6 +34,8 @@ from eventide.streaming import runtime as rt
 
 DERBY_URL = "jdbc:derby:memory:eventide;create=true"
 DERBY_PROPS = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+# The target's type of a word; a longer word fails the write, none is cut.
+WORD_TYPE = "VARCHAR(255)"
 
 # Daily variants rank over dense groups (the reference's 60 s windows hold
 # about one click each in the driver's data).
@@ -234,11 +236,11 @@ def q_jdbc_wordcount(spark, sf_dir):
     tag = uuid.uuid4().hex[:12]
     src, dst = f"words_{tag}", f"wordcount_{tag}"
     words = adapters.words(_t(spark, sf_dir, "events")).select(F.col("id").cast("int").alias("id"), "word")
-    jdbc_write(words, DERBY_URL, src, "overwrite", DERBY_PROPS, column_types="word VARCHAR(1024)")
-    jdbc_execute(spark, DERBY_URL, [f'CREATE TABLE {dst} ("word" VARCHAR(1024) NOT NULL PRIMARY KEY, "cnt" BIGINT)'],
+    jdbc_write(words, DERBY_URL, src, "overwrite", DERBY_PROPS, column_types=f"word {WORD_TYPE}")
+    jdbc_execute(spark, DERBY_URL, [f'CREATE TABLE {dst} ("word" {WORD_TYPE} NOT NULL PRIMARY KEY, "cnt" BIGINT)'],
                  DERBY_PROPS)
     counts = jobs.wordcount(jdbc_table(spark, DERBY_URL, src, "id", properties=DERBY_PROPS, num_partitions=8))
-    jdbc_upsert(counts, DERBY_URL, dst, ["word"], DERBY_PROPS, batch_id=0, casts={"word": "VARCHAR(1024)"})
+    jdbc_upsert(counts, DERBY_URL, dst, ["word"], DERBY_PROPS, batch_id=0, casts={"word": WORD_TYPE})
     return jdbc_table(spark, DERBY_URL, dst, properties=DERBY_PROPS)
 
 
@@ -345,6 +347,92 @@ def q_stream_restart(spark, sf_dir):
     return out
 
 
+def q_stream_savepoint(spark, sf_dir):
+    """The window top-N stopped after half the input; a copy of its checkpoint goes on with the rest.
+
+    (Not a file sink's job: that sink's log lists every batch from the first on.)
+    """
+    base = shared_path(spark, "savepoint")
+    ev_schema = _t(spark, sf_dir, "events").schema
+    outs = []
+    for run, batch in (("first", (0, 1)), ("copy", (2, 3))):
+        _write_quarters(spark, sf_dir, f"{base}/src", order=batch)
+        if run == "copy":
+            rt.copy_checkpoint(spark, f"{base}/first/_checkpoint", f"{base}/copy/_checkpoint")
+        stream = with_event_time(adapters.user_actions(parquet_dir(spark, f"{base}/src/*", ev_schema, stream=True)))
+        out = sjobs.run_window_topn(live_clicks(stream), DAY, HOUR, ["sex"], "name", 5, path=f"{base}/{run}")
+        outs.append(out.select("start_time", "end_time", "sex", "name", "cnt"))
+    return outs[0].unionByName(outs[1])
+
+
+#: Files per slice of derived messages: a micro-batch reads one slice.
+SLICE_FILES = 4
+
+
+def _message_stream(spark, sf_dir, derive, schema):
+    """The events as four time-ordered slices of JSON messages, every fiftieth a broken one
+    beside it; a stream that decodes them, one slice per micro-batch, with its watermark."""
+    base = shared_path(spark, "messages")
+    ev = _t(spark, sf_dir, "events")
+
+    def as_text(part):
+        good = to_json_messages(derive(part)).select("value")
+        broken = part.where(F.col("event_id") % 50 == 0).select(F.concat(F.lit('{"ts": '), "event_type").alias("value"))
+        return good.unionByName(broken).repartition(SLICE_FILES)
+
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    for i in range(4):
+        part = ev.where((F.col("ts") >= lo + (hi - lo) / 4 * i) & ((F.col("ts") < lo + (hi - lo) / 4 * (i + 1)) | F.lit(i == 3)))
+        as_text(part).write.text(f"{base}/s{i}")
+    raw = json_value_files(spark, f"{base}/*", stream=True, max_files_per_trigger=SLICE_FILES)
+    return with_event_time(decode_json(raw, schema), "ts", schemas.WATERMARK_DELAY)
+
+
+def q_stream_json_tumbling(spark, sf_dir):
+    out = sjobs.run_window_agg(_message_stream(spark, sf_dir, adapters.cpu_usage, schemas.CPU_USAGE), "tumble", ["cluster_name"],
+                               [max_("cpu_usage", "max_cpu_usage"), min_("cpu_usage", "min_cpu_usage"),
+                                avg_("cpu_usage", "avg_cpu_usage")], jobs.TUMBLE_SIZE)
+    return _round_avg(out, "avg_cpu_usage")
+
+
+def q_stream_json_sliding(spark, sf_dir):
+    return sjobs.run_window_agg(_message_stream(spark, sf_dir, adapters.cpu_usage, schemas.CPU_USAGE), "hop",
+                                ["cluster_name"], [count_("cnt")], jobs.SLIDE_SIZE, jobs.SLIDE_STEP)
+
+
+def q_stream_json_sex_topn(spark, sf_dir):
+    actions = _message_stream(spark, sf_dir, adapters.user_actions, schemas.USER_ACTION)
+    out = sjobs.run_window_topn(live_clicks(actions), DAY, HOUR, ["sex"], "name", 5)
+    return out.select("start_time", "end_time", "sex", "name", "cnt")
+
+
+def q_stream_sex_topn_panes(spark, sf_dir):
+    out = sjobs.run_window_topn(live_clicks(_actions_stream(spark, sf_dir)), DAY, HOUR, ["sex"], "name", 5,
+                                strategy="panes")
+    return out.select("start_time", "end_time", "sex", "name", "cnt")
+
+
+def q_stream_click_rank(spark, sf_dir):
+    """The job of two sinks, side by side: clicks per sex (rows without a name) and the top 5 names."""
+    counts, top = sjobs.run_click_rank(_actions_stream(spark, sf_dir), size=DAY, slide=HOUR)
+    cols = ["start_time", "end_time", "sex", "name", "cnt"]
+    return counts.withColumn("name", F.lit(None).cast("string")).select(cols).unionByName(top.select(cols))
+
+
+def _input_table_stream(spark, sf_dir):
+    path = shared_path(spark, "input-table-stream")
+    csv_sink(adapters.input_table(_t(spark, sf_dir, "events")), path)
+    return csv_json_cells(spark, path, stream=True)
+
+
+def q_stream_lateral_inner(spark, sf_dir):
+    return rt.run_to_table(jobs.split_lateral(_input_table_stream(spark, sf_dir), outer=False), "stream-lateral")
+
+
+def q_stream_lateral_left(spark, sf_dir):
+    return rt.run_to_table(jobs.split_lateral(_input_table_stream(spark, sf_dir), outer=True), "stream-lateral")
+
+
 def q_cdc_stream(spark, sf_dir):
     """Change records in four micro-batches arriving out of seq order (3rd, 1st, 4th, 2nd)."""
     base = shared_path(spark, "cdc-stream")
@@ -401,6 +489,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_sex_top_json": q_stream_sex_top_json,
     "stream_running_topn": q_stream_running_topn,
     "stream_restart": q_stream_restart,
+    "stream_savepoint": q_stream_savepoint,
+    "stream_json_tumbling": q_stream_json_tumbling,
+    "stream_json_sliding": q_stream_json_sliding,
+    "stream_json_sex_topn": q_stream_json_sex_topn,
+    "stream_sex_topn_panes": q_stream_sex_topn_panes,
+    "stream_click_rank": q_stream_click_rank,
+    "stream_lateral_inner": q_stream_lateral_inner,
+    "stream_lateral_left": q_stream_lateral_left,
 }
 
 
@@ -488,6 +584,13 @@ _CDC = ("SELECT id, word FROM (SELECT CAST(user_id AS INTEGER) AS id, event_id A
         "WHERE event_type = 'view') c "
         "QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1 AND NOT del")
 
+
+
+def _in_seconds(sql: str) -> str:
+    """The same over events whose time is cut to seconds, as messages carry it."""
+    return f"WITH events AS (SELECT * REPLACE (date_trunc('second', ts) AS ts) FROM main.events) {sql}"
+
+
 _ORACLE = {
     "wordcount": _WORDS,
     "wordcount_csv": _WORDS,
@@ -535,6 +638,15 @@ _ORACLE = {
     "stream_sex_top_json": f"SELECT * FROM ({_top_json(jobs.CLICK_WINDOW, jobs.CLICK_SLIDE, jobs.CLICK_TOP_UDF)}) o WHERE {_CUT}",
     "stream_running_topn": _RUNNING,
     "stream_restart": f"SELECT * FROM ({_SLIDE_CPU}) o WHERE {_CUT}",
+    "stream_savepoint": f"SELECT * FROM ({_topn(DAY, HOUR, 5)}) o WHERE {_CUT}",
+    "stream_json_tumbling": _in_seconds(f"SELECT * FROM ({_TUMBLE_CPU}) o WHERE {_CUT}"),
+    "stream_json_sliding": _in_seconds(f"SELECT * FROM ({_SLIDE_CPU}) o WHERE {_CUT}"),
+    "stream_json_sex_topn": _in_seconds(f"SELECT * FROM ({_topn(DAY, HOUR, 5)}) o WHERE {_CUT}"),
+    "stream_sex_topn_panes": f"SELECT * FROM ({_topn(DAY, HOUR, 5)}) o WHERE {_CUT}",
+    "stream_click_rank": (f"SELECT * FROM ({_topn(DAY, HOUR, 5)}) o WHERE {_CUT} UNION ALL SELECT start_time, end_time, sex, "
+                          f"NULL, count(*) FROM {_hop(_LIVE, DAY, HOUR, 'sex')} h WHERE {_CUT} GROUP BY ALL"),
+    "stream_lateral_inner": _ITEMS,
+    "stream_lateral_left": _ITEMS_LEFT,
 }
 
 

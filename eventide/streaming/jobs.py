@@ -3,13 +3,19 @@
 Every job takes a streaming DataFrame shaped like the batch input (see
 ``eventide.plans.adapters``), marks event time with the 5 s watermark unless
 the source already declares one (declare it at the source, before filters),
-and runs to a table.  Windows are emitted in append mode once the watermark
+and runs to a table.  ``start_*`` starts a job and returns its query (several
+jobs then run side by side under an interval trigger); ``run_*`` starts it,
+waits for its end and returns the table.  A job's checkpoint lies at
+``StreamOptions.checkpoint``, else below its ``path``; jobs of several queries
+keep one sub-folder for each.  Windows are emitted in append mode once the watermark
 passes their end, so at the end of input the windows with
 ``end_time <= max(ts) - 5 s`` are final and present.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,35 +49,65 @@ def window_agg_stream(stream: DataFrame, kind: str, keys: list[str], aggs: list[
     return rt.ntz_bounds(out)
 
 
+def _options(opts: rt.StreamOptions | None, checkpoint: str | None = None, **changes) -> rt.StreamOptions:
+    """A copy of the caller's options with ``changes``; ``checkpoint`` where they name none."""
+    opts = opts or rt.StreamOptions()
+    return replace(opts, checkpoint=opts.checkpoint or checkpoint, **changes)
+
+
+def start_window_agg(stream: DataFrame, kind: str, keys: list[str], aggs: list[Agg], size: str,
+                     slide: str | None = None, opts: rt.StreamOptions | None = None,
+                     path: str | None = None, strategy: str = "direct"):
+    """(query, path, schema) of final window aggregates written to ``<path>/data``."""
+    out = window_agg_stream(stream, kind, keys, aggs, size, slide, strategy=strategy)
+    opts = _options(opts)
+    if kind == "session":
+        opts = replace(opts, conf={**rt.SESSION_LOCAL_MERGE, **opts.conf})
+    q, path = rt.start_to_table(out, f"stream-{kind}", opts, path)
+    return q, path, out.schema
+
+
 def run_window_agg(stream: DataFrame, kind: str, keys: list[str], aggs: list[Agg], size: str,
                    slide: str | None = None, opts: rt.StreamOptions | None = None,
                    path: str | None = None, strategy: str = "direct") -> DataFrame:
-    out = window_agg_stream(stream, kind, keys, aggs, size, slide, strategy=strategy)
-    if kind == "session":
-        opts = opts or rt.StreamOptions()
-        opts.conf = {**rt.SESSION_LOCAL_MERGE, **opts.conf}
-    return rt.run_to_table(out, f"stream-{kind}", opts=opts, path=path)
+    q, path, schema = start_window_agg(stream, kind, keys, aggs, size, slide, opts, path, strategy)
+    rt.wait(q)
+    return rt.read_table(stream.sparkSession, path, schema)
 
 
-def run_window_topn(stream: DataFrame, size: str, slide: str, group_cols: list[str], item_col: str,
-                    n: int, opts: rt.StreamOptions | None = None, path: str | None = None) -> DataFrame:
-    """Top-n per (hop window, group) on a stream.
+def _start_ranked(stream: DataFrame, name: str, size: str, slide: str, keys: list[str], fold,
+                  opts: rt.StreamOptions | None, path: str | None, strategy: str):
+    """Final window counts, folded per micro-batch into ``<path>/data/batch_id=<id>``."""
+    spark = stream.sparkSession
+    path = path or shared_path(spark, name)
+    counts = window_agg_stream(stream, "hop", keys, [count_("cnt")], size, slide, strategy=strategy)
+    opts = _options(opts, f"{path}/_checkpoint")
+    q = rt.start_foreach_batch(counts, rt.batch_partitioned_writer(f"{path}/data", fold), opts.checkpoint, opts)
+    return q, path, fold(spark.createDataFrame([], counts.schema)).schema
+
+
+def start_window_topn(stream: DataFrame, size: str, slide: str, group_cols: list[str], item_col: str,
+                      n: int, opts: rt.StreamOptions | None = None, path: str | None = None,
+                      strategy: str = "direct"):
+    """(query, path, schema) of the top-n per (hop window, group).
 
     Stage 1 is a watermarked count per (window, group, item) in append mode:
     all rows of a window leave state in the same micro-batch, once final.
     Stage 2 ranks each micro-batch (``WindowGroupLimit``) in ``foreachBatch``
     and overwrites ``batch_id=<id>``, so a replayed batch is written once.
+    A catch-up run closes many windows at once: bound its batches at the
+    source (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``).
     """
-    spark = stream.sparkSession
-    path = path or shared_path(spark, "stream-topn")
-    counts = window_agg_stream(stream, "hop", [*group_cols, item_col], [count_("cnt")], size, slide)
     rank = lambda b: rank_counts(b, ["start_time", "end_time", *group_cols], item_col, n)
-    q = rt.start_foreach_batch(counts, rt.batch_partitioned_writer(f"{path}/data", rank),
-                               f"{path}/_checkpoint", opts)
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return rt.read_batches(spark, f"{path}/data", rank(counts.sparkSession.createDataFrame([], counts.schema)).schema)
+    return _start_ranked(stream, "stream-topn", size, slide, [*group_cols, item_col], rank, opts, path, strategy)
+
+
+def run_window_topn(stream: DataFrame, size: str, slide: str, group_cols: list[str], item_col: str,
+                    n: int, opts: rt.StreamOptions | None = None, path: str | None = None,
+                    strategy: str = "direct") -> DataFrame:
+    q, path, schema = start_window_topn(stream, size, slide, group_cols, item_col, n, opts, path, strategy)
+    rt.wait(q)
+    return rt.read_batches(stream.sparkSession, f"{path}/data", schema)
 
 
 def running_topn_step(group_col: str, item_col: str, n: int):
@@ -104,98 +140,110 @@ def topn_changes(prev: DataFrame | None, new: DataFrame, group_col: str, item_co
     return out.select("op", *cols)
 
 
-def run_running_topn(stream: DataFrame, group_col: str, item_col: str, n: int,
-                     opts: rt.StreamOptions | None = None, path: str | None = None,
-                     changelog: bool = False) -> DataFrame:
-    """Unwindowed top-n per group, updated on every micro-batch (no watermark).
+def start_running_topn(stream: DataFrame, group_col: str, item_col: str, n: int,
+                       opts: rt.StreamOptions | None = None, path: str | None = None,
+                       changelog: bool = False):
+    """(query, path) of the unwindowed top-n per group, updated on every micro-batch (no watermark).
 
     With ``changelog=True`` each micro-batch also writes the rows that left or
     entered the top-n to ``<path>/changes/batch_id=<id>`` (``op`` '-' / '+').
     """
-    spark = stream.sparkSession
-    path = path or shared_path(spark, "stream-running-topn")
+    path = path or shared_path(stream.sparkSession, "stream-running-topn")
     counts = stream.groupBy(group_col, item_col).agg(F.count(F.lit(1)).alias("cnt"))
-    opts = opts or rt.StreamOptions()
-    opts.output_mode = "update"
+    opts = _options(opts, f"{path}/_checkpoint", output_mode="update")
     step = running_topn_step(group_col, item_col, n)
     table = f"{path}/table"
     if changelog:
         def fold(batch: DataFrame, batch_id: int) -> None:
-            prev = rt.read_version(batch.sparkSession, table, before=batch_id)
-            new = step(prev, batch)
-            rt.write_version(new, table, batch_id)
-            new = rt.read_version(batch.sparkSession, table)  # the committed copy, not a recomputation
-            (topn_changes(prev, new, group_col, item_col).write.mode("overwrite")
-             .parquet(f"{path}/changes/batch_id={batch_id}"))
-            vs = [v for v in rt.committed_versions(batch.sparkSession, table) if v <= batch_id]
+            spark = batch.sparkSession
+            prev = rt.read_version(spark, table, before=batch_id)
+            rt.write_version(step(prev, batch), table, batch_id)
+            new = rt.read_version(spark, table, before=batch_id + 1)  # the written copy, not a recomputation
+            rt.publish(topn_changes(prev, new, group_col, item_col), f"{path}/changes", f"batch_id={batch_id}")
+            vs = [v for v in rt.committed_versions(spark, table) if v <= batch_id]
             if len(vs) > 2:
-                rt.drop_versions_before(batch.sparkSession, table, vs[-2])
+                rt.drop_versions_before(spark, table, vs[-2])
     else:
         fold = rt.versioned_fold(table, step)
-    q = rt.start_foreach_batch(counts, fold, f"{path}/_checkpoint", opts)
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    out = rt.read_version(spark, table)
+    return rt.start_foreach_batch(counts, fold, opts.checkpoint, opts), path
+
+
+def run_running_topn(stream: DataFrame, group_col: str, item_col: str, n: int,
+                     opts: rt.StreamOptions | None = None, path: str | None = None,
+                     changelog: bool = False) -> DataFrame:
+    spark = stream.sparkSession
+    q, path = start_running_topn(stream, group_col, item_col, n, opts, path, changelog)
+    rt.wait(q)
+    out = rt.read_version(spark, f"{path}/table")
     if out is None:
         return spark.createDataFrame([], f"{group_col} string, {item_col} string, cnt bigint")
     return out
 
 
-def run_cdc_snapshot(changes: DataFrame, opts: rt.StreamOptions | None = None,
-                     path: str | None = None, buckets: int = 64) -> DataFrame:
-    """Fold a change-record stream into a keyed snapshot table; return its live rows.
+def start_cdc_snapshot(changes: DataFrame, opts: rt.StreamOptions | None = None,
+                       path: str | None = None, buckets: int = 64):
+    """(query, path) of a change-record stream folded into a keyed snapshot table.
 
     Each micro-batch rewrites only the key-hash buckets it touches
     (``sinks.cdc_files.fold_into_buckets``); tombstones are kept so records
-    arriving out of ``seq`` order never revive a deleted key.
+    arriving out of ``seq`` order never revive a deleted key.  A batch that was
+    published before, by this query, is recognised and left out.
     """
-    from eventide.sinks.cdc_files import fold_into_buckets, read_snapshot
+    from eventide.sinks.cdc_files import fold_into_buckets
 
     spark = changes.sparkSession
     path = path or shared_path(spark, "cdc")
-    table = f"{path}/table"
-    fn = lambda batch, batch_id: fold_into_buckets(batch, table, buckets)
-    q = rt.start_foreach_batch(changes, fn, f"{path}/_checkpoint", opts)
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    fs, p, _ = rt._fs(spark, table)
-    if not fs.exists(p):
-        return spark.createDataFrame([], schemas.WORDS_JDBC)
-    return read_snapshot(spark, table)
+    opts = _options(opts, f"{path}/_checkpoint")
+    owner: list[str] = []
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        owner[:] = owner or [rt.query_id(spark, opts.checkpoint)]
+        fold_into_buckets(batch, f"{path}/table", buckets, batch=(owner[0], batch_id))
+
+    return rt.start_foreach_batch(changes, fold, opts.checkpoint, opts), path
+
+
+def run_cdc_snapshot(changes: DataFrame, opts: rt.StreamOptions | None = None,
+                     path: str | None = None, buckets: int = 64) -> DataFrame:
+    """Fold what is there; return the snapshot's live rows."""
+    from eventide.sinks.cdc_files import read_snapshot
+
+    spark = changes.sparkSession
+    q, path = start_cdc_snapshot(changes, opts, path, buckets)
+    rt.wait(q)
+    out = read_snapshot(spark, f"{path}/table")
+    return spark.createDataFrame([], schemas.WORDS_JDBC) if out is None else out
 
 
 def run_jdbc_wordcount(words: DataFrame, url: str, table: str, properties: dict | None = None,
                        opts: rt.StreamOptions | None = None, checkpoint: str | None = None,
-                       casts: dict | None = None):
+                       casts: dict | None = None, dialect=None):
     """Streaming word count upserted into a JDBC table keyed by word.
 
     Update mode: each micro-batch carries the new totals of the words it
     touched; ``jdbc_upsert`` merges them in one transaction together with the
-    batch id, so a batch replayed after a restart is applied once.
+    query's identity and the batch id, so a batch replayed after a restart is
+    applied once, and a new query on the same table starts afresh.
     """
     from eventide.operators import word_count
     from eventide.sinks import jdbc_upsert
 
     spark = words.sparkSession
-    checkpoint = checkpoint or shared_path(spark, "jdbc-wordcount") + "/_checkpoint"
-    opts = opts or rt.StreamOptions()
-    opts.output_mode = "update"
+    opts = _options(opts, checkpoint or shared_path(spark, "jdbc-wordcount") + "/_checkpoint", output_mode="update")
+    owner: list[str] = []
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        jdbc_upsert(batch, url, table, ["word"], properties, batch_id=batch_id, casts=casts)
+        owner[:] = owner or [rt.query_id(spark, opts.checkpoint)]
+        jdbc_upsert(batch, url, table, ["word"], properties, batch_id=batch_id, casts=casts, dialect=dialect,
+                    query_id=owner[0])
 
-    q = rt.start_foreach_batch(word_count(words), upsert, checkpoint, opts)
-    if opts.trigger in ("availableNow", "once"):
-        q.awaitTermination()
-        if q.exception():
-            raise q.exception()
-    return q
+    q = rt.start_foreach_batch(word_count(words), upsert, opts.checkpoint, opts)
+    return rt.wait(q) if opts.trigger in ("availableNow", "once") else q
 
 
 def run_cdc_jdbc(changes: DataFrame, url: str, table: str, properties: dict | None = None,
-                 opts: rt.StreamOptions | None = None, checkpoint: str | None = None):
+                 opts: rt.StreamOptions | None = None, checkpoint: str | None = None, dialect=None,
+                 casts: dict | None = None):
     """Change-record stream mirrored into a JDBC table (``cdc_jdbc.apply_folded``).
 
     Each micro-batch is folded to one row per key, then applied with the
@@ -204,56 +252,63 @@ def run_cdc_jdbc(changes: DataFrame, url: str, table: str, properties: dict | No
     from eventide.sinks.cdc_jdbc import apply_folded
 
     spark = changes.sparkSession
-    checkpoint = checkpoint or shared_path(spark, "cdc-jdbc") + "/_checkpoint"
+    opts = _options(opts, checkpoint or shared_path(spark, "cdc-jdbc") + "/_checkpoint")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        apply_folded(cdc.fold_changes(batch), url, table, properties)
+        apply_folded(cdc.fold_changes(batch), url, table, properties, dialect=dialect, casts=casts)
 
-    q = rt.start_foreach_batch(changes, apply, checkpoint, opts)
-    if (opts or rt.StreamOptions()).trigger in ("availableNow", "once"):
-        q.awaitTermination()
-        if q.exception():
-            raise q.exception()
-    return q
+    q = rt.start_foreach_batch(changes, apply, opts.checkpoint, opts)
+    return rt.wait(q) if opts.trigger in ("availableNow", "once") else q
 
 
-def run_click_rank(actions: DataFrame, path: str | None = None, n: int = 5,
-                   size: str = "60 seconds", slide: str = "1 second", opts: rt.StreamOptions | None = None):
+def start_click_rank(actions: DataFrame, path: str | None = None, n: int = 5, size: str = "60 seconds",
+                     slide: str = "1 second", opts: rt.StreamOptions | None = None, strategy: str = "direct"):
     """The click-rank job: two sinks fed by one source (clicks per sex, and top-n
-    names per sex, both per hop window).  Two streaming queries, each with its
-    own checkpoint; returns the two result tables."""
+    names per sex, both per hop window).  Two streaming queries that run side by
+    side, each with its own checkpoint; returns their (query, path, schema)."""
     from eventide.operators import live_clicks
 
+    path = path or shared_path(actions.sparkSession, "click-rank")
+    clicks = live_clicks(with_event_time(actions, "ts", schemas.WATERMARK_DELAY))
+    own = lambda sink: replace(opts, checkpoint=f"{opts.checkpoint}/{sink}") if opts and opts.checkpoint else opts
+    counts = start_window_agg(clicks, "hop", ["sex"], [count_("cnt")], size, slide, own("sex_count"),
+                              f"{path}/sex_count", strategy)
+    top = start_window_topn(clicks, size, slide, ["sex"], "name", n, own("sex_topn"), f"{path}/sex_topn", strategy)
+    return counts, top
+
+
+def run_click_rank(actions: DataFrame, path: str | None = None, n: int = 5,
+                   size: str = "60 seconds", slide: str = "1 second", opts: rt.StreamOptions | None = None,
+                   strategy: str = "direct"):
+    """Both queries started, then awaited; returns the two result tables."""
     spark = actions.sparkSession
-    path = path or shared_path(spark, "click-rank")
-    src = with_event_time(actions, "ts", schemas.WATERMARK_DELAY)
-    clicks = live_clicks(src)
-    counts = run_window_agg(clicks, "hop", ["sex"], [count_("cnt")], size, slide, opts, path=f"{path}/sex_count")
-    top = run_window_topn(clicks, size, slide, ["sex"], "name", n, opts, path=f"{path}/sex_topn")
-    return (counts.select("sex", "cnt", "start_time", "end_time"),
-            top.select("start_time", "end_time", "sex", "name", "cnt"))
+    counts, top = start_click_rank(actions, path, n, size, slide, opts, strategy)
+    for q, _, _ in (counts, top):
+        rt.wait(q)
+    return (rt.read_table(spark, counts[1], counts[2]).select("sex", "cnt", "start_time", "end_time"),
+            rt.read_batches(spark, f"{top[1]}/data", top[2]).select("start_time", "end_time", "sex", "name", "cnt"))
 
 
-def run_window_topn_json(stream: DataFrame, size: str, slide: str, group_col: str, item_col: str,
-                         n: int = 10, alias: str = "top10", opts: rt.StreamOptions | None = None,
-                         path: str | None = None) -> DataFrame:
-    """Top-n JSON text per (hop window, group) on a stream: the aggregate-function job.
+def start_window_topn_json(stream: DataFrame, size: str, slide: str, group_col: str, item_col: str,
+                           n: int = 10, alias: str = "top10", opts: rt.StreamOptions | None = None,
+                           path: str | None = None, strategy: str = "direct"):
+    """(query, path, schema) of the top-n JSON text per (hop window, group): the aggregate-function job.
 
     Final window counts leave state once per window (append mode); each
     micro-batch folds them to ``{"item": cnt, ...}`` in ``foreachBatch``.
     """
     from eventide.operators.topn import topn_json_from_counts
 
-    spark = stream.sparkSession
-    path = path or shared_path(spark, "stream-topn-json")
-    counts = window_agg_stream(stream, "hop", [group_col, item_col], [count_("cnt")], size, slide)
-
     def fold(b: DataFrame) -> DataFrame:
         out = topn_json_from_counts(b, ["start_time", "end_time", group_col], item_col, n, alias)
         return out.select(group_col, alias, "start_time", "end_time")
 
-    q = rt.start_foreach_batch(counts, rt.batch_partitioned_writer(f"{path}/data", fold), f"{path}/_checkpoint", opts)
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return rt.read_batches(spark, f"{path}/data", fold(spark.createDataFrame([], counts.schema)).schema)
+    return _start_ranked(stream, "stream-topn-json", size, slide, [group_col, item_col], fold, opts, path, strategy)
+
+
+def run_window_topn_json(stream: DataFrame, size: str, slide: str, group_col: str, item_col: str,
+                         n: int = 10, alias: str = "top10", opts: rt.StreamOptions | None = None,
+                         path: str | None = None, strategy: str = "direct") -> DataFrame:
+    q, path, schema = start_window_topn_json(stream, size, slide, group_col, item_col, n, alias, opts, path, strategy)
+    rt.wait(q)
+    return rt.read_batches(stream.sparkSession, f"{path}/data", schema)

@@ -6,17 +6,20 @@
 * ``trigger="availableNow"`` processes what is there and stops (tests,
   catch-up); a duration string runs micro-batches on that interval.
 * ``StreamOptions`` carries per-query settings applied only while the query
-  starts (it clones the session conf then): state partitions follow the
-  cluster's parallelism, and the RocksDB state store with changelog
-  checkpointing is the default (state off the JVM heap, incremental
+  starts (it clones the session conf then); the RocksDB state store with
+  changelog checkpointing is the default (state off the JVM heap, incremental
   snapshots).  ``use_rocksdb`` sets it for a whole session instead.
 * Versioned ``foreachBatch`` outputs (``<path>/v=<batch_id>``) make a batch
   replayed after a failure overwrite its own version: exactly-once results.
-  ``batch_id=<id>`` outputs do the same for per-batch results.
+  ``batch_id=<id>`` outputs do the same for per-batch results.  Both are
+  published by a record of their own in ``<path>/_commits``, written last:
+  readers see exactly the outputs with a record, whatever the file committer
+  leaves behind.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,10 +56,10 @@ class StreamOptions:
     trigger: str = "availableNow"       # or an interval such as "10 seconds"
     output_mode: str = "append"
     query_name: str | None = None
-    # State/shuffle partitions of the query, fixed in its checkpoint at the
-    # first start.  None keeps the session's setting; "auto" uses the
-    # cluster's parallelism (total cores), which scales with the cluster.
-    state_partitions: int | str | None = "auto"
+    # State/shuffle partitions of the query, fixed in its checkpoint at the first
+    # start.  None keeps the session's spark.sql.shuffle.partitions; give a number
+    # where the stream is to grow beyond what suits the session's batch jobs.
+    state_partitions: int | None = None
     # Extra SQL settings of this query only (fixed when it starts).  By default
     # the RocksDB state store with changelog checkpoints: state lives off the
     # JVM heap and on local disk (the default store keeps it all in executor
@@ -74,11 +77,8 @@ def _start(writer, spark: SparkSession, opts: StreamOptions) -> StreamingQuery:
     """Start with ``opts.state_partitions`` and ``opts.conf`` in effect: the query
     clones the session conf when it starts, the session is restored after."""
     conf = dict(opts.conf)
-    n = opts.state_partitions
-    if n == "auto":
-        n = spark.sparkContext.defaultParallelism
-    if n is not None:
-        conf["spark.sql.shuffle.partitions"] = str(n)
+    if opts.state_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(opts.state_partitions)
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
@@ -122,24 +122,40 @@ def start_foreach_batch(df: DataFrame, fn, checkpoint: str, opts: StreamOptions
     return _start(_apply_trigger(w, opts.trigger), df.sparkSession, opts)
 
 
+def wait(q: StreamingQuery) -> StreamingQuery:
+    """Block until the query ends; raise what ended it."""
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return q
+
+
+def start_to_table(df: DataFrame, name: str, opts: StreamOptions | None = None,
+                   path: str | None = None) -> tuple[StreamingQuery, str]:
+    """Start writing an append-mode stream to a parquet table; (query, path)."""
+    path = path or shared_path(df.sparkSession, name)
+    return start_files(df, path, "parquet", opts), path
+
+
+def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The table of ``start_to_table`` as committed so far (through the sink's commit log)."""
+    fs, p, _ = _fs(spark, f"{path}/data")
+    if not fs.exists(p):  # no batch has committed output yet
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/data")
+
+
 def run_to_table(df: DataFrame, name: str, spark: SparkSession | None = None,
                  opts: StreamOptions | None = None, path: str | None = None) -> DataFrame:
     """Run an append-mode streaming DataFrame to a parquet table; return the table.
 
     With the default ``availableNow`` trigger this blocks until the input
-    present at start is consumed.  The table is read through the sink's
-    commit log, so only committed files are seen.
+    present at start is consumed; with an interval use ``start_to_table``.
     """
     spark = spark or df.sparkSession
-    path = path or shared_path(spark, name)
-    q = start_files(df, path, "parquet", opts)
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    fs, p, _ = _fs(spark, f"{path}/data")
-    if not fs.exists(p):  # no batch has committed output yet
-        return spark.createDataFrame([], df.schema)
-    return spark.read.schema(df.schema).parquet(f"{path}/data")
+    q, path = start_to_table(df, name, opts, path)
+    wait(q)
+    return read_table(spark, path, df.schema)
 
 
 # --- versioned tables written from foreachBatch -----------------------------------
@@ -150,21 +166,37 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def committed_versions(spark: SparkSession, path: str) -> list[int]:
-    """Versions ``v=<n>`` under ``path`` whose write committed (``_SUCCESS`` present)."""
-    fs, p, jvm = _fs(spark, path)
+def _record(spark: SparkSession, path: str, name: str):
+    fs, p, jvm = _fs(spark, f"{path}/_commits/{name}")
+    return fs, p, jvm
+
+
+def publish(df: DataFrame, path: str, name: str) -> None:
+    """Write ``<path>/<name>`` and then its commit record.  A replay takes the record
+    back first, so that a write cut short is never seen."""
+    spark = df.sparkSession
+    fs, record, _ = _record(spark, path, name)
+    fs.delete(record, False)
+    df.write.mode("overwrite").parquet(f"{path}/{name}")
+    fs.create(record, True).close()
+
+
+def committed(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """Numbers ``n`` of the published outputs ``<path>/<kind>=<n>``."""
+    fs, p, _ = _fs(spark, f"{path}/_commits")
     if not fs.exists(p):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{kind}="))
+
+
+def committed_versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions ``v=<n>`` under ``path`` whose write was published."""
+    return committed(spark, path, "v")
 
 
 def read_version(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """The latest committed version (strictly below ``before`` if given), or None."""
+    """The latest published version (strictly below ``before`` if given), or None."""
     vs = [v for v in committed_versions(spark, path) if before is None or v < before]
     if not vs:
         return None
@@ -172,14 +204,15 @@ def read_version(spark: SparkSession, path: str, before: int | None = None) -> D
 
 
 def write_version(df: DataFrame, path: str, version: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/v={version}")
+    publish(df, path, f"v={version}")
 
 
 def drop_versions_before(spark: SparkSession, path: str, keep_from: int) -> None:
-    """Delete committed versions older than ``keep_from`` (their successors are committed)."""
+    """Delete published versions older than ``keep_from`` (their successors are published)."""
     fs, p, jvm = _fs(spark, path)
     for v in committed_versions(spark, path):
         if v < keep_from:
+            fs.delete(_record(spark, path, f"v={v}")[1], False)
             fs.delete(jvm.org.apache.hadoop.fs.Path(p, f"v={v}"), True)
 
 
@@ -202,23 +235,73 @@ def versioned_fold(path: str, step, retain: int = 2):
 
 
 def batch_partitioned_writer(path: str, transform):
-    """foreachBatch function writing ``transform(batch)`` to ``<path>/batch_id=<id>``
+    """foreachBatch function publishing ``transform(batch)`` as ``<path>/batch_id=<id>``
     (overwrite, so a replay leaves one copy)."""
 
     def _fn(batch_df: DataFrame, batch_id: int) -> None:
-        transform(batch_df).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        publish(transform(batch_df), path, f"batch_id={batch_id}")
 
     return _fn
 
 
 def read_batches(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Union of all ``batch_id=<n>`` outputs (an empty frame of ``schema`` if none)."""
-    fs, p, _ = _fs(spark, path)
-    if not fs.exists(p) or not any(st.getPath().getName().startswith("batch_id=") for st in fs.listStatus(p)):
+    """Union of all published ``batch_id=<n>`` outputs (an empty frame of ``schema`` if none)."""
+    ids = committed(spark, path, "batch_id")
+    if not ids:
         if schema is None:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], schema)
-    return spark.read.parquet(path).drop("batch_id")
+    return spark.read.parquet(*[f"{path}/batch_id={i}" for i in ids])
+
+
+def compact_batches(spark: SparkSession, path: str, upto: int | None = None) -> int | None:
+    """Merge the published batches (up to ``upto``) into the newest of them; its number.
+
+    A stream that runs for long leaves one folder per batch.  Batches that a
+    restarted query may replay must stay apart: pass an ``upto`` below the
+    last batch while the query runs.  The merged output is written aside and
+    then takes the newest batch's place; a compaction cut short at any point
+    is completed or undone by running it again.
+    """
+    fs, p, jvm = _fs(spark, path)
+    path_of = lambda name: jvm.org.apache.hadoop.fs.Path(p, name)
+    done = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    for name in [n for n in done if n.startswith("merged-")]:  # an earlier run was cut short
+        first, last = map(int, name.split("-")[1:])
+        _swap(spark, path, first, last) if fs.exists(path_of(f"_commits/{name}")) else fs.delete(path_of(name), True)
+    ids = [i for i in committed(spark, path, "batch_id") if upto is None or i <= upto]
+    if len(ids) < 2:
+        return ids[0] if ids else None
+    name = f"merged-{ids[0]}-{ids[-1]}"
+    publish(read_batches_of(spark, path, ids), path, name)
+    _swap(spark, path, ids[0], ids[-1])
+    return ids[-1]
+
+
+def read_batches_of(spark: SparkSession, path: str, ids: list[int]) -> DataFrame:
+    return spark.read.parquet(*[f"{path}/batch_id={i}" for i in ids])
+
+
+def _swap(spark: SparkSession, path: str, first: int, last: int) -> None:
+    """Put ``merged-<first>-<last>`` in the place of the batches it holds."""
+    fs, p, jvm = _fs(spark, path)
+    at = lambda name: jvm.org.apache.hadoop.fs.Path(p, name)
+    name = f"merged-{first}-{last}"
+    if fs.exists(at(name)):
+        for i in [i for i in committed(spark, path, "batch_id") if first <= i <= last]:
+            fs.delete(at(f"_commits/batch_id={i}"), False)
+        for st in fs.listStatus(p):
+            n = st.getPath().getName()
+            if n.startswith("batch_id=") and first <= int(n.split("=")[1]) <= last:
+                fs.delete(st.getPath(), True)
+        fs.rename(at(name), at(f"batch_id={last}"))
+    fs.create(at(f"_commits/batch_id={last}"), True).close()
+    fs.delete(at(f"_commits/{name}"), False)
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Identity of the query that owns ``checkpoint``: kept over restarts, new for a fresh one."""
+    return json.loads(spark.read.option("wholetext", True).text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def ntz_bounds(df: DataFrame) -> DataFrame:

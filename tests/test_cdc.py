@@ -77,14 +77,53 @@ def test_bucketed_snapshot_rewrites_touched_buckets_only(spark):
     path = tempfile.mkdtemp(prefix="eventide-cdcb-") + "/table"
     snap = [rec("r", i, None, i, f"w{i}") for i in range(1, 41)]
     assert fold_into_buckets(_df(spark, snap), path, buckets=8) == 8
-    files_before = {b: sorted(glob.glob(f"{path}/bucket={b}/*.parquet")) for b in range(8)}
+    # a bucket is rewritten in a version folder of its own
+    files_before = {b: sorted(glob.glob(f"{path}/data/v=*/bucket={b}/*.parquet")) for b in range(8)}
     b2 = [rec("u", 100, 7, 7, "seven"), rec("d", 101, 9, None, None)]
     touched = fold_into_buckets(_df(spark, b2), path, buckets=8)
     assert touched <= 2
-    changed = [b for b in range(8) if sorted(glob.glob(f"{path}/bucket={b}/*.parquet")) != files_before[b]]
+    changed = [b for b in range(8) if sorted(glob.glob(f"{path}/data/v=*/bucket={b}/*.parquet")) != files_before[b]]
     assert len(changed) == touched
     # out of order + replay
     fold_into_buckets(_df(spark, [rec("u", 50, 7, 7, "older")]), path, buckets=8)
     fold_into_buckets(_df(spark, b2), path, buckets=8)
     got = dict(rows(read_snapshot(spark, path), "id", "word"))
     assert got[7] == "seven" and 9 not in got and len(got) == 39
+
+
+def test_snapshot_survives_a_write_cut_short_and_replays(spark, tmp_path):
+    import os
+
+    import pytest
+
+    from eventide.sinks import cdc_files as cf
+
+    path = f"{tmp_path}/table"
+    live = lambda: rows(cf.read_snapshot(spark, path), "id", "word")
+    assert cf.read_snapshot(spark, path) is None
+    cf.fold_into_buckets(_df(spark, [rec("r", i, None, i, f"w{i}") for i in range(1, 9)]), path, 4, batch=("q", 0))
+    before = live()
+    # the data of the next version is written, its manifest is not
+    cut = _df(spark, [rec("u", 50, 1, 1, "new")])
+    publish, cf._publish = cf._publish, lambda *a: (_ for _ in ()).throw(RuntimeError("lost"))
+    try:
+        with pytest.raises(RuntimeError, match="lost"):
+            cf.fold_into_buckets(cut, path, 4, batch=("q", 1))
+    finally:
+        cf._publish = publish
+    assert live() == before and not [f for f in os.listdir(path) if f.startswith("staged")]
+    assert cf.fold_into_buckets(cut, path, 4, batch=("q", 1)) == 1 and dict(live())[1] == "new"
+    # a batch that was published is recognised, another query's batch of that number is not
+    assert cf.fold_into_buckets(_df(spark, [rec("u", 60, 2, 2, "again")]), path, 4, batch=("q", 1)) == 0
+    assert cf.fold_into_buckets(_df(spark, [rec("u", 60, 2, 2, "other")]), path, 4, batch=("q2", 0)) == 1
+    assert dict(live())[2] == "other"
+    # another bucket count is refused; re-bucketing keeps every key once
+    with pytest.raises(ValueError, match="4 buckets"):
+        cf.fold_into_buckets(cut, path, 8)
+    want = live()
+    cf.rebucket(spark, path, 8)
+    assert live() == want and cf.manifest(spark, path)["buckets"] == 8
+    cf.fold_into_buckets(_df(spark, [rec("d", 70, 3, None, None)]), path, 8)
+    cf.drop_tombstones(spark, path, 71)
+    assert live() == [r for r in want if r[0] != 3]
+    assert len(os.listdir(f"{path}/manifest")) <= 2 * cf.RETAIN + 2  # old versions are dropped

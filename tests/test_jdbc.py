@@ -68,3 +68,69 @@ def test_read_with_predicates(spark):
     r = jdbc_table(spark, URL, t, properties=PROPS,
                    predicates=['"id" = 1', '"id" = 2', '"id" > 2'])
     assert r.rdd.getNumPartitions() == 3 and r.count() == 7
+
+
+def test_fresh_checkpoint_and_other_queries_start_afresh(spark):
+    t = _name("wc")
+    jdbc_execute(spark, URL, [f'CREATE TABLE {t} ("word" VARCHAR(64) NOT NULL PRIMARY KEY, "cnt" BIGINT)'], PROPS)
+    put = lambda n, batch, query: jdbc_upsert(
+        spark.createDataFrame([("a", n)], "word string, cnt bigint"), URL, t, ["word"], PROPS, batch_id=batch,
+        casts={"word": "VARCHAR(64)"}, query_id=query)
+    put(1, 0, "q1"), put(2, 1, "q1"), put(9, 1, "q1")
+    assert rows(jdbc_table(spark, URL, t, properties=PROPS)) == [("a", 2)]
+    put(5, 0, "q2")
+    assert rows(jdbc_table(spark, URL, t, properties=PROPS)) == [("a", 5)]
+
+
+def test_long_words_fail_loudly_and_leave_nothing(spark):
+    import pytest
+
+    t = _name("wc")
+    jdbc_execute(spark, URL, [f'CREATE TABLE {t} ("word" VARCHAR(64) NOT NULL PRIMARY KEY, "cnt" BIGINT)'], PROPS)
+    df = spark.createDataFrame([("x" * 2000, 1), ("b", 1)], "word string, cnt bigint")
+    with pytest.raises(ValueError, match="longer than"):
+        jdbc_upsert(df, URL, t, ["word"], PROPS, casts={"word": "VARCHAR(64)"})
+    assert jdbc_table(spark, URL, t, properties=PROPS).count() == 0
+    c = _name("words_cdc")
+    create_cdc_tables(spark, URL, c, PROPS)
+    change = spark.createDataFrame([("c", 1, None, (1, "y" * 2000))], schemas.CHANGE_RECORD)
+    with pytest.raises(ValueError, match="longer than"):
+        apply_folded(fold_changes(change), URL, c, PROPS)
+    left = spark.read.format("jdbc").option("url", URL).options(**PROPS).option(
+        "query", f"SELECT COUNT(*) AS n FROM SYS.SYSTABLES WHERE TABLENAME LIKE '{t.upper()}_%' "
+                 f"OR TABLENAME LIKE '{c.upper()}_CHG%'").load().first()[0]
+    assert left == 0  # staging tables are gone
+
+
+def test_a_failed_statement_rolls_back(spark):
+    import pytest
+
+    t = _name("tx")
+    jdbc_execute(spark, URL, [f"CREATE TABLE {t} (a INT PRIMARY KEY)"], PROPS)
+    with pytest.raises(Exception, match="(?i)duplicate"):
+        jdbc_execute(spark, URL, [f"INSERT INTO {t} VALUES (1)", f"INSERT INTO {t} VALUES (1)"], PROPS)
+    assert jdbc_table(spark, URL, t, properties=PROPS).count() == 0
+
+
+def test_dialect_statements():
+    from eventide.sinks.cdc_jdbc import apply_statements, cdc_ddl
+    from eventide.sinks.dialects import MERGE, MYSQL, POSTGRES, dialect_for
+
+    assert dialect_for("jdbc:mysql://h/db") is MYSQL and dialect_for("jdbc:postgresql://h/db") is POSTGRES
+    assert dialect_for("jdbc:derby:memory:x") is MERGE and dialect_for("jdbc:derby:x", "mysql") is MYSQL
+    assert MYSQL.bounds("w", "id") == "SELECT MIN(`id`) AS lo, MAX(`id`) AS hi FROM w"
+    assert MYSQL.quote("a`b") == "`a``b`" and POSTGRES.quote('a"b') == '"a""b"'
+    assert MYSQL.upsert("st", "stg", ["k"], ["k", "seq", "deleted"], newer="seq") == (
+        "INSERT INTO st (`k`, `seq`, `deleted`) SELECT `k`, `seq`, `deleted` FROM stg ON DUPLICATE KEY UPDATE "
+        "`deleted` = IF(VALUES(`seq`) > `seq`, VALUES(`deleted`), `deleted`), "
+        "`seq` = IF(VALUES(`seq`) > `seq`, VALUES(`seq`), `seq`)")
+    assert POSTGRES.upsert("st", "stg", ["k"], ["k", "seq"], {"k": "VARCHAR(9)"}, newer="seq") == (
+        'INSERT INTO st ("k", "seq") SELECT CAST("k" AS VARCHAR(9)), "seq" FROM stg ON CONFLICT ("k") DO UPDATE SET '
+        '"seq" = EXCLUDED."seq" WHERE EXCLUDED."seq" > st."seq"')
+    for d in (MERGE, MYSQL, POSTGRES):
+        state, delete, insert = apply_statements("m", "stg", d, "key", ["a", "b"])
+        q = d.quote
+        assert delete.startswith("DELETE FROM m WHERE EXISTS") and f"m.{q('key')}" in delete
+        assert insert.startswith(f"INSERT INTO m ({q('key')}, {q('a')}, {q('b')}) SELECT s.{q('key')}, s.{q('a')}, s.{q('b')}")
+        assert cdc_ddl("m", d, {"key": "BIGINT", "a": "INT"}, "key")[0] == (
+            f"CREATE TABLE m ({q('key')} BIGINT NOT NULL PRIMARY KEY, {q('a')} INT)")

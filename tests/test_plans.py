@@ -5,12 +5,13 @@ import re
 import pytest
 
 import __spark_entry__ as se
+from eventide.plans import catalog
 from tests.conftest import requires_testdata
 
 pytestmark = requires_testdata
 
 SF = "/root/testdata/sf0.001"
-BATCH = [k for k in se.queries() if not k.startswith(("stream_", "cdc_stream", "cdc_jdbc", "jdbc_"))]
+BATCH = [k for k in catalog.queries() if not k.startswith(("stream_", "cdc_stream", "cdc_jdbc", "jdbc_"))]
 
 
 def _plan(spark, name):
@@ -55,3 +56,53 @@ def test_scan_reads_only_needed_columns(spark, name, cols):
 def test_native_paths_stay_in_the_jvm(spark, name):
     tree, _ = _plan(spark, name)
     assert "EvalPython" not in tree and "FlatMapGroupsInPandas" not in tree, name
+
+
+def test_sessions_read_their_input_once(spark):
+    df = se.queries()["cpu_session"](spark, SF)
+    df.collect()
+    tree = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in tree and tree.count("FileScan") - tree.count("ReusedExchange") <= 2, tree
+    final = tree.split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1, final
+
+
+def test_building_a_plan_starts_no_job_and_follows_arguments(spark):
+    from eventide.operators.timeutil import spread
+
+    grouped = spark.range(1000).groupBy("id").count()
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "plan-only")
+    try:
+        assert spread(grouped) is grouped
+        assert "RoundRobinPartitioning(7)" in spread(grouped, 7)._jdf.queryExecution().toString()
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert not tracker.getJobIdsForGroup("plan-only")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
+    from eventide.session import checkpoint_root
+
+    class Context:
+        master = "spark://host:7077"
+        getConf = lambda self: {}
+        getCheckpointDir = lambda self: None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
+
+
+def test_event_time_without_a_zone_needs_utc(spark):
+    from eventide.operators.timeutil import with_event_time
+
+    df = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01 00:00:00' AS ts")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            with_event_time(df)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -6,8 +6,9 @@ import time
 
 from eventide.functions import schemas
 from eventide.operators import count_
-from eventide.sources import decode_json, json_value_files
+from eventide.sources import decode_json, json_value_files, parquet_dir
 from eventide.streaming import jobs as sjobs
+from eventide.streaming import runtime as rt
 from eventide.streaming.runtime import StreamOptions
 from tests.conftest import requires_testdata, rows
 
@@ -177,3 +178,68 @@ def test_running_topn_changelog(spark):
     ch = spark.read.parquet(f"{path}/changes")
     got = sorted((r["batch_id"], r["op"], r["name"], r["cnt"]) for r in ch.collect())
     assert got == [(0, "+", "a", 1), (1, "+", "b", 3), (1, "-", "a", 1), (2, "+", "c", 4), (2, "-", "b", 3)]
+
+
+def _clicks(spark, tmp_path, n_files=3):
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1)
+    for i in range(n_files):
+        rows_ = [(f"u{j % 3}", "m" if j % 2 else "f", "click", 0, t0 + dt.timedelta(minutes=10 * i + j)) for j in range(8)]
+        spark.createDataFrame(rows_, schemas.USER_ACTION).coalesce(1).write.parquet(f"{tmp_path}/in/f{i}")
+    schema = spark.read.parquet(f"{tmp_path}/in/f0").schema
+    return lambda: parquet_dir(spark, f"{tmp_path}/in/*", schema, stream=True, max_files_per_trigger=1)
+
+
+def test_two_sinks_run_side_by_side_on_an_interval_and_resume(spark, tmp_path):
+
+    source = _clicks(spark, tmp_path)
+    opts = rt.StreamOptions(trigger="1 second", checkpoint=f"{tmp_path}/ck")
+    before = repr(opts)
+    for attempt in range(2):
+        counts, top = sjobs.start_click_rank(source(), f"{tmp_path}/out", n=1, size="10 minutes", slide="10 minutes", opts=opts)
+        try:
+            for q, _, _ in (counts, top):
+                q.processAllAvailable()
+            assert counts[0].isActive and top[0].isActive
+        finally:
+            counts[0].stop(), top[0].stop()
+        a = rt.read_table(spark, counts[1], counts[2]).count()
+        b = rt.read_batches(spark, f"{top[1]}/data", top[2]).count()
+        assert a == 4 and b == 4, (attempt, a, b)  # two closed windows, two groups each, once
+    assert repr(opts) == before
+    assert {"sex_count", "sex_topn"} <= set(os.listdir(f"{tmp_path}/ck"))
+
+
+def test_options_are_kept_as_given_and_checkpoints_honoured(spark, tmp_path):
+    source = _clicks(spark, tmp_path)
+    opts = rt.StreamOptions(checkpoint=f"{tmp_path}/ck1")
+    first = rows(sjobs.run_running_topn(source(), "sex", "name", 2, opts, f"{tmp_path}/top"))
+    assert opts == rt.StreamOptions(checkpoint=f"{tmp_path}/ck1") and os.path.exists(f"{tmp_path}/ck1/metadata")
+    out = sjobs.run_window_agg(source(), "tumble", ["sex"], [sjobs.count_("cnt")], "10 minutes",
+                               opts=rt.StreamOptions(checkpoint=f"{tmp_path}/ck2"), path=f"{tmp_path}/agg")
+    assert out.count() == 4 and os.path.exists(f"{tmp_path}/ck2/metadata")
+    assert first == rows(sjobs.run_running_topn(source(), "sex", "name", 2, opts, f"{tmp_path}/top"))
+
+
+def test_versions_do_not_depend_on_the_committers_marker(spark, tmp_path):
+    source = _clicks(spark, tmp_path)
+    want = rows(sjobs.run_running_topn(source(), "sex", "name", 2, path=f"{tmp_path}/a"))
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        assert rows(sjobs.run_running_topn(source(), "sex", "name", 2, path=f"{tmp_path}/b")) == want and want
+    finally:
+        hadoop.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_unpublished_batches_are_not_read_and_batches_compact(spark, tmp_path):
+    path = f"{tmp_path}/batches"
+    for i in range(4):
+        rt.publish(spark.range(i, i + 2), path, f"batch_id={i}")
+    spark.range(100).write.parquet(f"{path}/batch_id=9")  # a write that never finished
+    want = rows(rt.read_batches(spark, path))
+    assert len(want) == 8
+    assert rt.compact_batches(spark, path, upto=2) == 2
+    assert rt.committed(spark, path, "batch_id") == [2, 3] and rows(rt.read_batches(spark, path)) == want
+    assert rt.compact_batches(spark, path) == 3 and rows(rt.read_batches(spark, path)) == want
