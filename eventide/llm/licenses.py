@@ -86,19 +86,24 @@ NOTICES = (
 
 
 def lowered(text: str = "text") -> Column:
-    """Only A-Z become a-z."""
-    return F.translate(text_or_empty(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """A-Z become a-z.  Lower-casing other letters changes no word's extent and no
+    ASCII word, but for the Kelvin sign, which would become a k: it is masked."""
+    return F.lower(F.replace(text_or_empty(text), F.lit("\u212a"), F.lit("\u00e5")))
+
+
+def words_of(low: str) -> Column:
+    return F.regexp_extract_all(low, F.lit(f"({WORD})"), F.lit(1))
 
 
 def document_frequencies(docs: DataFrame, vocabulary: list[str], text_col: str = "text") -> tuple[int, dict[str, int]]:
     """(documents, documents that hold each vocabulary word), over all documents."""
-    low = lowered(text_col)
-    # A word counts where it stands between non-word characters: one search per word, no word list.
-    bounded = lambda w: low.rlike(rf"(?<![^\x00-\x2F\x3A-\x60\x7B-\x7F]){w}(?![^\x00-\x2F\x3A-\x60\x7B-\x7F])")
-    holds = lambda w: F.contains(low, F.lit(w)) & bounded(w)
-    row = docs.agg(F.count(F.lit(1)).alias("n"),
-                   *[F.count_if(holds(w)).alias(f"w{i}") for i, w in enumerate(vocabulary)]).first()
-    return row["n"], {w: row[f"w{i}"] for i, w in enumerate(vocabulary)}
+    words = docs.select(lowered(text_col).alias("low")).select(words_of("low").alias("w"))
+    own = words.select(F.array_distinct(F.filter("w", lambda w: w.isin(vocabulary))).alias("own"))
+    # One row per vocabulary word, combined before the shuffle; the null row counts the documents.
+    counts = (own.select(F.explode(F.concat(F.array(F.lit(None).cast("string")), "own")).alias("w")).groupBy("w")
+              .agg(F.count(F.lit(1)).alias("n")).collect())
+    seen = {r["w"]: r["n"] for r in counts}
+    return seen.get(None, 0), {w: seen.get(w, 0) for w in vocabulary}
 
 
 def scan(docs: DataFrame, notices: tuple[Notice, ...] = NOTICES, id_col: str = "doc_id",
@@ -107,51 +112,63 @@ def scan(docs: DataFrame, notices: tuple[Notice, ...] = NOTICES, id_col: str = "
     vocabulary = sorted({w for n in notices for w in n.words})
     n_docs, seen = document_frequencies(docs, vocabulary, text_col)
     idf = {w: math.log((n_docs + 1) / (seen[w] + 1)) + 1.0 for w in vocabulary}
-    # The anchor lies within the key phrase: where the phrase stands, the anchor is.
-    anchor = {n: max(range(n.start, n.end), key=lambda i, n=n: (idf[n.words[i]], -i)) for n in notices}
-    rare = sorted({n.words[anchor[n]] for n in notices})
+    postings = _postings(notices, idf)
+    rare = sorted({n.words[_anchor(n, idf)] for n in notices})
 
-    low = lowered(text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), low.alias("low"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), lowered(text_col).alias("low"))
     maybe = F.lit(False)
     for w in rare:
         maybe = maybe | F.contains("low", F.lit(w))
-    rows = rows.select("doc_id", F.when(maybe, F.regexp_extract_all("low", F.lit(f"({WORD})"), F.lit(1))).alias("w"),
+    rows = rows.select("doc_id", F.when(maybe, words_of("low")).alias("w"),
                        F.when(~maybe, F.regexp_count("low", F.lit(WORD))).alias("plain"))
     # First level: where each anchor word stands.
-    posted = F.filter(F.transform("w", lambda x, i: F.struct(x.alias("w"), i.alias("p"))), lambda h: h["w"].isin(rare))
-    rows = rows.withColumn("hits", posted)
-
-    def starts(n: Notice) -> Column:
-        word, at = n.words[anchor[n]], anchor[n]
-        found = F.transform(F.filter("hits", lambda h: h["w"] == word), lambda h: h["p"] - at)
-        # The key phrase stands at start + n.start; the rest of the notice may run over either end.
-        key = F.array(*[F.lit(w) for w in n.key])
-        return F.filter(found, lambda s: (s + n.start >= 0)
-                        & (F.slice("w", F.greatest(s + n.start, F.lit(0)) + 1, len(n.key)) == key))
-
-    def share(n: Notice, s: Column) -> Column:
-        whole = sum(idf[w] for w in n.words)
-        got = sum((F.when(F.get("w", s + i) == w, idf[w]).otherwise(0.0) for i, w in enumerate(n.words)), F.lit(0.0))
-        return got / whole
-
-    rows = rows.withColumns({f"s{i}": starts(n) for i, n in enumerate(notices)})
-    base = [i for i, n in enumerate(notices) if n.base]
-    places = F.concat(*[F.col(f"s{i}") for i in base])
-
-    def labels(of: list[int]) -> Column:
-        named = [F.when(F.size(f"s{i}") > 0, F.lit(notices[i].label)) for i in of]
-        return F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*named)))), ",")
-
-    def best(i: int, n: Notice) -> Column:
-        return F.coalesce(F.array_max(F.transform(f"s{i}", lambda s: share(n, s))), F.lit(0.0))
-
-    top = F.greatest(F.lit(0.0), *[best(i, n) for i, n in enumerate(notices)])
+    rows = rows.withColumn("hits", F.filter(F.transform("w", lambda x, i: F.struct(x.alias("w"), i.alias("p"))),
+                                            lambda h: h["w"].isin(rare)))
+
+    def placed(n: Column) -> Column:
+        """The notice's places: candidate starts whose key phrase stands, with the share of IDF matched."""
+        starts = F.transform(F.filter("hits", lambda h: h["w"] == n["anchor"]), lambda h: h["p"] - n["at"])
+        # The key phrase stands at start + key_at; the rest of the notice may run over either end.
+        stands = F.filter(starts, lambda s: (s + n["key_at"] >= 0)
+                          & (F.slice("w", F.greatest(s + n["key_at"], F.lit(0)) + 1, F.size(n["key"])) == n["key"]))
+
+        def share(s: Column) -> Column:
+            got = F.transform(n["words"], lambda x, i: F.when(F.get("w", s + i) == x, F.get(n["idf"], i)).otherwise(0.0))
+            return F.aggregate(got, F.lit(0.0), lambda a, b: a + b) / n["whole"]
+
+        return F.transform(stands, lambda s: F.struct(n["label"].alias("label"), n["base"].alias("base"),
+                                                      s.alias("start"), share(s).alias("share")))
+
+    rows = rows.select("doc_id", "plain", "w", F.flatten(F.transform(postings, placed)).alias("found"))
+    base = F.filter("found", lambda f: f["base"])
+    labels = lambda of: F.array_join(F.array_sort(F.array_distinct(F.transform(of, lambda f: f["label"]))), ",")
+    starts = F.transform(base, lambda f: f["start"])
     known = F.col("w").isNotNull()
+    top = F.coalesce(F.array_max(F.transform("found", lambda f: f["share"])), F.lit(0.0))
     return rows.select(
         "doc_id", F.coalesce("plain", F.size("w")).cast("long").alias("n_words"),
-        F.when(known, F.size(places)).otherwise(0).cast("long").alias("n_base"),
-        F.array_min(places).cast("long").alias("first_word"), F.array_max(places).cast("long").alias("last_word"),
+        F.when(known, F.size(base)).otherwise(0).cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
         F.when(known, labels(base)).otherwise("").alias("base_labels"),
-        F.when(known, labels(list(range(len(notices))))).otherwise("").alias("labels"),
+        F.when(known, labels("found")).otherwise("").alias("labels"),
         F.when(known, F.least(top, F.lit(1.0))).otherwise(0.0).alias("score"))
+
+
+def _anchor(n: Notice, idf: dict[str, float]) -> int:
+    """The rarest word of the key phrase: where the phrase stands, its anchor is."""
+    return max(range(n.start, n.end), key=lambda i: (idf[n.words[i]], -i))
+
+
+def _postings(notices: tuple[Notice, ...], idf: dict[str, float]) -> Column:
+    """The notices as one literal array: a fixed table, as small as the list above."""
+    strings = lambda ws: F.array(*[F.lit(w) for w in ws])
+
+    def entry(n: Notice) -> Column:
+        at = _anchor(n, idf)
+        return F.struct(F.lit(n.label).alias("label"), F.lit(n.base).alias("base"), F.lit(n.words[at]).alias("anchor"),
+                        F.lit(at).alias("at"), strings(n.words).alias("words"),
+                        F.array(*[F.lit(idf[w]) for w in n.words]).alias("idf"),
+                        F.lit(sum(idf[w] for w in n.words)).alias("whole"), strings(n.key).alias("key"),
+                        F.lit(n.start).alias("key_at"))
+
+    return F.array(*[entry(n) for n in notices])
