@@ -9,8 +9,8 @@ mini-batch stochastic gradient descent in numpy.
 Fitting uses a bounded sample: per language the ``per_language`` labelled
 documents whose identifiers hash lowest.  A third of the sample, never trained
 on, sets the softmax temperature (calibration) and the rejection threshold:
-the score that all but ``reject_share`` of those documents reach, and never
-above ``reject_most``.  Prediction reads every whole text in one pass without
+halfway between chance and the score that all but ``reject_share`` of those
+documents reach, and never above ``reject_most``.  Prediction reads every whole text in one pass without
 a shuffle; the language, source and identifier columns are no inputs of it.
 
 Defined results
@@ -46,8 +46,9 @@ REJECT_SHARE = 0.0005
 REJECT_MOST = 0.35
 #: Rows of the embedding matrix, their width, and the n-gram lengths.
 BUCKETS, WIDTH, GRAMS = 1 << 15, 16, (1, 2, 3)
-#: Passes, documents per step and step size of the descent.
-EPOCHS, BATCH, RATE, SEED = 12, 16, 0.5, 7
+#: Passes (at least), steps (at least, so that a small sample is learned, too),
+#: documents per step and step size of the descent.
+EPOCHS, STEPS, BATCH, RATE, SEED = 12, 1_200, 16, 0.5, 7
 #: Word vectors kept per worker process: the first ones seen hold the common words.
 CACHE_WORDS = 200_000
 
@@ -166,9 +167,10 @@ def fit(texts: list[str], labels: list[str], reject_share: float = REJECT_SHARE,
     def hidden(rows: np.ndarray) -> np.ndarray:
         return np.array([bags[i][1] @ vectors[bags[i][0]] for i in rows], np.float32)
 
-    steps = EPOCHS * max(1, -(-len(learn) // BATCH))
-    done = 0
-    for _ in range(EPOCHS):
+    each = max(1, -(-len(learn) // BATCH))
+    epochs = max(EPOCHS, -(-STEPS // each))
+    steps, done = epochs * each, 0
+    for _ in range(epochs):
         rng.shuffle(learn)
         for at in range(0, len(learn), BATCH):
             rows = learn[at:at + BATCH]
@@ -192,9 +194,11 @@ def fit(texts: list[str], labels: list[str], reject_share: float = REJECT_SHARE,
             e = e - e.max(axis=1, keepdims=True)
             return float(np.mean(np.log(np.exp(e).sum(axis=1)) - e[np.arange(len(own)), own]))
 
-        model.temperature = min((2.0 ** (k / 4) for k in range(-24, 17)), key=loss)
+        model.temperature = min((2.0 ** (k / 4) for k in range(-12, 17)), key=loss)
         top = model.probabilities(hidden(check)).max(axis=1)
-        model.reject_below = min(float(np.quantile(top, reject_share)), reject_most)
+        # Halfway to chance: what is below lies clearly outside what the calibration set shows.
+        least = (float(np.quantile(top, reject_share)) + 1 / len(langs)) / 2
+        model.reject_below = min(least, reject_most)
     return model
 
 
