@@ -42,3 +42,10 @@ def test_native_matches_python_hash(spark, values):
     got = {r["id"]: r["h"] for r in df.select("id", hash_code("id").alias("h")).collect()}
     for v in values:
         assert got[v] == _expected(v)
+
+
+def test_vectorised_form_keeps_every_digit_beside_nulls(spark):
+    values = [9007199254740993, None, (1 << 62) + 1, None, 2 ** 63 - 1, -(2 ** 63), -1, 0]
+    df = spark.createDataFrame([(v,) for v in values], "id bigint").coalesce(1)  # one Arrow batch
+    got = [r[0] for r in df.select(hash_code_pandas()(F.col("id"))).collect()]
+    assert got == [_expected(v) for v in values]

@@ -59,3 +59,17 @@ def test_udtf_matches_native(spark, input_table):
 def test_udtf_left_lateral(spark, input_table):
     from eventide.operators import lateral_split_dict
     assert rows(lateral_split_dict(input_table, outer=True)) == rows(explode_json(input_table, "bs_info", outer=True))
+
+
+def test_number_rule_is_the_same_in_both_forms(spark):
+    cells = ['[{"bs3_name_id": 1.0, "bs1_name_id": 2.7, "bs2_name_id": -2.7}]',
+             '[{"bs3_name_id": "31", "bs1_name_id": " 7 ", "bs2_name_id": "2.5"}]',
+             '[{"bs3_name_id": true, "bs1_name_id": "x", "bs2_name_id": 99999999999}]', '[{"bs3_name": 5}]', "{}", "[1]"]
+    df = spark.createDataFrame([(str(i), c) for i, c in enumerate(cells)], "id string, bs_info string")
+    register_split_dict(spark)
+    sql = rows(spark.sql("SELECT t.id, s.* FROM {t} t, LATERAL split_dict(t.bs_info) s WHERE t.id < '4'", t=df))
+    native = rows(explode_json(df.where("id < '4'"), "bs_info"))
+    assert sql == native
+    ids = {r[0]: r[2:5] for r in native}
+    assert ids["0"] == (1, 2, -2) and ids["1"] == (31, 7, 2) and ids["2"] == (None, None, None)
+    assert spark.sql("SELECT t.id, s.* FROM {t} t, LATERAL split_dict(t.bs_info) s WHERE t.id >= '4'", t=df).count() == 0

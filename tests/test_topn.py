@@ -61,3 +61,11 @@ def test_running_topn_equals_sort_and_slice(spark, events, n):
                        key=lambda x: (-x[1], (x[0] is not None, x[0] or "")))  # NULLs first, as in Spark ASC
         exp += [(sex, name, c) for name, c in items[:n]]
     assert got == sorted(exp, key=repr)
+
+
+def test_json_of_a_null_and_a_user_called_null(spark):
+    from eventide.operators.topn import topn_json_from_counts
+
+    df = spark.createDataFrame([("m", None, 3), ("m", "null", 2), ("m", 'q"\\[x]', 1)], "sex string, name string, cnt bigint")
+    text = topn_json_from_counts(df, ["sex"], "name", 3).first()["top10"]
+    assert text == '{"null":3,"null":2,"q\\"\\\\[x]":1}'
