@@ -2,14 +2,16 @@
 
 Words are maximal runs of ``[0-9a-z]`` and non-ASCII characters of the text
 with A-Z lower-cased.  The document frequency of every licence word is counted
-over all documents; each notice's anchor is its word of highest IDF.  A
-document is looked up by the anchors it holds: a word at position p that is an
-anchor posted at position t of a notice makes p - t a candidate start.  The
+over all documents; each notice's anchor is the word of highest IDF in its key
+phrase.  A document is looked up by the anchors it holds: a word at position p
+that is an anchor posted at position t of a notice makes p - t a candidate
+start.  The
 notice's postings are intersected with the document's words by relative
 position, which gives the share of the notice's IDF that is matched; a label
-holds if the notice's mandatory key phrase stands there in full.  Documents
-without any anchor skip all of that, and no step needs a shuffle but the
-counting of frequencies, which is combined before it.
+holds if the notice's mandatory key phrase stands there in full.  Texts are
+cut into words once; documents that lack a word of every key phrase keep only
+their counts.  No step needs a shuffle but the counting of frequencies, which is
+combined before it.
 
 The three base phrases are notices that are mandatory as a whole, so each of
 their places is found.  The score is the largest matched IDF share of any
@@ -33,7 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import text_or_empty
+from eventide.llm.common import text_or_empty, written
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -91,36 +93,37 @@ def lowered(text: str = "text") -> Column:
     return F.lower(F.replace(text_or_empty(text), F.lit("\u212a"), F.lit("\u00e5")))
 
 
-def words_of(low: str) -> Column:
-    return F.regexp_extract_all(low, F.lit(f"({WORD})"), F.lit(1))
-
-
-def document_frequencies(docs: DataFrame, vocabulary: list[str], text_col: str = "text") -> tuple[int, dict[str, int]]:
-    """(documents, documents that hold each vocabulary word), over all documents."""
-    words = docs.select(lowered(text_col).alias("low")).select(words_of("low").alias("w"))
-    own = words.select(F.array_distinct(F.filter("w", lambda w: w.isin(vocabulary))).alias("own"))
-    # One row per vocabulary word, combined before the shuffle; the null row counts the documents.
-    counts = (own.select(F.explode(F.concat(F.array(F.lit(None).cast("string")), "own")).alias("w")).groupBy("w")
+def read_words(docs: DataFrame, notices: tuple[Notice, ...], id_col: str, text_col: str) -> DataFrame:
+    """One pass over all whole texts, as a written table: doc_id, n_words, own (the licence
+    words that it holds), and w (all its words) where some notice's whole key phrase is among them."""
+    vocabulary = sorted({w for n in notices for w in n.words})
+    keys = F.array(*[F.array(*[F.lit(w) for w in n.key]) for n in notices])
+    low = docs.select(F.col(id_col).alias("doc_id"), lowered(text_col).alias("low"))
+    words = low.select("doc_id", F.regexp_extract_all("low", F.lit(WORD), F.lit(0)).alias("all"))
+    own = words.select("doc_id", "all", F.array_distinct(F.filter("all", lambda w: w.isin(vocabulary))).alias("own"))
+    some = F.exists(keys, lambda k: F.size(F.array_except(k, F.col("own"))) == 0)
+    return written(own.select("doc_id", F.size("all").alias("n_words"), "own", F.when(some, F.col("all")).alias("w")),
+                   "licence-words")
+
+
+def document_frequencies(words: DataFrame) -> tuple[int, dict[str, int]]:
+    """(documents, documents that hold each licence word), over all documents."""
+    # One row per licence word, combined before the shuffle; the null row counts the documents.
+    counts = (words.select(F.explode(F.concat(F.array(F.lit(None).cast("string")), "own")).alias("w")).groupBy("w")
               .agg(F.count(F.lit(1)).alias("n")).collect())
     seen = {r["w"]: r["n"] for r in counts}
-    return seen.get(None, 0), {w: seen.get(w, 0) for w in vocabulary}
+    return seen.pop(None, 0), seen
 
 
 def scan(docs: DataFrame, notices: tuple[Notice, ...] = NOTICES, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    vocabulary = sorted({w for n in notices for w in n.words})
-    n_docs, seen = document_frequencies(docs, vocabulary, text_col)
-    idf = {w: math.log((n_docs + 1) / (seen[w] + 1)) + 1.0 for w in vocabulary}
+    rows = read_words(docs, notices, id_col, text_col)
+    n_docs, seen = document_frequencies(rows)
+    idf = {w: math.log((n_docs + 1) / (seen.get(w, 0) + 1)) + 1.0 for n in notices for w in n.words}
     postings = _postings(notices, idf)
     rare = sorted({n.words[_anchor(n, idf)] for n in notices})
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), lowered(text_col).alias("low"))
-    maybe = F.lit(False)
-    for w in rare:
-        maybe = maybe | F.contains("low", F.lit(w))
-    rows = rows.select("doc_id", F.when(maybe, words_of("low")).alias("w"),
-                       F.when(~maybe, F.regexp_count("low", F.lit(WORD))).alias("plain"))
     # First level: where each anchor word stands.
     rows = rows.withColumn("hits", F.filter(F.transform("w", lambda x, i: F.struct(x.alias("w"), i.alias("p"))),
                                             lambda h: h["w"].isin(rare)))
@@ -139,14 +142,14 @@ def scan(docs: DataFrame, notices: tuple[Notice, ...] = NOTICES, id_col: str = "
         return F.transform(stands, lambda s: F.struct(n["label"].alias("label"), n["base"].alias("base"),
                                                       s.alias("start"), share(s).alias("share")))
 
-    rows = rows.select("doc_id", "plain", "w", F.flatten(F.transform(postings, placed)).alias("found"))
+    rows = rows.select("doc_id", "n_words", "w", F.flatten(F.transform(postings, placed)).alias("found"))
     base = F.filter("found", lambda f: f["base"])
     labels = lambda of: F.array_join(F.array_sort(F.array_distinct(F.transform(of, lambda f: f["label"]))), ",")
     starts = F.transform(base, lambda f: f["start"])
     known = F.col("w").isNotNull()
     top = F.coalesce(F.array_max(F.transform("found", lambda f: f["share"])), F.lit(0.0))
     return rows.select(
-        "doc_id", F.coalesce("plain", F.size("w")).cast("long").alias("n_words"),
+        "doc_id", F.col("n_words").cast("long").alias("n_words"),
         F.when(known, F.size(base)).otherwise(0).cast("long").alias("n_base"),
         F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
         F.when(known, labels(base)).otherwise("").alias("base_labels"),
