@@ -108,7 +108,8 @@ def retained(spark: SparkSession, arrivals: str, state: str, batch_bytes: int =
             raise
         return spark.createDataFrame([], empty).drop("batch")
     newest = versions.groupBy("digest").agg(F.max_by(F.struct("first", "seen"), "batch").alias("s"))
-    return newest.select("digest", "s.first", "s.seen")
+    # Written: a join of two plain exchanges is one that Spark splits where a digest is hot.
+    return written(newest.select("digest", "s.first", "s.seen"), "dedup-newest")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
