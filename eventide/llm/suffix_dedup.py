@@ -288,7 +288,8 @@ def covered(docs: DataFrame, length: int = LENGTH, text_col: str = "text", hot:
 
     long = texts.where(F.length("body") >= length)
     every = written(long.mapInArrow(find, _STRAND), "suffix-strands")
-    shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("w")).where("w > 1").select("key")
+    # Written first: a join of two plain exchanges is one that Spark splits where a key is hot.
+    shared = written(every.groupBy("key").agg(F.count(F.lit(1)).alias("w")).where("w > 1").select("key"), "suffix-shared")
     kept = written(every.join(shared, "key"), "suffix-candidates")
     alike = kept.groupBy("key", "c0", "c1").agg(F.count(F.lit(1)).alias("weight"),
                                                 F.min(F.struct("fh", "ri", "pos", "n", "a")).alias("r"))
