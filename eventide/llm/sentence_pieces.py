@@ -42,7 +42,9 @@ from eventide.llm.common import per_process
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Words and piece pairs kept per worker process: the first ones seen hold the common ones.
-CACHE_WORDS, CACHE_PAIRS = 250_000, 500_000
+CACHE_WORDS, CACHE_PAIRS = 200_000, 200_000
+#: Documents whose distinct words are walked together.
+SLICE = 1_024
 
 
 class Pieces:
@@ -61,6 +63,8 @@ class Pieces:
         self.texts = {i: p.encode() for p, i in self.ids.items()} | {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece holds a mark after another character: words can't be cut at marks")
+        self.packed = {p: i.to_bytes(4, "little") for p, i in self.ids.items()}
+        self.byte_packed = [i.to_bytes(4, "little") for i in self.byte_ids]
         self.words: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
@@ -116,11 +120,11 @@ class Pieces:
             yield word, out[::-1]
 
     def _packed(self, parts: list[str]) -> bytes:
-        ids: list[int] = []
-        for p in parts:
-            i = self.ids.get(p)
-            ids += [i] if i is not None else [self.byte_ids[b] for b in p.encode()]
-        return np.array(ids, "<u4").tobytes()
+        packed = list(map(self.packed.get, parts))
+        if None in packed:  # unknown characters: one id per byte
+            packed = [b"".join([self.byte_packed[b] for b in p.encode()]) if x is None else x
+                      for p, x in zip(parts, packed)]
+        return b"".join(packed)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, packed as little-endian 32-bit integers."""
@@ -161,8 +165,8 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
                 yield pa.RecordBatch.from_arrays(
                     [part["id"], pa.array(p.encode(part["text"].to_pylist()), pa.binary())], ["id", "ids"])
 
@@ -175,8 +179,8 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
                 yield pa.RecordBatch.from_arrays(
                     [part["id"], part["ids"], pa.array(p.decode(part["ids"].to_pylist()), pa.string())],
                     ["id", "ids", "text"])
@@ -185,16 +189,23 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, model: str) -> DataFrame:
-    """doc_id, n_tokens, ids_crc32, decoded_sha256 of every whole text, encoded and decoded."""
+    """doc_id, n_tokens, ids_crc32, decoded_sha256 of every whole text, encoded and decoded.
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Both directions run in one pass, so that a task has one Python worker and one vocabulary.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = pieces(model)
         for batch in batches:
-            ids, texts = batch["ids"].to_pylist(), batch["text"].to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [batch["id"], pa.array([len(x) // 4 for x in ids], pa.int64()),
-                 pa.array([zlib.crc32(x) for x in ids], pa.int64()),
-                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())],
-                ["doc_id", "n_tokens", "ids_crc32", "decoded_sha256"])
-
-    out = decode(encode(docs, model), model)
-    return out.mapInArrow(digest, "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string")
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                ids = p.encode(part["text"].to_pylist())
+                texts = p.decode(ids)
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], pa.array([len(x) // 4 for x in ids], pa.int64()),
+                     pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+                     pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())],
+                    ["doc_id", "n_tokens", "ids_crc32", "decoded_sha256"])
+
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string")
