@@ -7,7 +7,7 @@ language probabilities.  Embeddings and layer are trained together by
 mini-batch stochastic gradient descent in numpy.
 
 Fitting uses a bounded sample: per language the ``per_language`` labelled
-documents whose identifiers hash lowest.  A third of the sample, never trained
+documents (of at most ``MOST_CHARS`` characters) that hash lowest.  A third of the sample, never trained
 on, sets the softmax temperature (calibration) and the rejection threshold:
 halfway between chance and the score that all but ``reject_share`` of those
 documents reach, and never above ``reject_most``.  Prediction reads every whole text in one pass without
@@ -39,6 +39,8 @@ from eventide.llm.common import per_process
 
 #: Labelled documents fitted on, per language (the bound of the sample).
 PER_LANGUAGE = 400
+#: Texts longer than this are predicted whole but not fitted on, which bounds the sample's bytes.
+MOST_CHARS = 200_000
 #: Languages fitted, the most frequent ones in the sample's labels.
 MOST_LANGUAGES = 200
 #: Share of clean calibration documents that the threshold may reject, and its highest value.
@@ -206,7 +208,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
           per_language: int = PER_LANGUAGE) -> Model:
     """Fit on a bounded sample of the labelled rows that are not held out."""
     id_, lang, text = F.col(id_col), F.col(lang_col).cast("string"), F.col(text_col).cast("string")
-    usable = docs.where(id_.isNotNull() & ~held_out(id_col) & text.isNotNull() & lang.isNotNull())
+    usable = docs.where(id_.isNotNull() & ~held_out(id_col) & (F.length(text) <= MOST_CHARS) & lang.isNotNull())
     usable = usable.select(F.xxhash64(id_, text).alias("h"), lang.alias("lang"), text.alias("text"))
     langs = [r["lang"] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang")
              .limit(MOST_LANGUAGES).collect()]
