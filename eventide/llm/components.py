@@ -18,8 +18,9 @@ def connected(links: DataFrame) -> DataFrame:
 
     Each round hooks every node's larger neighbours to the smallest one it
     knows, then its smaller neighbours; trees get flat in a few rounds.  A
-    round is two aggregates and two joins over the links; the links are
-    written after each, so an executor that is lost costs one round at most.
+    round is two aggregates and two joins over the links; links and smallest
+    neighbours are written, so an executor that is lost costs one step at most,
+    and the joins are of plain exchanges, which Spark splits where a node is hot.
     """
     edges = (links.where(F.col("a") != F.col("b"))
              .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
@@ -31,11 +32,12 @@ def connected(links: DataFrame) -> DataFrame:
             break
         # Large star: both directions; larger neighbours move to the smallest node around.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "components-least")
         large = (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u != v").distinct())
+        large = written(large, "components-large")
         # Small star: smaller neighbours, and the node itself, move to the smallest of them.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "components-least")
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
                  .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         edges = written(small, "components")

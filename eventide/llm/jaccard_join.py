@@ -37,6 +37,7 @@ Defined results
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,7 +54,7 @@ CACHE_WORDS = 300_000
 #: Part parities per bucket that one task sorts, and the least number of buckets.
 BUCKET_KEYS, LEAST_BUCKETS = 500_000, 256
 #: 64-bit words of the short bit sketch.
-SKETCH = 4
+SKETCH = 16
 
 _SETS = "id long, fh long, ri long, n long, d0 long, node binary, " + ", ".join(f"s{i} long" for i in range(SKETCH))
 
@@ -64,6 +65,7 @@ class Similarity:
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
         self.edges = [1]
+        self.parts: dict[int, int] = {}
 
     def band(self, size: int) -> int:
         """Band of a set size: partners lie in the same band or a neighbouring one."""
@@ -82,10 +84,15 @@ class Similarity:
             self.band(self.edges[-1])
         return self.difference(2 * (self.edges[band + 1] - 1))
 
-
-def spares(d: int) -> int:
-    """Parts beyond d + 1, for those that stay empty."""
-    return 1 if d < 10 else 2 if d < 30 else 3 + d // 32
+    def parts_of(self, band: int) -> int:
+        """Parts of the sketches compared in ``band``: more than the difference bound, with
+        spares for the parts that stay empty even in the smallest set (by four deviations)."""
+        if band not in self.parts:
+            d, least = self.of_band(band), self.edges[max(band - 1, 0)]
+            filled = lambda p: p - (e := p * math.exp(-least / p)) - 4 * math.sqrt(e)
+            # Where sets are too small for any number, their empty parts are emitted instead.
+            self.parts[band] = next((p for p in range(d + 2, 2 * d + 4) if filled(p) >= d + 1), d + 2)
+        return self.parts[band]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -143,7 +150,7 @@ def part_keys(tokens: np.ndarray, sim: Similarity) -> np.ndarray:
             whole = np.bitwise_xor.reduce(tokens)
             out.append(mixed(np.append(tokens ^ whole, whole) + salt))
             continue
-        p = d + 1 + spares(d)
+        p = sim.parts_of(band)
         part = ((tokens >> np.uint64(32)) * np.uint64(p)) >> np.uint64(32)  # sorted, as the tokens are
         first = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1])
         parity, index = np.bitwise_xor.reduceat(tokens, first), part[first]
@@ -311,7 +318,8 @@ def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_co
                      "jaccard-bodies")
 
     # Round 1: members against their key's pivot.
-    pivots = members.groupBy("key").agg(F.min("m").alias("p"))
+    # (Written first: a join of two plain exchanges is one that Spark splits where a key is hot.)
+    pivots = written(members.groupBy("key").agg(F.min("m").alias("p")), "jaccard-pivots")
     star = members.join(pivots, "key").where(F.col("m.node") != F.col("p.node")).where(_possible("m", "p", num, den))
     tested = written(star.select(F.col("m.node").alias("a"), F.col("p.node").alias("b")).distinct(), "jaccard-pairs")
     links = written(verified(tested, bodies, num, den), "jaccard-links")
@@ -323,7 +331,7 @@ def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_co
     mixed_keys = (placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key")
                   .agg(F.max_by("root", F.struct("c", "root")).alias("most"), F.count(F.lit(1)).alias("roots"))
                   .where("roots > 1").select("key", "most"))
-    placed = written(placed.join(mixed_keys, "key"), "jaccard-placed")
+    placed = written(placed.join(written(mixed_keys, "jaccard-mixed"), "key"), "jaccard-placed")
     few = placed.where("root != most").select("key", F.col("m").alias("x"), F.col("root").alias("rx"))
     others = placed.select("key", F.col("m").alias("y"), F.col("root").alias("ry"))
     pairs = (few.join(others, "key").where("rx != ry").where(_possible("x", "y", num, den))
