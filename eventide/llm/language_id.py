@@ -9,8 +9,8 @@ mini-batch stochastic gradient descent in numpy.
 Fitting uses a bounded sample: per language the ``per_language`` labelled
 documents (of at most ``MOST_CHARS`` characters) that hash lowest.  A third of the sample, never trained
 on, sets the softmax temperature (calibration) and the rejection threshold:
-halfway between chance and the score that all but ``reject_share`` of those
-documents reach, and never above ``reject_most``.  Prediction reads every whole text in one pass without
+a quarter of the way from chance to the score that all but ``reject_share`` of
+those documents reach, and never above ``reject_most``.  Prediction reads every whole text in one pass without
 a shuffle; the language, source and identifier columns are no inputs of it.
 
 Defined results
@@ -45,7 +45,7 @@ MOST_CHARS = 200_000
 MOST_LANGUAGES = 200
 #: Share of clean calibration documents that the threshold may reject, and its highest value.
 REJECT_SHARE = 0.0005
-REJECT_MOST = 0.35
+REJECT_MOST = 0.3
 #: Rows of the embedding matrix, their width, and the n-gram lengths.
 BUCKETS, WIDTH, GRAMS = 1 << 15, 16, (1, 2, 3)
 #: Passes (at least), steps (at least, so that a small sample is learned, too),
@@ -198,8 +198,9 @@ def fit(texts: list[str], labels: list[str], reject_share: float = REJECT_SHARE,
 
         model.temperature = min((2.0 ** (k / 4) for k in range(-12, 17)), key=loss)
         top = model.probabilities(hidden(check)).max(axis=1)
-        # Halfway to chance: what is below lies clearly outside what the calibration set shows.
-        least = (float(np.quantile(top, reject_share)) + 1 / len(langs)) / 2
+        # Close to chance: what is below lies clearly outside what the calibration set shows.
+        chance = 1 / len(langs)
+        least = chance + (float(np.quantile(top, reject_share)) - chance) / 4
         model.reject_below = min(least, reject_most)
     return model
 
