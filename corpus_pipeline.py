@@ -17,8 +17,9 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 VOCABULARY, END_ID, CAPACITY = "word_bpe_49k.json", 2, 4_096
 #: Near duplicates: words per shingle and least similarity in hundredths.
 SHINGLE_WORDS, SIMILARITY = 5, 80
-#: Bytes of a string that may stand only once.
-REPEAT_BYTES = 400
+#: Bytes of a string that may stand only once: no passage of over 50 words is shorter (51 letters, 50
+#: blanks).  The anchor's bytes follow from it (a window holds two at least).  op9's length is its own.
+REPEAT_BYTES, REPEAT_GRAM = 101, 32
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +39,9 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the long strings that stand elsewhere, too; ``n_chars`` follows the text."""
-    out = suffix_dedup.deduplicate(docs, REPEAT_BYTES)
+    """Documents without the strings that stand elsewhere, too, every passage of over 50 words
+    among them; ``n_chars`` follows the text."""
+    out = suffix_dedup.deduplicate(docs, REPEAT_BYTES, gram=REPEAT_GRAM)
     return out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.char_length("text").cast("long"))).select(*COLUMNS)
 
 

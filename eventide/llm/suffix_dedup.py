@@ -384,13 +384,14 @@ def spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_co
              "spans array<struct<lo: long, hi: long>>")
 
 
-def deduplicate(docs: DataFrame, length: int = LENGTH, text_col: str = "text", hot: int = HOT) -> DataFrame:
+def deduplicate(docs: DataFrame, length: int = LENGTH, text_col: str = "text", hot: int = HOT,
+                gram: int = GRAM) -> DataFrame:
     """``docs`` with the repeated strings taken out of the text, whole characters only.
 
     A character that a removed run covers only in part stays, so that the text stays valid.
     """
     docs = from_files(docs)
-    found = covered(docs, length, text_col, hot)
+    found = covered(docs, length, text_col, hot, gram)
     joined = _located(docs, text_col).join(found, ["fh", "ri"], "left")
     # A text without any such string, null included, stays as it is.
     text = F.when(F.col("ranges").isNull(), F.col(f"row.{text_col}")).otherwise(_shortened()("body", "ranges"))
