@@ -8,10 +8,17 @@ mini-batch stochastic gradient descent in numpy.
 
 Fitting uses a bounded sample: per language the ``per_language`` labelled
 documents (of at most ``MOST_CHARS`` characters) that hash lowest.  A third of the sample, never trained
-on, sets the softmax temperature (calibration) and the rejection threshold:
-a quarter of the way from chance to the score that all but ``reject_share`` of
-those documents reach, and never above ``reject_most``.  Prediction reads every whole text in one pass without
-a shuffle; the language, source and identifier columns are no inputs of it.
+on, sets the softmax temperature (calibration) and the rejection threshold.  That is one on
+familiarity, the mean log frequency of a text's n-grams in the learned texts:
+it is low in a language never learned and in letter noise, where the softmax
+score may still be high, and not low in a clean text that two learned languages
+share, where the score is.  The threshold of a language lies halfway between
+the calibration documents that the model gives that language and the same
+documents with their letters shuffled, or at a low quantile of those documents
+if that is lower.  A short text must fall below it by more: by
+``SPREADS`` standard errors of its different words.  Prediction
+reads every whole text in one pass without a shuffle; the language, source and
+identifier columns are no inputs of it.
 
 Defined results
     null text or no letter in it    ``und`` with score 0, rejected
@@ -43,9 +50,11 @@ PER_LANGUAGE = 400
 MOST_CHARS = 200_000
 #: Languages fitted, the most frequent ones in the sample's labels.
 MOST_LANGUAGES = 200
-#: Share of clean calibration documents that the threshold may reject, and its highest value.
-REJECT_SHARE = 0.0005
-REJECT_MOST = 0.3
+#: Share of the calibration documents that the threshold may reject, standard errors that a text must
+#: lie below it, and words of a calibration document that are shuffled.
+REJECT_SHARE, SPREADS, SHUFFLED = 0.005, 4.0, 200
+#: Frequency that a gram never seen counts as, and documents of a language from which its own threshold is taken.
+UNSEEN, OWN_LEAST = 1e-5, 20
 #: Rows of the embedding matrix, their width, and the n-gram lengths.
 BUCKETS, WIDTH, GRAMS = 1 << 15, 16, (1, 2, 3)
 #: Passes (at least), steps (at least, so that a small sample is learned, too),
@@ -103,17 +112,38 @@ class WordVectors:
         return (total + self.kept[[r for r in rows if r is not None]].sum(axis=0)) / len(own)
 
 
+def different(own: list[str]) -> float:
+    """Effective number of different words: repeated ones are no more evidence."""
+    n = np.array(list(Counter(own).values()), float)
+    return float(n.sum() ** 2 / (n ** 2).sum())
+
+
+class Familiarity:
+    """Threshold of each language, and the variance between a clean text's words."""
+
+    def __init__(self, clean: np.ndarray, noise: np.ndarray, top: np.ndarray, within: float, langs: int):
+        def least(x: np.ndarray, y: np.ndarray) -> float:
+            return min(float(np.median(x) + np.median(y)) / 2, float(np.quantile(x, REJECT_SHARE)))
+
+        own = [top == k for k in range(langs)]
+        self.least = np.array([least(clean[x], noise[x]) if x.sum() >= OWN_LEAST else least(clean, noise) for x in own])
+        self.within = within
+
+    def strange(self, mean: np.ndarray, top: np.ndarray, words_: np.ndarray) -> np.ndarray:
+        return mean + SPREADS * np.sqrt(self.within / words_) < self.least[top]
+
+
 class Model:
-    """Embeddings, linear layer, temperature and rejection threshold."""
+    """Embeddings (with the grams' log frequency as a last column, if any), linear layer, temperature, clean texts' familiarity."""
 
     def __init__(self, langs: list[str], vectors: np.ndarray, layer: np.ndarray, temperature: float = 1.0,
-                 reject_below: float = 0.0):
+                 familiar: Familiarity | None = None):
         self.langs, self.vectors, self.layer = langs, vectors, layer
-        self.temperature, self.reject_below = temperature, reject_below
+        self.temperature, self.familiar = temperature, familiar
         self.key = zlib.crc32(vectors.tobytes())
 
     def probabilities(self, hidden: np.ndarray) -> np.ndarray:
-        z = hidden @ self.layer / self.temperature
+        z = hidden[:, :len(self.layer)] @ self.layer / self.temperature
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
@@ -121,18 +151,26 @@ class Model:
         """(language, calibrated score, rejected) per text."""
         known = per_process(f"language words {self.key}", lambda: WordVectors(self.vectors))
         hidden = np.zeros((len(texts), self.vectors.shape[1]), np.float32)
-        empty = []
+        empty, count = [], np.ones(len(texts))
         for i, text in enumerate(texts):
             own = words(text) if text else []
             if own and self.langs:
                 hidden[i] = known.average(own)
+                count[i] = len(own)
             else:
                 empty.append(i)
         if not self.langs:
             return [("und", 0.0, True)] * len(texts)
         p = self.probabilities(hidden)
         top = p.argmax(axis=1)
-        out = [(self.langs[t], float(x), bool(x < self.reject_below)) for t, x in zip(top, p.max(axis=1))]
+        out = [(self.langs[t], float(x), False) for t, x in zip(top, p.max(axis=1))]
+        if self.familiar:
+            mean = hidden[:, -1]
+            # Texts that pass with every word taken as evidence pass with fewer.
+            for i in np.flatnonzero(self.familiar.strange(mean, top, count)).tolist():
+                count[i] = different(words(texts[i] or "") or [""])
+            for i in np.flatnonzero(self.familiar.strange(mean, top, count)).tolist():
+                out[i] = (*out[i][:2], True)
         for i in empty:
             out[i] = ("und", 0.0, True)
         return out
@@ -154,8 +192,39 @@ def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def fit(texts: list[str], labels: list[str], reject_share: float = REJECT_SHARE,
-        reject_most: float = REJECT_MOST) -> Model:
+def log_frequency(bags: list[tuple[np.ndarray, np.ndarray]], wanted: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Per bucket: log of its mean weight in the documents ``rows``, in the language where that is largest."""
+    most = np.zeros(BUCKETS)
+    for k in np.unique(wanted[rows]):
+        own, mine = np.zeros(BUCKETS), rows[wanted[rows] == k]
+        for i in mine:
+            own[bags[i][0]] += bags[i][1]
+        most = np.maximum(most, own / len(mine))
+    return np.log(most + UNSEEN).astype(np.float32)
+
+
+def _familiarity(model: Model, texts: list[str], top: np.ndarray, logs: list[np.ndarray]) -> Familiarity:
+    """From calibration texts, their languages by ``model`` and the log frequencies that each is held against."""
+    rng = np.random.default_rng(SEED)
+
+    def moments(own: list[str], log: np.ndarray) -> tuple[float, float]:
+        counts = Counter(own)
+        n = np.array(list(counts.values()), float)
+        x = np.array([log[grams(w)].mean() for w in counts])
+        mean = (n * x).sum() / n.sum()
+        return mean, (n * (x - mean) ** 2).sum() / n.sum()
+
+    def shuffled(own: list[str]) -> list[str]:
+        letters = "".join(rng.permutation(list("".join(own))))
+        ends = np.cumsum([0, *map(len, own)]).tolist()
+        return [letters[a:b] for a, b in zip(ends, ends[1:])]
+
+    clean = np.array([moments(words(t), log) for t, log in zip(texts, logs)])
+    noise = np.array([moments(shuffled(words(t)[:SHUFFLED]), log)[0] for t, log in zip(texts, logs)])
+    return Familiarity(clean[:, 0], noise, top, float(np.median(clean[:, 1])), len(model.langs))
+
+
+def fit(texts: list[str], labels: list[str]) -> Model:
     """Train on two thirds of the given documents, calibrate on the rest."""
     langs = sorted(set(labels))
     rng = np.random.default_rng(SEED)
@@ -197,11 +266,16 @@ def fit(texts: list[str], labels: list[str], reject_share: float = REJECT_SHARE,
             return float(np.mean(np.log(np.exp(e).sum(axis=1)) - e[np.arange(len(own)), own]))
 
         model.temperature = min((2.0 ** (k / 4) for k in range(-12, 17)), key=loss)
-        top = model.probabilities(hidden(check)).max(axis=1)
-        # Close to chance: what is below lies clearly outside what the calibration set shows.
-        chance = 1 / len(langs)
-        least = chance + (float(np.quantile(top, reject_share)) - chance) / 4
-        model.reject_below = min(least, reject_most)
+        top = model.probabilities(hidden(check)).argmax(axis=1)
+        # What a text is held against must not hold the text itself: a small sample's halves serve each other.
+        halves = [learn, learn] if learn is not check else [order[::2], order[1::2]]
+        if all(map(len, halves)):
+            logs = [log_frequency(bags, wanted, h) for h in halves[::-1]]
+            inside = set(halves[0].tolist())
+            against = [logs[0 if i in inside else 1] for i in check.tolist()]
+            seen = np.concatenate([vectors, log_frequency(bags, wanted, learn)[:, None]], axis=1)
+            known = _familiarity(model, [texts[i] for i in check], top, against)
+            model = Model(langs, seen, layer, model.temperature, known)
     return model
 
 
