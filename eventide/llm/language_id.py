@@ -7,7 +7,8 @@ language probabilities.  Embeddings and layer are trained together by
 mini-batch stochastic gradient descent in numpy.
 
 Fitting uses a bounded sample: per language the ``per_language`` labelled
-documents (of at most ``MOST_CHARS`` characters) that hash lowest.  A third of the sample, never trained
+documents that hash lowest, for each value of the language column; of a longer text
+its first ``MOST_CHARS`` characters.  A third of the sample, never trained
 on, sets the softmax temperature (calibration) and the rejection threshold.  That is one on
 familiarity, the mean log frequency of a text's n-grams in the learned texts:
 it is low in a language never learned and in letter noise, where the softmax
@@ -46,10 +47,8 @@ from eventide.llm.common import per_process
 
 #: Labelled documents fitted on, per language (the bound of the sample).
 PER_LANGUAGE = 400
-#: Texts longer than this are predicted whole but not fitted on, which bounds the sample's bytes.
+#: Characters of a text that are fitted on, which bounds the sample's bytes; texts are predicted whole.
 MOST_CHARS = 200_000
-#: Languages fitted, the most frequent ones in the sample's labels.
-MOST_LANGUAGES = 200
 #: Share of the calibration documents that the threshold may reject, standard errors that a text must
 #: lie below it, and words of a calibration document that are shuffled.
 REJECT_SHARE, SPREADS, SHUFFLED = 0.005, 4.0, 200
@@ -283,20 +282,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
           per_language: int = PER_LANGUAGE) -> Model:
     """Fit on a bounded sample of the labelled rows that are not held out."""
     id_, lang, text = F.col(id_col), F.col(lang_col).cast("string"), F.col(text_col).cast("string")
-    usable = docs.where(id_.isNotNull() & ~held_out(id_col) & (F.length(text) <= MOST_CHARS) & lang.isNotNull())
-    usable = usable.select(F.xxhash64(id_, text).alias("h"), lang.alias("lang"), text.alias("text"))
-    langs = [r["lang"] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-             .limit(MOST_LANGUAGES).collect()]
+    usable = docs.where(id_.isNotNull() & ~held_out(id_col) & text.isNotNull() & lang.isNotNull())
+    usable = usable.select(F.xxhash64(id_, text).alias("h"), lang.alias("lang"),
+                           F.substring(text, 1, MOST_CHARS).alias("text"))
     order = Window.partitionBy("lang").orderBy("h")
     # Keys first: only the sample's texts travel.
-    keys = (usable.select("lang", "h").where(F.col("lang").isin(langs)).withColumn("r", F.row_number().over(order))
+    keys = (usable.select("lang", "h").withColumn("r", F.row_number().over(order))
             .where(F.col("r") <= per_language).groupBy("lang").agg(F.max("h").alias("cut")).collect())
     if not keys:
         return Model([], np.zeros((1, WIDTH), np.float32), np.zeros((WIDTH, 1), np.float32))
-    chosen = F.lit(False)
-    for r in keys:
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (F.col("h") <= r["cut"]))
-    sample = usable.where(chosen).dropDuplicates(["h"]).orderBy("h").select("lang", "text").collect()
+    cuts = F.broadcast(docs.sparkSession.createDataFrame(keys, "lang string, cut long"))  # a row per language
+    sample = (usable.join(cuts, "lang").where("h <= cut").dropDuplicates(["h"]).orderBy("h")
+              .select("lang", "text").collect())
     sample = [r for r in sample if words(r["text"])]
     return fit([r["text"] for r in sample], [r["lang"] for r in sample])
 
