@@ -172,11 +172,11 @@ def q_hash_code_udf(spark, sf_dir):
 
 
 def q_hash_code_vectorised(spark, sf_dir):
-    """Order keys with large odd values and NULLs, in one Arrow batch after another."""
+    """Order keys with large odd values and NULLs: every partition's Arrow batches mix them."""
     k = F.col("id")
     big = (F.when(k % 5 == 0, F.lit(None).cast("bigint")).when(k % 5 == 1, k + F.lit((1 << 62) + 1))
            .when(k % 5 == 2, -k - F.lit((1 << 61) - 2)).when(k % 5 == 3, k + F.lit(9007199254740993)).otherwise(k))
-    w = _order_words(spark, sf_dir).select(k.alias("o_id"), big.alias("id")).coalesce(1)
+    w = _order_words(spark, sf_dir).select(k.alias("o_id"), big.alias("id"))
     # as text: values beyond 2^53 beside NULLs must not pass through doubles on their way out
     return w.select("o_id", F.col("id").cast("string").alias("id"),
                     hash_code_pandas()(F.col("id")).cast("string").alias("hash_id"))
