@@ -20,7 +20,9 @@ Defined results
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -112,20 +114,67 @@ def retained(spark: SparkSession, arrivals: str, state: str, batch_bytes: int =
     return written(newest.select("digest", "s.first", "s.seen"), "dedup-newest")
 
 
+def fetched(locs: DataFrame, text_col: str) -> DataFrame:
+    """(digest, loc, body) of (digest, loc): the compared texts, read from the files that the locators name."""
+    spark = locs.sparkSession
+    paths = [r["path"] for r in locs.select("loc.path").distinct().collect()]
+    if not paths:
+        return locs.withColumn("body", F.lit(""))
+    # Locators hold encoded paths, the reader takes patterns.
+    plain = [re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(p)) for p in paths]
+    rows = addressed(spark.read.parquet(*plain)).select("loc", normalised(f"row.{text_col}").alias("body"))
+    return rows.join(locs, "loc").select("digest", "loc", "body")
+
+
+def _continued(docs: DataFrame, light: DataFrame, arrivals: str, state: str, text_col: str) -> DataFrame:
+    """``groups`` over a state with rows of earlier calls.
+
+    Hits are compared with their owners, wherever these lie.  Digests that
+    unequal texts share are kept beside the state, and their rows of all calls
+    are regrouped by the texts themselves.
+    """
+    spark = docs.sparkSession
+    hits = light.where("seen > 1 AND loc <> first.loc").select("digest", "loc")
+    owners = written(light.join(hits, "digest", "left_semi").select("digest", F.col("first.loc").alias("loc")).distinct(),
+                     "dedup-owners")
+    content = fetched(owners, text_col).select("digest", F.col("body").alias("kept_body"))
+    own = addressed(docs).select("loc", normalised(f"row.{text_col}").alias("body")).join(hits, "loc")
+    own.join(content, "digest").where("body <> kept_body").select("digest").distinct().write.mode("append").parquet(
+        f"{state}/shared")
+    shared = spark.read.parquet(f"{state}/shared").distinct()
+    every = written(spark.read.parquet(f"{state}/arrivals").join(shared, "digest"), "dedup-shared")
+    bodies = written(fetched(every.select("digest", "loc"), text_col), "dedup-shared-bodies")
+    regrouped = bodies.join(every.select("loc", "id"), "loc").groupBy("digest", "body").agg(
+        F.min(F.struct(F.col("id").isNull().alias("last"), "id", "loc")).alias("first2"),
+        F.count(F.lit(1)).alias("seen2"))
+    now = spark.read.parquet(arrivals).select("loc")
+    moved = bodies.join(now, "loc", "left_semi").join(regrouped, ["digest", "body"]).select("loc", "first2", "seen2")
+    out = light.join(moved, "loc", "left")
+    first = F.coalesce("first2", "first")
+    return out.select("id", first["id"].alias("keep_id"), F.coalesce("seen2", "seen").alias("group_size"),
+                      (F.col("loc") == first["loc"]).alias("kept"), F.col("sha").alias("text_sha256"), "loc")
+
+
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            digest: Callable[[Column], Column] = sha256, state: str | None = None,
            batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """One row per row of ``docs``: id, keep_id, group_size, kept, text_sha256, locator.
 
     ``digest`` maps the normalised text to a string; equal texts must give
-    equal digests, and unequal ones are told apart by their bytes.
+    equal digests, and unequal ones are told apart by their bytes.  With the
+    ``state`` of earlier calls, rows are grouped with the rows of those, too;
+    their files must still be there.
     """
     spark, docs = docs.sparkSession, from_files(docs)
     rows = addressed(docs).select(F.col(f"row.{id_col}").alias("id"), "loc",
                                   normalised(f"row.{text_col}").alias("body"))
     hashed = rows.select(digest(F.col("body")).alias("digest"), "id", "loc", sha256(F.col("body")).alias("sha"))
     arrivals = written_as(hashed, "dedup-arrivals")
-    kept = retained(spark, arrivals, state or shared_path(spark, "dedup-state"), batch_bytes)
+    if state:
+        spark.read.parquet(arrivals).write.mode("append").parquet(f"{state}/arrivals")
+        kept = retained(spark, f"{state}/arrivals", state, batch_bytes)
+        return _continued(docs, spark.read.parquet(arrivals).join(kept, "digest"), arrivals, state, text_col)
+    kept = retained(spark, arrivals, shared_path(spark, "dedup-state"), batch_bytes)
     light = spark.read.parquet(arrivals).join(kept, "digest")
 
     # Hits: compare with the full bytes at the retained locator.  Which rows
