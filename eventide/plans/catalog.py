@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from eventide.functions import (clock_text, hash_code_pandas, hash_code_udf, register_sql_functions, scalar_function,
                                 schemas)
 from eventide.operators import cdc, live_clicks
+from eventide.operators.aggregates import TopCounts, Variance, user_agg, user_window_agg
 from eventide.operators.lateral import lateral_split_dict
 from eventide.operators.timeutil import duration_micros, with_event_time
 from eventide.operators.windows import count_, max_, min_, avg_
@@ -31,6 +32,8 @@ from eventide.sources import csv_json_cells, csv_table, decode_json, jdbc_table,
 from eventide.sources.files import parquet_dir
 from eventide.streaming import jobs as sjobs
 from eventide.streaming import runtime as rt
+from eventide.streaming.late import run_split_late
+from eventide.streaming.stateful import latest, stateful_windows, table_aggregate
 
 DERBY_URL = "jdbc:derby:memory:eventide;create=true"
 DERBY_PROPS = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
@@ -128,6 +131,19 @@ def q_sex_top_json_nulls(spark, sf_dir):
     return jobs.sex_top_json(actions, 10, DAY, HOUR, spread_to=_spread_to(spark))
 
 
+def q_udaf_top_json(spark, sf_dir):
+    """The top-10 JSON text by a user-defined aggregate that merges."""
+    clicks = live_clicks(adapters.user_actions(_t(spark, sf_dir, "events")))
+    out = user_window_agg(clicks, "ts", DAY, HOUR, ["sex"], ["name"], TopCounts(jobs.CLICK_TOP_UDF), "string", "top10")
+    return out.select("sex", "top10", "start_time", "end_time")
+
+
+def q_udaf_variance(spark, sf_dir):
+    """Few keys that hold all rows: one accumulator a task and key is shuffled."""
+    cpu = adapters.cpu_usage(_t(spark, sf_dir, "events"))
+    return _round_avg(user_agg(cpu, ["cluster_name"], ["cpu_usage"], Variance(), "double", "var_cpu"), "var_cpu")
+
+
 def q_running_topn(spark, sf_dir):
     return jobs.running_top(adapters.user_actions(_t(spark, sf_dir, "events")))
 
@@ -314,6 +330,57 @@ def q_stream_running_topn(spark, sf_dir):
     return sjobs.run_running_topn(_actions_stream(spark, sf_dir), "sex", "name", jobs.CLICK_TOP_UDF)
 
 
+def q_stream_topn_timers(spark, sf_dir):
+    """The window top-N (60 s / 1 s, top 5) as one stateful operator that fires on the watermark."""
+    out = stateful_windows(live_clicks(_actions_stream(spark, sf_dir)), jobs.CLICK_WINDOW, jobs.CLICK_SLIDE, ["sex"], ["name"],
+                           TopCounts(jobs.CLICK_TOP_SQL), "name string, cnt long")
+    return rt.run_to_table(out, "stream-topn-timers")
+
+
+def q_stream_udaf_top_json(spark, sf_dir):
+    """The user-defined aggregate over windows of a stream, in four micro-batches."""
+    base = shared_path(spark, "stream-udaf")
+    ev_schema = _write_quarters(spark, sf_dir, f"{base}/src")
+    actions = with_event_time(adapters.user_actions(_slices(spark, f"{base}/src", ev_schema)))
+    out = stateful_windows(live_clicks(actions), DAY, HOUR, ["sex"], ["name"], TopCounts(jobs.CLICK_TOP_UDF), "top10 string")
+    return rt.run_to_table(out, "stream-udaf").select("sex", "top10", "start_time", "end_time")
+
+
+def q_stream_table_agg(spark, sf_dir):
+    """The running top-10 as a user-defined table aggregate with keyed state, each group's items in
+    eight parts; four micro-batches, folded to the rows last emitted."""
+    base = shared_path(spark, "stream-table-agg")
+    ev_schema = _write_quarters(spark, sf_dir, f"{base}/src")
+    agg, result = TopCounts(jobs.CLICK_TOP_UDF), "name string, cnt long"
+    out = table_aggregate(adapters.user_actions(_slices(spark, f"{base}/src", ev_schema)), ["sex"], ["name"], agg, result, parts=8)
+    return latest(rt.run_to_table(out, "stream-table-agg"), ["sex"], agg, result)
+
+
+#: Every so many events arrive one or two micro-batches after their time.
+DELAYED_EVERY = 10
+
+
+def q_stream_late(spark, sf_dir):
+    """Events of which every tenth arrives late, in four micro-batches: all rows, tagged by the
+    watermark in force."""
+    base = shared_path(spark, "stream-late")
+    ev = _t(spark, sf_dir, "events")
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    step = (hi - lo) / 4
+    quarter = sum((F.col("ts") >= lo + step * i).cast("int") for i in range(1, 4))
+    late_by = F.when(F.col("event_id") % DELAYED_EVERY == 0, 1 + F.floor(F.col("event_id") / DELAYED_EVERY) % 2).otherwise(0)
+    arrival = F.coalesce(F.least(quarter + late_by, F.lit(3)), F.lit(0))
+    for i in range(4):
+        ev.where(arrival == i).write.parquet(f"{base}/src/q{i}")
+    out = run_split_late(_slices(spark, f"{base}/src", ev.schema))
+    return out.select("event_id", "ts", "late")
+
+
+def _slices(spark, base, schema):
+    """The folders ``q0`` to ``q3`` as a stream, one per micro-batch."""
+    return parquet_dir(spark, f"{base}/*", schema, stream=True, max_files_per_trigger=1)
+
+
 def _write_quarters(spark, sf_dir, base, order=(0, 1, 2, 3), derive=None):
     """Write the events table as four ts-ordered slices into base/q<i> (in ``order``)."""
     ev = _t(spark, sf_dir, "events")
@@ -461,6 +528,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sex_top_json_daily": q_sex_top_json_daily,
     "sex_topn_panes": q_sex_topn_panes,
     "sex_top_json_nulls": q_sex_top_json_nulls,
+    "udaf_top_json": q_udaf_top_json,
+    "udaf_variance": q_udaf_variance,
     "running_topn": q_running_topn,
     "hash_code_vectorised": q_hash_code_vectorised,
     "scalar_variadic": q_scalar_variadic,
@@ -489,6 +558,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_sex_topn_60s": q_stream_sex_topn_60s,
     "stream_sex_top_json": q_stream_sex_top_json,
     "stream_running_topn": q_stream_running_topn,
+    "stream_topn_timers": q_stream_topn_timers,
+    "stream_udaf_top_json": q_stream_udaf_top_json,
+    "stream_table_agg": q_stream_table_agg,
+    "stream_late": q_stream_late,
     "stream_restart": q_stream_restart,
     "stream_savepoint": q_stream_savepoint,
     "stream_json_tumbling": q_stream_json_tumbling,
@@ -592,6 +665,15 @@ def _in_seconds(sql: str) -> str:
     return f"WITH events AS (SELECT * REPLACE (date_trunc('second', ts) AS ts) FROM main.events) {sql}"
 
 
+# The micro-batch an event arrives in, and the watermark of the micro-batches before that.
+_LATE = (f"WITH span AS (SELECT min(ts) AS lo, (max(ts) - min(ts)) / 4 AS step FROM events), "
+         f"arrived AS (SELECT event_id, ts, coalesce(least(3, (ts >= lo + step)::INT + (ts >= lo + 2 * step)::INT "
+         f"+ (ts >= lo + 3 * step)::INT + CASE WHEN event_id % {DELAYED_EVERY} = 0 THEN 1 + (event_id // {DELAYED_EVERY}) % 2 ELSE 0 END), 0) AS b "
+         f"FROM events, span), "
+         f"seen AS (SELECT b, max(max(ts)) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 5 SECOND AS mark "
+         f"FROM arrived GROUP BY b) "
+         f"SELECT event_id, ts, coalesce(ts < mark, FALSE) AS late FROM arrived JOIN seen USING (b)")
+
 _ORACLE = {
     "wordcount": _WORDS,
     "wordcount_csv": _WORDS,
@@ -608,6 +690,8 @@ _ORACLE = {
     "sex_top_json_daily": _top_json(DAY, HOUR, 10),
     "sex_topn_panes": _topn(jobs.CLICK_WINDOW, jobs.CLICK_SLIDE, jobs.CLICK_TOP_SQL),
     "sex_top_json_nulls": _top_json(DAY, HOUR, 10, _NULLABLE, "NULLS FIRST", "coalesce(name, 'null')"),
+    "udaf_top_json": _top_json(DAY, HOUR, 10),
+    "udaf_variance": "SELECT event_type AS cluster_name, round(var_pop(value), 6) AS var_cpu FROM events GROUP BY event_type",
     "running_topn": _RUNNING,
     "hash_code_vectorised": _HASH_BIG,
     "scalar_variadic": ("SELECT o_orderkey, concat_ws('|', o_orderkey, coalesce(o_orderstatus, '-')) AS two, "
@@ -638,6 +722,10 @@ _ORACLE = {
     "stream_sex_topn_60s": f"SELECT * FROM ({_topn(jobs.CLICK_WINDOW, jobs.CLICK_SLIDE, jobs.CLICK_TOP_SQL)}) o WHERE {_CUT}",
     "stream_sex_top_json": f"SELECT * FROM ({_top_json(jobs.CLICK_WINDOW, jobs.CLICK_SLIDE, jobs.CLICK_TOP_UDF)}) o WHERE {_CUT}",
     "stream_running_topn": _RUNNING,
+    "stream_topn_timers": f"SELECT * FROM ({_topn(jobs.CLICK_WINDOW, jobs.CLICK_SLIDE, jobs.CLICK_TOP_SQL)}) o WHERE {_CUT}",
+    "stream_udaf_top_json": f"SELECT * FROM ({_top_json(DAY, HOUR, 10)}) o WHERE {_CUT}",
+    "stream_table_agg": _RUNNING,
+    "stream_late": _LATE,
     "stream_restart": f"SELECT * FROM ({_SLIDE_CPU}) o WHERE {_CUT}",
     "stream_savepoint": f"SELECT * FROM ({_topn(DAY, HOUR, 5)}) o WHERE {_CUT}",
     "stream_json_tumbling": _in_seconds(f"SELECT * FROM ({_TUMBLE_CPU}) o WHERE {_CUT}"),

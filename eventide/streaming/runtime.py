@@ -20,6 +20,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -171,14 +172,30 @@ def _record(spark: SparkSession, path: str, name: str):
     return fs, p, jvm
 
 
-def publish(df: DataFrame, path: str, name: str) -> None:
+def publish(df: DataFrame, path: str, name: str, payload: Callable[[], dict] | None = None,
+            partition_by: list[str] | None = None) -> None:
     """Write ``<path>/<name>`` and then its commit record.  A replay takes the record
-    back first, so that a write cut short is never seen."""
+    back first, so that a write cut short is never seen.  ``payload`` is asked after
+    the write for what the record is to carry."""
     spark = df.sparkSession
     fs, record, _ = _record(spark, path, name)
     fs.delete(record, False)
-    df.write.mode("overwrite").parquet(f"{path}/{name}")
-    fs.create(record, True).close()
+    w = df.write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{path}/{name}")
+    out = fs.create(record, True)
+    if payload:
+        out.write(bytearray(json.dumps(payload()).encode()))
+    out.close()
+
+
+def commit_payload(spark: SparkSession, path: str, name: str) -> dict:
+    """What the commit record of ``<path>/<name>`` carries."""
+    fs, record, jvm = _record(spark, path, name)
+    source = fs.open(record)
+    try:
+        return json.loads(bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode() or "{}")
+    finally:
+        source.close()
 
 
 def committed(spark: SparkSession, path: str, kind: str) -> list[int]:
