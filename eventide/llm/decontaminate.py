@@ -215,7 +215,8 @@ def hits(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc
         F.array_distinct(F.flatten(F.collect_set("ids"))).alias("ids"))
     found = written(found, "leaks-found")
 
-    own = segments.join(found, ["k", "words"]).select(
+    # Both joins merge sorted runs: places take far more memory than their compressed files tell.
+    own = segments.join(found.hint("merge"), ["k", "words"]).select(
         "fh", "ri", F.expr("transform(spans, x -> struct(x.a + at AS a, x.b + at AS b))").alias("spans"), "ids")
     per_document = own.groupBy("fh", "ri").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
                                                F.array_distinct(F.flatten(F.collect_set("ids"))).alias("ids"))
@@ -223,7 +224,7 @@ def hits(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc
     per_document = per_document.mapInArrow(_merge, "fh long, ri long, spans array<struct<a:int,b:int>>, items array<string>")
     out = read.where(F.col("kind") == _DOCUMENT).select("fh", "ri", F.col("id").alias("doc_id"), F.col("n").alias("n_words"))
     empty = lambda t: F.expr(f"cast(array() AS {t})")
-    return out.join(per_document, ["fh", "ri"], "left").select(
+    return out.join(per_document.hint("merge"), ["fh", "ri"], "left").select(
         "doc_id", "n_words", F.coalesce("spans", empty("array<struct<a:int,b:int>>")).alias("spans"),
         F.coalesce("items", empty("array<string>")).alias("items"), "fh", "ri")
 
