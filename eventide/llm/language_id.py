@@ -60,7 +60,7 @@ BUCKETS, WIDTH, GRAMS = 1 << 15, 16, (1, 2, 3)
 #: documents per step and step size of the descent.
 EPOCHS, STEPS, BATCH, RATE, SEED = 12, 1_200, 16, 0.5, 7
 #: Word vectors kept per worker process: the first ones seen hold the common words.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 120_000
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -71,8 +71,9 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str) -> list[str]:
-    """Lower-cased runs of letters: other characters separate words."""
-    return _LETTERS.findall(text.lower())
+    """Lower-cased runs of word characters that hold a letter; digits and signs separate words."""
+    # The pattern lets numbers such as a superscript two pass: alone, they are no word.
+    return [w for w in _LETTERS.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))]
 
 
 def grams(word: str) -> list[int]:
