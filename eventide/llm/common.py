@@ -7,6 +7,7 @@ import sys
 import types
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,15 +38,19 @@ def written_as(df: DataFrame, name: str) -> str:
 
 
 def per_process(name: str, make: Callable[[], object]) -> object:
-    """One object per Python worker process, kept from task to task.
+    """The one object that a Python worker process keeps from task to task.
 
     The library's functions travel to the workers by value, so their module
     globals are new in every task; ``sys.modules`` is what a process keeps.
+    Asking for another name drops what was kept: workers outlive stages, and
+    caches of earlier ones would add up.
     """
     kept = sys.modules.setdefault("_eventide_kept", types.ModuleType("_eventide_kept")).__dict__
-    if name not in kept:
-        kept[name] = make()
-    return kept[name]
+    if kept.get("owner") != name:
+        kept["owner"] = kept["value"] = None
+        pa.default_memory_pool().release_unused()
+        kept["value"], kept["owner"] = make(), name
+    return kept["value"]
 
 
 def shards(rows: int, per_shard: int, least: int = 1) -> int:

@@ -50,7 +50,9 @@ from eventide.llm.components import connected
 from eventide.llm.exact_dedup import addressed, from_files
 
 #: Word hashes kept per worker process: the first ones seen hold the common words.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
+#: Part parities that a task holds before it sends them on.
+HELD_KEYS = 500_000
 #: Part parities per bucket that one task sorts, and the least number of buckets.
 BUCKET_KEYS, LEAST_BUCKETS = 500_000, 256
 #: 64-bit words of the short bit sketch.
@@ -240,7 +242,7 @@ def shared_keys(texts: DataFrame, width: int, num: int, den: int, buckets: int)
                     keys.append(own)
                     ids.append(int.from_bytes(digest[:8], "little", signed=True))
                     held += len(own)
-                if held >= 2_000_000:
+                if held >= HELD_KEYS:
                     yield flush(keys, ids)
                     keys, ids, held = [], [], 0
         if keys:
