@@ -33,9 +33,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from eventide.functions import schemas
 from eventide.operators.aggregates import merged, partials
 from eventide.operators.timeutil import duration_micros, with_event_time
+from eventide.streaming.runtime import rocksdb_conf
 
 #: Window sizes that one state key spans.
 CHUNK = 16
+#: Settings of a query with expiring state: Spark takes a timer on processing time as a reason for
+#: empty micro-batches without end.
+EXPIRY_CONF = {**rocksdb_conf(), "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
 _ROWS = 10_000
 
 
@@ -240,7 +244,8 @@ def table_aggregate(stream: DataFrame, keys: list[str], args: list[str], agg, re
     and of the changed ones do, where the object has that method (items that did
     not change can't come in); else all of the group's.  ``ttl`` lets entries
     expire so long after their last change (processing time), and emits what is
-    left then.  ``parts`` deals a group's items to so many states: a hot group
+    left then, in the next micro-batch; start such a query with ``EXPIRY_CONF``,
+    or an ``availableNow`` run never ends.  ``parts`` deals a group's items to so many states: a hot group
     is then worked on side by side, and ``latest`` joins its parts.
     """
     fields = _ddl(result)

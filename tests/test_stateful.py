@@ -13,7 +13,7 @@ from eventide.operators.aggregates import TopCounts
 from eventide.sources.files import parquet_dir
 from eventide.streaming import late as lt
 from eventide.streaming import runtime as rt
-from eventide.streaming.stateful import latest, stateful_windows, table_aggregate
+from eventide.streaming.stateful import EXPIRY_CONF, latest, stateful_windows, table_aggregate
 
 from conftest import rows
 
@@ -122,7 +122,8 @@ def test_one_value_per_window_and_state_rows(spark):
 
 def _run(source, agg, result, path, **options):
     out = table_aggregate(source.stream(), ["sex"], ["name"], agg, result, **options)
-    return rt.run_to_table(out, "t", path=path)
+    opts = rt.StreamOptions(conf=EXPIRY_CONF) if "ttl" in options else None
+    return rt.run_to_table(out, "t", path=path, opts=opts)
 
 
 def test_table_aggregate_emits_changed_groups_and_restarts(spark):
