@@ -15,18 +15,26 @@ from eventide.session import shared_path
 
 #: White space of the digest contracts: [\x20\x09-\x0D].
 BLANKS = r"[\x20\x09-\x0D]+"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: str | None = None, batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` below the shared folder and read it back.
 
     This cuts the lineage: what is lost with an executor is read again from
-    the shared folder instead of being computed again.
+    the shared folder instead of being computed again.  ``batch_rows`` bounds
+    the rows that Python functions in ``df`` get at once, where rows are large.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
     w = df.write.option("compression", "zstd")
-    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    before = spark.conf.get(BATCH_ROWS)
+    try:
+        if batch_rows:
+            spark.conf.set(BATCH_ROWS, str(batch_rows))
+        (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

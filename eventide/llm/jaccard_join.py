@@ -51,6 +51,8 @@ from eventide.llm.exact_dedup import addressed, from_files
 
 #: Word hashes kept per worker process: the first ones seen hold the common words.
 CACHE_WORDS = 150_000
+#: Texts, and pairs of sets, that a Python worker gets at once.
+TEXT_ROWS, PAIR_ROWS = 1_000, 128
 #: Part parities that a task holds before it sends them on.
 HELD_KEYS = 500_000
 #: Part parities per bucket that one task sorts, and the least number of buckets.
@@ -198,7 +200,7 @@ def sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
                      pa.array(node, pa.binary()), *(pa.array(sketch[:, i]) for i in range(SKETCH))],
                     ["id", "fh", "ri", "n", "d0", "node", *(f"s{i}" for i in range(SKETCH))])
 
-    return written(_texts(docs, id_col, text_col).mapInArrow(run, _SETS), "jaccard-sets")
+    return written(_texts(docs, id_col, text_col).mapInArrow(run, _SETS), "jaccard-sets", batch_rows=TEXT_ROWS)
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -263,7 +265,7 @@ def shared_keys(texts: DataFrame, width: int, num: int, den: int, buckets: int)
         return pa.table({"key": pa.array(pairs[keep, 0]), "d0": pa.array(pairs[keep, 1])})
 
     blocks = texts.select("body").mapInArrow(emit, "bucket int, keys binary, ids binary")
-    return written(blocks.groupBy("bucket").applyInArrow(match, "key long, d0 long"), "jaccard-keys")
+    return written(blocks.groupBy("bucket").applyInArrow(match, "key long, d0 long"), "jaccard-keys", batch_rows=TEXT_ROWS)
 
 
 def _possible(a: str, b: str, num: int, den: int) -> Column:
@@ -317,14 +319,14 @@ def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_co
                 yield pa.RecordBatch.from_arrays([part["node"], pa.array(tokens, pa.binary())], ["node", "tokens"])
 
     bodies = written(texts.join(wanted, ["fh", "ri"]).select("node", "body").mapInArrow(load, "node binary, tokens binary"),
-                     "jaccard-bodies")
+                     "jaccard-bodies", batch_rows=TEXT_ROWS)
 
     # Round 1: members against their key's pivot.
     # (Written first: a join of two plain exchanges is one that Spark splits where a key is hot.)
     pivots = written(members.groupBy("key").agg(F.min("m").alias("p")), "jaccard-pivots")
     star = members.join(pivots, "key").where(F.col("m.node") != F.col("p.node")).where(_possible("m", "p", num, den))
     tested = written(star.select(F.col("m.node").alias("a"), F.col("p.node").alias("b")).distinct(), "jaccard-pairs")
-    links = written(verified(tested, bodies, num, den), "jaccard-links")
+    links = written(verified(tested, bodies, num, den), "jaccard-links", batch_rows=PAIR_ROWS)
     roots = connected(links)
 
     # Round 2: in keys that hold several components, what is not in the largest one against the others.
@@ -340,7 +342,7 @@ def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_co
              .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct())
     before = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     late = written(verified(written(pairs.join(before, ["a", "b"], "left_anti"), "jaccard-late"), bodies, num, den),
-                   "jaccard-late-links")
+                   "jaccard-late-links", batch_rows=PAIR_ROWS)
     if not late.isEmpty():
         roots = connected(links.unionByName(late))
 
