@@ -206,7 +206,7 @@ def hits(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc
     # Distinct segments against the windows on the prefix shingle, bounded by place, then word for word.
     segments = read.where(F.col("kind") == _SEGMENT).select("fh", "ri", "at", "k", "words", "hs")
     distinct = written(segments.groupBy("k", "words").agg(F.first("hs").alias("hs")), "leaks-segments")
-    placed = distinct.select("k", "words", F.posexplode("hs").alias("p", "h")).join(prefix, ["k", "h"])
+    placed = distinct.select("k", "words", F.posexplode("hs").alias("p", "h")).join(prefix.hint("merge"), ["k", "h"])
     placed = placed.withColumn("s", F.col("p") - F.col("i")).withColumn("w", F.split("words", " "))
     placed = placed.where((F.col("s") >= 0) & (F.col("s") + F.col("size") <= F.size("w")))
     exact = placed.where(F.array_join(F.slice("w", F.greatest("s", F.lit(0)) + 1, F.col("size")), " ") == F.col("own"))
@@ -215,7 +215,7 @@ def hits(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc
         F.array_distinct(F.flatten(F.collect_set("ids"))).alias("ids"))
     found = written(found, "leaks-found")
 
-    # Both joins merge sorted runs: places take far more memory than their compressed files tell.
+    # These joins merge sorted runs: segments and places take far more memory than their compressed files tell.
     own = segments.join(found.hint("merge"), ["k", "words"]).select(
         "fh", "ri", F.expr("transform(spans, x -> struct(x.a + at AS a, x.b + at AS b))").alias("spans"), "ids")
     per_document = own.groupBy("fh", "ri").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
