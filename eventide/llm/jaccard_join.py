@@ -17,10 +17,12 @@
 3. Candidates of a key are compared with the key's pivot, not with each other;
    short bit sketches (parity of the tokens per bit) whose Hamming distance
    exceeds D, or sizes too far apart, rule a pair out before the sets are
-   fetched.  Then connected components; members of a key that are not in its
-   largest component are compared with the members of other components.
+   fetched.  Then connected components.  In keys that hold several, two more
+   pivots are drawn by a hash of key and member, one in the largest component and one outside;
+   at last, members that are not in their key's largest component are compared
+   with the members of other components.
    Every pair that shares a key then lies in one component or was compared, so
-   the components are exact, while a group of near copies costs one comparison
+   the components are exact, while a group of near copies costs a few comparisons
    per member.
 4. Pairs are verified on the sets themselves.
 
@@ -57,6 +59,8 @@ TEXT_ROWS, PAIR_ROWS = 1_000, 128
 HELD_KEYS = 500_000
 #: Part parities per bucket that one task sorts, and the least number of buckets.
 BUCKET_KEYS, LEAST_BUCKETS = 500_000, 256
+#: Rounds of drawn pivots, after the first and before what is left is joined.
+PIVOT_ROUNDS = 1
 #: 64-bit words of the short bit sketch.
 SKETCH = 16
 
@@ -290,6 +294,35 @@ def verified(pairs: DataFrame, bodies: DataFrame, num: int, den: int) -> DataFra
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.greatest(f"{x}.node", f"{y}.node").alias("a"), F.least(f"{x}.node", f"{y}.node").alias("b")]
+
+
+def _untested(met: DataFrame, x: str, y: str, tested: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs of ``met`` that may be links and were not compared yet (a written table)."""
+    pairs = met.where(_possible(x, y, num, den)).select(*_pair(x, y)).distinct()
+    return written(pairs.join(tested, ["a", "b"], "left_anti"), "jaccard-late")
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components by ``roots`` after further ``links``."""
+    if links.isEmpty():
+        return roots
+    return connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
+
+
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the keys that hold several components (a written table): key, m, its
+    component's root, and whether it lies outside the key's largest component."""
+    placed = members.join(roots.select(F.col("node").alias("_node"), "root"), F.col("m.node") == F.col("_node"), "left")
+    placed = placed.select("key", "m", F.coalesce("root", "m.node").alias("root"))
+    keys = (placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key")
+            .agg(F.max_by("root", F.struct("c", "root")).alias("most"), F.count(F.lit(1)).alias("roots"))
+            .where("roots > 1").select("key", "most"))
+    placed = placed.join(written(keys, "jaccard-mixed"), "key")
+    return written(placed.select("key", "m", "root", (F.col("root") != F.col("most")).alias("outside")), "jaccard-placed")
+
+
 def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
            text_col: str = "text", buckets: int | None = None) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, and whether it is its group's kept row
@@ -325,26 +358,31 @@ def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_co
     # (Written first: a join of two plain exchanges is one that Spark splits where a key is hot.)
     pivots = written(members.groupBy("key").agg(F.min("m").alias("p")), "jaccard-pivots")
     star = members.join(pivots, "key").where(F.col("m.node") != F.col("p.node")).where(_possible("m", "p", num, den))
-    tested = written(star.select(F.col("m.node").alias("a"), F.col("p.node").alias("b")).distinct(), "jaccard-pairs")
-    links = written(verified(tested, bodies, num, den), "jaccard-links", batch_rows=PAIR_ROWS)
-    roots = connected(links)
+    tested = written(star.select(*_pair("m", "p")).distinct(), "jaccard-pairs")
+    roots = connected(written(verified(tested, bodies, num, den), "jaccard-links", batch_rows=PAIR_ROWS))
+
+    # Rounds of drawn pivots: keys differ in theirs, so the components of a group of near copies merge
+    # at a cost in proportion to the members, before any two sides of a key are joined.
+    for n in range(PIVOT_ROUNDS):
+        placed = _mixed(members, roots)
+        drawn = F.xxhash64("key", F.lit(n), "m.node")
+        ends = written(placed.groupBy("key").agg(F.min_by(F.struct("m", "root"), F.when(F.col("outside"), drawn)).alias("few"),
+                                                 F.min_by(F.struct("m", "root"), F.when(~F.col("outside"), drawn)).alias("most")),
+                       "jaccard-drawn")
+        met = placed.join(ends.select("key", F.explode(F.array("few", "most")).alias("p")), "key").where("root != p.root")
+        late = _untested(met.select("m", F.col("p.m").alias("p")), "m", "p", tested, num, den)
+        if late.isEmpty():
+            continue
+        tested = tested.unionByName(late)
+        roots = _joined(roots, written(verified(late, bodies, num, den), "jaccard-links", batch_rows=PAIR_ROWS))
 
-    # Round 2: in keys that hold several components, what is not in the largest one against the others.
-    placed = members.join(roots.select(F.col("node").alias("_node"), "root"), F.col("m.node") == F.col("_node"), "left")
-    placed = placed.select("key", "m", F.coalesce("root", "m.node").alias("root"))
-    mixed_keys = (placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key")
-                  .agg(F.max_by("root", F.struct("c", "root")).alias("most"), F.count(F.lit(1)).alias("roots"))
-                  .where("roots > 1").select("key", "most"))
-    placed = written(placed.join(written(mixed_keys, "jaccard-mixed"), "key"), "jaccard-placed")
-    few = placed.where("root != most").select("key", F.col("m").alias("x"), F.col("root").alias("rx"))
+    # Last round: in keys that still hold several components, what is not in the largest one against the others.
+    placed = _mixed(members, roots)
+    few = placed.where("outside").select("key", F.col("m").alias("x"), F.col("root").alias("rx"))
     others = placed.select("key", F.col("m").alias("y"), F.col("root").alias("ry"))
-    pairs = (few.join(others, "key").where("rx != ry").where(_possible("x", "y", num, den))
-             .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct())
-    before = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    late = written(verified(written(pairs.join(before, ["a", "b"], "left_anti"), "jaccard-late"), bodies, num, den),
-                   "jaccard-late-links", batch_rows=PAIR_ROWS)
+    late = _untested(few.join(others, "key").where("rx != ry"), "x", "y", tested, num, den)
     if not late.isEmpty():
-        roots = connected(links.unionByName(late))
+        roots = _joined(roots, written(verified(late, bodies, num, den), "jaccard-late-links", batch_rows=PAIR_ROWS))
 
     # Per class, then per component, then per row.
     rooted = classes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
