@@ -66,6 +66,16 @@ def shards(rows: int, per_shard: int, least: int = 1) -> int:
     return max(least, math.ceil(rows / per_shard))
 
 
+def reading_tasks(spark: SparkSession, volume: int, per_task: int) -> int:
+    """Tasks for rows that each stand for much more to be read than their own bytes.
+
+    Spark merges partitions by the rows' bytes unless their number is given: it
+    is the session's number of shuffle partitions, or more where a task would
+    otherwise get over ``per_task`` of ``volume``.
+    """
+    return shards(volume, per_task, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import publish, store, written
+from eventide.llm.common import publish, reading_tasks, store, written
 from eventide.llm.tokens import encoder
 from eventide.session import shared_path
 
@@ -45,6 +45,8 @@ HEADER = "<8sBB6xQQQQQ"
 SAMPLE = 64
 #: Ids per file: a task closes a file once it holds so many (about 32 MB).
 FILE_IDS = 16_000_000
+#: Most ids that one task reads back (but for a last file's).
+READ_IDS = 64_000_000
 NULL_KEY = -(2**63)
 
 MANIFEST = "path string, part int, seq int, n_docs long, n_ids long"
@@ -207,7 +209,9 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                         "width": pa.array([f.width] * (hi - lo), pa.int32())})
                 f.close()
 
-    spread = manifest.repartition("path")
+    size = manifest.agg(F.count(F.lit(1)).alias("files"), F.sum("n_ids").alias("ids")).first()
+    tasks = reading_tasks(manifest.sparkSession, size["ids"] or 0, READ_IDS)
+    spread = manifest.repartition(max(1, min(size["files"], tasks)))  # rows in turn, one per file
     return spread.mapInArrow(read, "id long, start long, n_tokens long, ids binary, width int")
 
 

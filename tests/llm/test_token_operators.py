@@ -8,6 +8,8 @@ import pytest
 from llm_cases import TEXTS
 from tokenizers import Tokenizer
 
+from pyspark.sql.functions import spark_partition_id
+
 from eventide.llm import packing, sentence_pieces, token_files
 from eventide.llm.tokens import WordEncoder
 
@@ -49,6 +51,7 @@ def test_token_files_round_trip(spark, edge, nothing, tmp_path):
     # Small files; random access by select and range read.
     manifest = token_files.write_token_files(edge, vocabulary, 2, str(tmp_path / "f"), file_ids=50).persist()
     assert manifest.count() > 3
+    assert token_files.read_token_files(manifest).select(spark_partition_id()).distinct().count() > 1
     asked = manifest.selectExpr("path AS file", "0 AS doc")
     docs = {tuple(_ids("byte_bpe_50k.json", t).tolist()) for _, t in TEXTS}
     assert all(tuple(r["ids"]) in docs for r in token_files.lookup(spark, manifest, asked).collect())
