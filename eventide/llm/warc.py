@@ -38,13 +38,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import publish, store, text_or_empty, written
+from eventide.llm.common import publish, reading_tasks, store, text_or_empty, written
 from eventide.session import shared_path
 
 BLOCK_LINES = 300
 MIN_REVISIT = 1_000
 #: A task closes its archive at the first record past so many bytes.
 ARCHIVE_BYTES = 256 << 20
+#: Records that one task reads back.
+READ_RECORDS = 500_000
 
 _MANIFEST = "warc string, index string, first string, last string, captures long"
 
@@ -109,14 +111,15 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
 
-        members: list[bytes] = []
+        # Records go straight to the archive's file; only index lines are held.  Readers know archives
+        # by the manifest, which names those of the attempt that succeeds.
+        name, out = "", None
         lines: list[str] = []
         keys: list[str] = []
         at = 0
 
         def close() -> pa.RecordBatch:
-            name = f"{folder}/{uuid.uuid4().hex}"
-            publish(f"{name}.warc.gz", b"".join(members))
+            out.close()
             blocks, directory, off = [], [], 0
             for i in range(0, len(lines), BLOCK_LINES):
                 block = gzip.compress("\n".join(lines[i:i + BLOCK_LINES]).encode(), 6, mtime=0)
@@ -136,13 +139,18 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
                 sha1 = hashlib.sha1(payload).hexdigest()
                 member = gzip.compress(record(page, url, payload, "revisit" if revisit else "response",
                                               response if revisit else None, sha1), 6, mtime=0)
-                members.append(member)
+                if out is None:
+                    name = f"{folder}/{uuid.uuid4().hex}"
+                    files, place = store(f"{name}.warc.gz")
+                    files.create_dir(place.rsplit("/", 1)[0], recursive=True)
+                    out = files.open_output_stream(place, compression=None)  # members are compressed already
+                out.write(member)
                 lines.append(_line(key, page, at, len(member)))
                 keys.append(key)
                 at += len(member)
                 if at >= archive_bytes:
                     yield close()
-                    members, lines, keys, at = [], [], [], 0
+                    out, lines, keys, at = None, [], [], 0
         if keys:
             yield close()
 
@@ -198,17 +206,19 @@ def lookup(manifest: DataFrame, asked: DataFrame, id_col: str = "page_id", url_c
     refers_to, payload (null for revisits), one row per stored record.
     """
     # First level: one (first, last) key range per archive, as bounded as a file listing.
-    tops = sorted((r["first"], r["last"], r["index"], r["warc"]) for r in manifest.collect())
-    firsts, lasts = [t[0] for t in tops], [t[1] for t in tops]
+    tops = sorted((r["first"], r["last"], r["index"], r["warc"]) for r in manifest.drop("captures").collect())
+    spark = asked.sparkSession
+    level = spark.sparkContext.broadcast(([t[0] for t in tops], [t[1] for t in tops], [t[2:] for t in tops]))
     keyed = (asked.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"))
              .distinct().withColumn("key", _key_udf()("url")))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        firsts, lasts, _ = level.value
         for batch in batches:
             out: dict[str, list] = {"archive": [], "key": [], "id": []}
             for key, page in zip(batch["key"].to_pylist(), batch["id"].to_pylist()):
                 i = bisect.bisect_left(lasts, key)
-                while i < len(tops) and firsts[i] <= key:  # a key may run over several archives
+                while i < len(firsts) and firsts[i] <= key:  # a key may run over several archives
                     out["archive"].append(i)
                     out["key"].append(key)
                     out["id"].append(page)
@@ -217,9 +227,10 @@ def lookup(manifest: DataFrame, asked: DataFrame, id_col: str = "page_id", url_c
                                               "key": pa.array(out["key"], pa.string()),
                                               "id": pa.array(out["id"], pa.int64())})
 
-    placed = keyed.mapInArrow(place, "archive int, key string, id long").distinct()
+    placed = written(keyed.mapInArrow(place, "archive int, key string, id long").distinct(), "warc-placed")
     # Salted by key, so that one archive's lookups need not be one task's.
-    dealt = (placed.repartition("archive", F.pmod(F.xxhash64("key", "id"), F.lit(8)))
+    tasks = reading_tasks(spark, placed.count(), READ_RECORDS)
+    dealt = (placed.repartition(tasks, "archive", F.pmod(F.xxhash64("key", "id"), F.lit(8)))
              .sortWithinPartitions("archive", "key", "id"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,8 +239,8 @@ def lookup(manifest: DataFrame, asked: DataFrame, id_col: str = "page_id", url_c
             rows = []
             for archive, key, page in zip(*(batch[c].to_pylist() for c in ("archive", "key", "id"))):
                 if archive != held:
-                    held, index = archive, Index(tops[archive][2])
-                    files, at = store(tops[archive][3])
+                    held, index = archive, Index(level.value[2][archive][0])
+                    files, at = store(level.value[2][archive][1])
                     warc = files.open_input_file(at)
                 for off, length in index.captures(key, page):
                     headers, payload = parse(zlib.decompress(warc.read_at(length, off), 31))

@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pytest
 from llm_cases import TEXTS
+from pyspark.sql.functions import spark_partition_id
 
 from eventide.llm import language_id as li
 from eventide.llm import licenses, warc
@@ -63,6 +64,8 @@ def test_archives_round_trip(spark, tmp_path):
         [(99, "http://b.example/z", None, None)], df.schema))
     found = warc.lookup(manifest, asked).collect()
     assert sorted((r["page_id"], r["payload"].decode()) for r in found) == [(4, "small"), (5, "small")]
+    # Reading is dealt to many tasks, however few bytes the asked rows have.
+    assert warc.lookup(manifest, df).select(spark_partition_id()).distinct().count() > 1
 
 
 def test_index_blocks(tmp_path, monkeypatch):
