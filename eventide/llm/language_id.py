@@ -8,7 +8,8 @@ mini-batch stochastic gradient descent in numpy.
 
 Fitting uses a bounded sample: per language the ``per_language`` labelled
 documents that hash lowest, for each value of the language column; of a longer text
-its first ``MOST_CHARS`` characters.  A third of the sample, never trained
+its first ``MOST_CHARS`` characters; of all languages together
+``MOST_DOCUMENTS`` documents and ``MOST_TOTAL`` characters at most.  A third of the sample, never trained
 on, sets the softmax temperature (calibration) and the rejection threshold.  That is one on
 familiarity, the mean log frequency of a text's n-grams in the learned texts:
 it is low in a language never learned and in letter noise, where the softmax
@@ -43,12 +44,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import per_process
+from eventide.llm.common import per_process, written
 
 #: Labelled documents fitted on, per language (the bound of the sample).
 PER_LANGUAGE = 400
 #: Characters of a text that are fitted on, which bounds the sample's bytes; texts are predicted whole.
 MOST_CHARS = 200_000
+#: Documents of all languages together, and their characters: with many languages each has a smaller share.
+#: Of more distinct values than that, those of most documents are learned, one document each.
+MOST_DOCUMENTS, MOST_TOTAL = 20_000, 320_000_000
 #: Share of the calibration documents that the threshold may reject, standard errors that a text must
 #: lie below it, and words of a calibration document that are shuffled.
 REJECT_SHARE, SPREADS, SHUFFLED = 0.005, 4.0, 200
@@ -142,6 +146,20 @@ class Model:
         self.temperature, self.familiar = temperature, familiar
         self.key = zlib.crc32(vectors.tobytes())
 
+    def state(self) -> tuple:
+        """Plain values, which a broadcast carries to workers without this package."""
+        known = self.familiar and (self.familiar.least, self.familiar.within)
+        return self.langs, self.vectors, self.layer, self.temperature, known
+
+    @classmethod
+    def of(cls, state: tuple) -> Model:
+        *own, known = state
+        familiar = None
+        if known:
+            familiar = Familiarity.__new__(Familiarity)
+            familiar.least, familiar.within = known
+        return cls(*own, familiar)
+
     def probabilities(self, hidden: np.ndarray) -> np.ndarray:
         z = hidden[:, :len(self.layer)] @ self.layer / self.temperature
         z = np.exp(z - z.max(axis=1, keepdims=True))
@@ -284,17 +302,22 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Fit on a bounded sample of the labelled rows that are not held out."""
     id_, lang, text = F.col(id_col), F.col(lang_col).cast("string"), F.col(text_col).cast("string")
     usable = docs.where(id_.isNotNull() & ~held_out(id_col) & text.isNotNull() & lang.isNotNull())
-    usable = usable.select(F.xxhash64(id_, text).alias("h"), lang.alias("lang"),
-                           F.substring(text, 1, MOST_CHARS).alias("text"))
-    order = Window.partitionBy("lang").orderBy("h")
-    # Keys first: only the sample's texts travel.
-    keys = (usable.select("lang", "h").withColumn("r", F.row_number().over(order))
-            .where(F.col("r") <= per_language).groupBy("lang").agg(F.max("h").alias("cut")).collect())
-    if not keys:
+    counts = (usable.groupBy(lang.alias("lang")).agg(F.approx_count_distinct(id_).alias("n"))
+              .orderBy(F.desc("n"), "lang").limit(MOST_DOCUMENTS).collect())
+    if not counts:
         return Model([], np.zeros((1, WIDTH), np.float32), np.zeros((WIDTH, 1), np.float32))
-    cuts = F.broadcast(docs.sparkSession.createDataFrame(keys, "lang string, cut long"))  # a row per language
-    sample = (usable.join(cuts, "lang").where("h <= cut").dropDuplicates(["h"]).orderBy("h")
-              .select("lang", "text").collect())
+    share = max(1, min(per_language, MOST_DOCUMENTS // len(counts)))
+    # A hash below a language's cut is expected of more documents than its share, so that few rows
+    # are ranked, whatever the table's size.
+    cuts = [(r["lang"], min(2**63 - 1, -2**63 + (2 * share + 64) * 2**64 // max(1, r["n"]))) for r in counts]
+    cuts = F.broadcast(docs.sparkSession.createDataFrame(cuts, "lang string, cut long"))  # MOST_DOCUMENTS rows at most
+    near = usable.select(F.xxhash64(id_, text).alias("h"), lang.alias("lang"),
+                         F.substring(text, 1, min(MOST_CHARS, MOST_TOTAL // (share * len(counts)))).alias("text"))
+    near = written(near.join(cuts, "lang").where("h <= cut").dropDuplicates(["lang", "h"]).select("lang", "h", "text"),
+                   "language-sample")
+    order = Window.partitionBy("lang").orderBy("h")
+    keys = near.select("lang", "h").withColumn("r", F.row_number().over(order)).where(F.col("r") <= share)
+    sample = near.join(keys.select("lang", "h"), ["lang", "h"]).orderBy("h", "lang").select("lang", "text").collect()
     sample = [r for r in sample if words(r["text"])]
     return fit([r["text"] for r in sample], [r["lang"] for r in sample])
 
@@ -302,11 +325,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``rejected`` (existing columns of these names are replaced)."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # a few MB at most: BUCKETS x WIDTH plus the layer
+    shared = spark.sparkContext.broadcast(model.state())  # a few MB at most: BUCKETS x WIDTH plus the layer
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def predict(text: pd.Series) -> pd.DataFrame:
-        found = shared.value.predict([t if isinstance(t, str) else None for t in text])
+        found = Model.of(shared.value).predict([t if isinstance(t, str) else None for t in text])
         return pd.DataFrame(found, columns=["lang_pred", "score", "rejected"])
 
     added = ["lang_pred", "score", "rejected"]
