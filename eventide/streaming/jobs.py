@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from eventide.functions import schemas
 from eventide.operators import cdc
-from eventide.operators.timeutil import with_event_time
-from eventide.operators.topn import rank_counts
+from eventide.operators.timeutil import duration_micros, to_micros, with_event_time
+from eventide.operators.topn import (hops_evenly, pane_of, pane_window_counts, rank_counts, start_and_end,
+                                     topn_json_from_counts)
 from eventide.operators.windows import Agg, count_, hop_agg, session_agg, tumble_agg
 from eventide.session import shared_path
 from eventide.streaming import runtime as rt
@@ -75,15 +76,74 @@ def run_window_agg(stream: DataFrame, kind: str, keys: list[str], aggs: list[Agg
     return rt.read_table(stream.sparkSession, path, schema)
 
 
-def _start_ranked(stream: DataFrame, name: str, size: str, slide: str, keys: list[str], fold,
-                  opts: rt.StreamOptions | None, path: str | None, strategy: str):
-    """Final window counts, folded per micro-batch into ``<path>/data/batch_id=<id>``."""
+def _open_panes(spark: SparkSession, panes: str, batch_id: int) -> DataFrame:
+    """Panes that windows after the last firing before ``batch_id`` need, as far as ``batch_id`` has them."""
+    kept = [v for v in rt.committed_versions(spark, panes) if v < batch_id][-1:]
+    later = [i for i in rt.committed(spark, panes, "batch_id") if (kept or [-1])[0] < i <= batch_id]
+    return spark.read.parquet(*[f"{panes}/v={v}" for v in kept], *[f"{panes}/batch_id={i}" for i in later])
+
+
+def _fire_windows(checkpoint: str, path: str, size: str, slide: str, group_cols: list[str], item_col: str, fold):
+    """foreachBatch function: keeps the counts of panes that a micro-batch has changed, and publishes
+    ``fold(counts)`` of the windows that its watermark closes as ``<path>/batch_id=<id>``.
+
+    Panes lie beside the query's state, in its checkpoint: ``batch_id=<id>`` has those changed by a micro-batch,
+    ``v=<id>`` all that windows still open after it need.  What a replay of the batch would read is kept.
+    """
+    size_us, slide_us, panes = duration_micros(size), duration_micros(slide), f"{checkpoint}/panes"
+    keys = ["_p", *group_cols, item_col]
+
+    def fire(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        passed, now = (rt.batch_watermark(spark, checkpoint, b) * 1000 // slide_us * slide_us for b in (batch_id - 1, batch_id))
+        rt.publish(batch, panes, f"batch_id={batch_id}")
+        held = _open_panes(spark, panes, batch_id)
+        closing = held if now > passed else held.limit(0)
+        # A count only grows, so of a pane's rows the largest is the newest.
+        latest = closing.groupBy(*keys).agg(F.max("_n").alias("_n"))
+        counts = pane_window_counts(latest, size, slide, group_cols, item_col, (passed + slide_us - size_us, now - size_us))
+        rt.publish(fold(counts), path, f"batch_id={batch_id}")
+        if now > passed:
+            rt.publish(latest.where(F.col("_p") + size_us > now), panes, f"v={batch_id}")
+            before = [v for v in rt.committed_versions(spark, panes) if v < batch_id][-1:]
+            rt.drop_versions_before(spark, panes, (before or [0])[0])
+            rt.drop_batches_upto(spark, panes, (before or [-1])[0])
+
+    return fire
+
+
+def _start_ranked(stream: DataFrame, name: str, size: str, slide: str, group_cols: list[str], item_col: str, rank,
+                  columns: list[str], opts: rt.StreamOptions | None, path: str | None, strategy: str):
+    """Final window counts, folded per micro-batch into ``<path>/data/batch_id=<id>``.
+
+    ``rank(counts, group columns)`` ranks the counts of windows; ``columns`` is the result's order.  Overlapping windows share their panes: the
+    query's state has a count per (pane, group, item), for as long as a window that holds the pane is open
+    (``strategy="panes"``: as long as the pane is, as where panes are closed one by one).
+    """
     spark = stream.sparkSession
     path = path or shared_path(spark, name)
-    counts = window_agg_stream(stream, "hop", keys, [count_("cnt")], size, slide, strategy=strategy)
-    opts = _options(opts, f"{path}/_checkpoint")
-    q = rt.start_foreach_batch(counts, rt.batch_partitioned_writer(f"{path}/data", fold), opts.checkpoint, opts)
-    return q, path, fold(spark.createDataFrame([], counts.schema)).schema
+    if not hops_evenly(size, slide):
+        opts = _options(opts, f"{path}/_checkpoint")
+        counts = window_agg_stream(stream, "hop", [*group_cols, item_col], [count_("cnt")], size, slide, strategy=strategy)
+        fold = lambda b: rank(b, ["start_time", "end_time", *group_cols]).select(*columns)
+        q = rt.start_foreach_batch(counts, rt.batch_partitioned_writer(f"{path}/data", fold), opts.checkpoint, opts)
+        return q, path, fold(spark.createDataFrame([], counts.schema)).schema
+    if strategy not in ("direct", "panes"):
+        raise ValueError(strategy)
+    ev = with_event_time(stream, "ts", schemas.WATERMARK_DELAY)
+    pane = pane_of(to_micros(F.col("ts")), slide)
+    if strategy == "panes":
+        windows = ev.withColumn("_w", F.window("ts", slide))
+    else:  # the last window that holds the row
+        windows = ev.withColumn("_w", F.window("ts", size, slide)).where(to_micros(F.col("_w.start")) == pane)
+    panes = (windows.groupBy("_w", pane.alias("_p"), *group_cols, item_col).agg(F.count(F.lit(1)).alias("_n"))
+             .select("_p", *group_cols, item_col, "_n"))
+    fold = lambda counts: start_and_end(rank(counts, ["_s", *group_cols]), size, True).select(*columns)
+    opts = _options(opts, f"{path}/_checkpoint", output_mode="update")
+    fire = _fire_windows(opts.checkpoint, f"{path}/data", size, slide, group_cols, item_col, fold)
+    q = rt.start_foreach_batch(panes, fire, opts.checkpoint, opts)
+    empty = spark.createDataFrame([], panes.schema)
+    return q, path, fold(pane_window_counts(empty, size, slide, group_cols, item_col)).schema
 
 
 def start_window_topn(stream: DataFrame, size: str, slide: str, group_cols: list[str], item_col: str,
@@ -91,15 +151,14 @@ def start_window_topn(stream: DataFrame, size: str, slide: str, group_cols: list
                       strategy: str = "direct"):
     """(query, path, schema) of the top-n per (hop window, group).
 
-    Stage 1 is a watermarked count per (window, group, item) in append mode:
-    all rows of a window leave state in the same micro-batch, once final.
-    Stage 2 ranks each micro-batch (``WindowGroupLimit``) in ``foreachBatch``
-    and overwrites ``batch_id=<id>``, so a replayed batch is written once.
-    A catch-up run closes many windows at once: bound its batches at the
-    source (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``).
+    Stage 1 is a watermarked count per (slide-wide pane, group, item) in
+    update mode.  Stage 2 adds up and ranks the windows that the micro-batch's
+    watermark closes (``WindowGroupLimit``) in ``foreachBatch`` and overwrites
+    ``batch_id=<id>``, so a replayed batch is written once.
     """
-    rank = lambda b: rank_counts(b, ["start_time", "end_time", *group_cols], item_col, n)
-    return _start_ranked(stream, "stream-topn", size, slide, [*group_cols, item_col], rank, opts, path, strategy)
+    rank = lambda counts, by: rank_counts(counts, by, item_col, n)
+    return _start_ranked(stream, "stream-topn", size, slide, group_cols, item_col, rank,
+                         ["start_time", "end_time", *group_cols, item_col, "cnt"], opts, path, strategy)
 
 
 def run_window_topn(stream: DataFrame, size: str, slide: str, group_cols: list[str], item_col: str,
@@ -294,16 +353,12 @@ def start_window_topn_json(stream: DataFrame, size: str, slide: str, group_col:
                            path: str | None = None, strategy: str = "direct"):
     """(query, path, schema) of the top-n JSON text per (hop window, group): the aggregate-function job.
 
-    Final window counts leave state once per window (append mode); each
-    micro-batch folds them to ``{"item": cnt, ...}`` in ``foreachBatch``.
+    Windows are counted once, when they close; each micro-batch folds its
+    counts to ``{"item": cnt, ...}`` in ``foreachBatch``.
     """
-    from eventide.operators.topn import topn_json_from_counts
-
-    def fold(b: DataFrame) -> DataFrame:
-        out = topn_json_from_counts(b, ["start_time", "end_time", group_col], item_col, n, alias)
-        return out.select(group_col, alias, "start_time", "end_time")
-
-    return _start_ranked(stream, "stream-topn-json", size, slide, [group_col, item_col], fold, opts, path, strategy)
+    rank = lambda counts, by: topn_json_from_counts(counts, by, item_col, n, alias)
+    return _start_ranked(stream, "stream-topn-json", size, slide, [group_col], item_col, rank,
+                         [group_col, alias, "start_time", "end_time"], opts, path, strategy)
 
 
 def run_window_topn_json(stream: DataFrame, size: str, slide: str, group_col: str, item_col: str,
