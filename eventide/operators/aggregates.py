@@ -7,6 +7,7 @@ An aggregate is any object with
     merge(acc, others)              take in other accumulators
     get_value(acc)                  the result, for an aggregate function
     emit_value(acc)                 the result's rows as tuples, for a table aggregate
+    retract(acc, others)            optional: take out accumulators that were merged before
 
 ``accumulate`` and ``merge`` change ``acc`` or return another one.  Prefer
 built-in aggregates where they exist: these run in Python.
@@ -23,6 +24,7 @@ panes, so a row is accumulated once, not once per window.
 
 from __future__ import annotations
 
+import heapq
 import json
 import pickle
 from collections.abc import Callable, Iterable, Iterator
@@ -61,8 +63,15 @@ class TopCounts:
             for item, n in other.items():
                 acc[item] = acc.get(item, 0) + n
 
+    def retract(self, acc: dict, others: Iterable[dict]) -> None:
+        for other in others:
+            for item, n in other.items():
+                acc[item] -= n
+                if not acc[item]:
+                    del acc[item]
+
     def emit_value(self, acc: dict) -> list[tuple]:
-        return sorted(acc.items(), key=lambda e: (-e[1], e[0] is not None, e[0]))[:self.n]
+        return heapq.nsmallest(self.n, acc.items(), key=lambda e: (-e[1], e[0] is not None, e[0]))
 
     def leading(self, acc: dict) -> list:
         """Items that stay in the result unless others change: counts only grow."""
@@ -114,6 +123,11 @@ def merged(agg, acc, others: list):
     return acc if new is None else new
 
 
+def retracted(agg, acc, others: list):
+    new = agg.retract(acc, others)
+    return acc if new is None else new
+
+
 def _same(a: tuple, b: tuple) -> bool:
     return all(x == y or (x != x and y != y) for x, y in zip(a, b))
 

@@ -1,6 +1,7 @@
 import pytest
 
 from llm_cases import TEXTS
+from tests.conftest import rows  # noqa: F401 (in a run of the whole suite this is the module "conftest" of the tests above, too)
 
 
 @pytest.fixture(scope="session")
