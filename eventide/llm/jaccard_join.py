@@ -64,7 +64,8 @@ PIVOT_ROUNDS = 1
 #: 64-bit words of the short bit sketch.
 SKETCH = 16
 
-_SETS = "id long, fh long, ri long, n long, d0 long, node binary, " + ", ".join(f"s{i} long" for i in range(SKETCH))
+_SKETCH = [f"s{i}" for i in range(SKETCH)]
+_SETS = "id long, fh long, ri long, n long, d0 long, node binary, " + ", ".join(f"{s} long" for s in _SKETCH)
 
 
 class Similarity:
@@ -202,7 +203,7 @@ def sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part["id"], part["fh"], part["ri"], pa.array(n, pa.int64()), pa.array(d0, pa.int64()),
                      pa.array(node, pa.binary()), *(pa.array(sketch[:, i]) for i in range(SKETCH))],
-                    ["id", "fh", "ri", "n", "d0", "node", *(f"s{i}" for i in range(SKETCH))])
+                    ["id", "fh", "ri", "n", "d0", "node", *_SKETCH])
 
     return written(_texts(docs, id_col, text_col).mapInArrow(run, _SETS), "jaccard-sets", batch_rows=TEXT_ROWS)
 
@@ -311,15 +312,15 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     return connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
 
 
-def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+def _mixed(keyed: DataFrame, sketches: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of the keys that hold several components (a written table): key, m, its
     component's root, and whether it lies outside the key's largest component."""
-    placed = members.join(roots.select(F.col("node").alias("_node"), "root"), F.col("m.node") == F.col("_node"), "left")
-    placed = placed.select("key", "m", F.coalesce("root", "m.node").alias("root"))
-    keys = (placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key")
+    nodes = sketches.join(roots, "node", "left").select("d0", F.struct("node", "n", *_SKETCH).alias("m"),
+                                                        F.coalesce("root", "node").alias("root"))
+    keys = (keyed.join(nodes, "d0").groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key")
             .agg(F.max_by("root", F.struct("c", "root")).alias("most"), F.count(F.lit(1)).alias("roots"))
             .where("roots > 1").select("key", "most"))
-    placed = placed.join(written(keys, "jaccard-mixed"), "key")
+    placed = keyed.join(written(keys, "jaccard-mixed"), "key").join(nodes, "d0")
     return written(placed.select("key", "m", "root", (F.col("root") != F.col("most")).alias("outside")), "jaccard-placed")
 
 
@@ -330,18 +331,18 @@ def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_co
     docs = from_files(docs)
     rows = sets(docs, width, id_col, text_col)
     texts = _texts(docs, id_col, text_col)
-    info = ["node", "n", *(f"s{i}" for i in range(SKETCH))]
+    info = ["node", "n", *_SKETCH]
     address = F.min(F.struct("fh", "ri")).alias("r")
     classes = written(rows.where("n > 0").groupBy("d0", *info).agg(
         F.min(F.struct(F.col("id").isNull().alias("last"), "id", "fh", "ri")).alias("least"), address), "jaccard-classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
     buckets = buckets or shards(total // 2, BUCKET_KEYS, LEAST_BUCKETS)
     keyed = shared_keys(texts, width, num, den, buckets)
-    members = written(keyed.join(classes.select("d0", F.struct(*info).alias("m")), "d0").select("key", "m"), "jaccard-members")
 
+    # Classes that share a key, with their sketches; members of keys are their 64-bit names alone.
+    sketches = written(keyed.select("d0").distinct().join(classes.select("d0", *info, "r"), "d0"), "jaccard-sketches")
     # The sets of all candidates, one copy each.
-    wanted = members.select("m.node").distinct().join(classes.select("node", "r"), "node")
-    wanted = wanted.select("node", F.col("r.fh").alias("fh"), F.col("r.ri").alias("ri"))
+    wanted = sketches.select("node", F.col("r.fh").alias("fh"), F.col("r.ri").alias("ri"))
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = shingler()
@@ -356,18 +357,22 @@ def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_co
 
     # Round 1: members against their key's pivot.
     # (Written first: a join of two plain exchanges is one that Spark splits where a key is hot.)
-    pivots = written(members.groupBy("key").agg(F.min("m").alias("p")), "jaccard-pivots")
-    star = members.join(pivots, "key").where(F.col("m.node") != F.col("p.node")).where(_possible("m", "p", num, den))
-    tested = written(star.select(*_pair("m", "p")).distinct(), "jaccard-pairs")
+    pivots = written(keyed.groupBy("key").agg(F.min("d0").alias("p0")), "jaccard-pivots")
+    # A pair comes from many keys: sketches are fetched once per pair, not once per key and member.
+    star = written(keyed.join(pivots, "key").where("d0 != p0").select("d0", "p0").distinct(), "jaccard-star")
+    side = lambda d0, m: sketches.select(F.col("d0").alias(d0), F.struct(*info).alias(m))
+    star = star.join(side("d0", "m"), "d0").join(side("p0", "p"), "p0").where(_possible("m", "p", num, den))
+    tested = written(star.select(*_pair("m", "p")), "jaccard-pairs")
     roots = connected(written(verified(tested, bodies, num, den), "jaccard-links", batch_rows=PAIR_ROWS))
 
     # Rounds of drawn pivots: keys differ in theirs, so the components of a group of near copies merge
     # at a cost in proportion to the members, before any two sides of a key are joined.
     for n in range(PIVOT_ROUNDS):
-        placed = _mixed(members, roots)
+        placed = _mixed(keyed, sketches, roots)
         drawn = F.xxhash64("key", F.lit(n), "m.node")
-        ends = written(placed.groupBy("key").agg(F.min_by(F.struct("m", "root"), F.when(F.col("outside"), drawn)).alias("few"),
-                                                 F.min_by(F.struct("m", "root"), F.when(~F.col("outside"), drawn)).alias("most")),
+        end = F.struct("m", "root")
+        ends = written(placed.groupBy("key").agg(F.min_by(end, F.when(F.col("outside"), drawn)).alias("few"),
+                                                 F.min_by(end, F.when(~F.col("outside"), drawn)).alias("most")),
                        "jaccard-drawn")
         met = placed.join(ends.select("key", F.explode(F.array("few", "most")).alias("p")), "key").where("root != p.root")
         late = _untested(met.select("m", F.col("p.m").alias("p")), "m", "p", tested, num, den)
@@ -377,7 +382,7 @@ def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_co
         roots = _joined(roots, written(verified(late, bodies, num, den), "jaccard-links", batch_rows=PAIR_ROWS))
 
     # Last round: in keys that still hold several components, what is not in the largest one against the others.
-    placed = _mixed(members, roots)
+    placed = _mixed(keyed, sketches, roots)
     few = placed.where("outside").select("key", F.col("m").alias("x"), F.col("root").alias("rx"))
     others = placed.select("key", F.col("m").alias("y"), F.col("root").alias("ry"))
     late = _untested(few.join(others, "key").where("rx != ry"), "x", "y", tested, num, den)
