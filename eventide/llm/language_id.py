@@ -38,6 +38,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -65,6 +66,10 @@ BUCKETS, WIDTH, GRAMS = 1 << 15, 16, (1, 2, 3)
 EPOCHS, STEPS, BATCH, RATE, SEED = 12, 1_200, 16, 0.5, 7
 #: Word vectors kept per worker process: the first ones seen hold the common words.
 CACHE_WORDS = 120_000
+#: Characters of a word from which its grams are found alone, and words whose grams are found at once.
+LONG_WORD, AT_ONCE = 40, 1_000
+#: Words of texts that are averaged together (one text at least).
+HELD_WORDS = 20_000
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -86,34 +91,103 @@ def grams(word: str) -> list[int]:
     return [zlib.crc32(marked[i:i + n].encode()) % BUCKETS for n in GRAMS for i in range(len(marked) - n + 1)]
 
 
+def _crc_table() -> np.ndarray:
+    t = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        t = np.where(t & 1, (t >> 1) ^ np.uint32(0xEDB88320), t >> 1)
+    return t
+
+
+_CRC = _crc_table()
+
+
+def _crc_on(state: np.ndarray, chars: np.ndarray) -> np.ndarray:
+    """CRC-32 registers after one more character each (a code point, as its UTF-8 bytes)."""
+    size = 1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000)
+    out = np.empty_like(state)
+    for n, lead in ((1, 0), (2, 0xC0), (3, 0xE0), (4, 0xF0)):
+        at = np.flatnonzero(size == n)
+        s = state[at]
+        for k in range(n - 1, -1, -1):
+            byte = chars[at] >> (6 * k)
+            byte = byte | lead if k == n - 1 else byte & 0x3F | 0x80
+            s = _CRC[(s ^ byte) & 0xFF] ^ (s >> 8)
+        out[at] = s
+    return out
+
+
+def grams_of(own: list[str]) -> np.ndarray:
+    """``grams`` of many words at once: a row each, filled up with ``BUCKETS``."""
+    chars = np.frombuffer("".join([f"<{w}>" for w in own]).encode("utf-32-le"), "<u4")
+    size = np.array([len(w) + 2 for w in own])
+    start = np.cumsum(size) - size
+    at = np.arange(len(chars)) - np.repeat(start, size)  # place in the word
+    left = np.repeat(size, size) - at  # characters from there on
+    row = np.repeat(np.arange(len(own)), size)
+    out = np.full((len(own), sum(int(size.max()) - n + 1 for n in GRAMS)), BUCKETS, np.int64)
+    state, before = np.full(len(chars), 0xFFFFFFFF, np.uint32), np.zeros(len(own), np.int64)
+    for n in range(1, max(GRAMS) + 1):
+        fits = np.flatnonzero(left >= n)
+        state[fits] = _crc_on(state[fits], chars[fits + n - 1])
+        if n in GRAMS:
+            out[row[fits], before[row[fits]] + at[fits]] = ~state[fits] % np.uint32(BUCKETS)
+            before += np.maximum(size - n + 1, 0)
+    return out
+
+
 class WordVectors:
     """Averaged gram vectors of words; those seen first are kept."""
 
     def __init__(self, vectors: np.ndarray, most: int = CACHE_WORDS):
         self.vectors, self.most = vectors, most
+        self.padded = np.concatenate([vectors, np.zeros_like(vectors[:1])])
         self.row: dict[str, int] = {}
         self.kept = np.zeros((1024, vectors.shape[1]), np.float32)
 
+    def of(self, own: list[str]) -> np.ndarray:
+        """The vectors of words; long ones are made one by one, so that a row of places stays short."""
+        out = np.empty((len(own), self.vectors.shape[1]), np.float32)
+        short = [i for i, w in enumerate(own) if len(w) <= LONG_WORD]
+        for i in range(0, len(short), AT_ONCE):
+            at = short[i:i + AT_ONCE]
+            g = grams_of([own[j] for j in at])
+            out[at] = self.padded[g].sum(axis=1) / (g < BUCKETS).sum(axis=1)[:, None].astype(np.float32)
+        for i, w in enumerate(own):
+            if len(w) > LONG_WORD:
+                out[i] = self.vectors[grams(w)].mean(axis=0)
+        return out
+
     def average(self, own: list[str]) -> np.ndarray:
         """Mean of the words' vectors."""
-        rows = list(map(self.row.get, own))
-        if None not in rows:
-            return self.kept[rows].mean(axis=0)
-        total = np.zeros(self.vectors.shape[1], np.float32)
-        for i, r in enumerate(rows):
-            if r is None:
-                w = own[i]
-                rows[i] = self.row.get(w)
-                if rows[i] is None:
-                    v = self.vectors[grams(w)].mean(axis=0)
-                    if len(self.row) < self.most:
-                        if len(self.row) == len(self.kept):
-                            self.kept = np.concatenate([self.kept, np.zeros_like(self.kept)])
-                        rows[i] = self.row[w] = len(self.row)
-                        self.kept[rows[i]] = v
-                    else:
-                        total += v
-        return (total + self.kept[[r for r in rows if r is not None]].sum(axis=0)) / len(own)
+        return self.averages([own])[0]
+
+    def averages(self, texts: list[list[str]]) -> np.ndarray:
+        """Mean of the words' vectors of each text (of one word at least)."""
+        ends = np.cumsum([0, *map(len, texts)]).tolist()
+        own = list(chain.from_iterable(texts))
+        rows = np.fromiter(map(self.row.get, own, repeat(-1)), np.int64, len(own))
+        missing = np.flatnonzero(rows < 0)
+        wanted = [own[i] for i in missing.tolist()]
+        new = {w: k for k, w in enumerate(dict.fromkeys(wanted))}
+        vectors = self.of(list(new))
+        room = list(new)[:max(0, self.most - len(self.row))]
+        first = len(self.row)
+        while first + len(room) > len(self.kept):
+            self.kept = np.concatenate([self.kept, np.zeros_like(self.kept)])
+        self.kept[first:first + len(room)] = vectors[:len(room)]
+        self.row.update(zip(room, range(first, first + len(room))))
+        which = np.fromiter(map(new.get, wanted), np.int64, len(wanted))
+        held = which < len(room)
+        rows[missing[held]] = first + which[held]
+        rows[missing[~held]] = -1 - which[~held]  # of those that found no room
+        out = np.empty((len(texts), vectors.shape[1]), np.float32)
+        for i, (lo, hi) in enumerate(zip(ends, ends[1:])):
+            r = rows[lo:hi]
+            total = self.kept[r[r >= 0]].sum(axis=0)
+            if len(room) < len(new):
+                total = vectors[-1 - r[r < 0]].sum(axis=0) + total
+            out[i] = total / (hi - lo)
+        return out
 
 
 def different(own: list[str]) -> float:
@@ -170,13 +244,26 @@ class Model:
         known = per_process(f"language words {self.key}", lambda: WordVectors(self.vectors))
         hidden = np.zeros((len(texts), self.vectors.shape[1]), np.float32)
         empty, count = [], np.ones(len(texts))
+        held: dict[int, list[str]] = {}
+        n = 0
+
+        def flush() -> None:
+            hidden[list(held)] = known.averages(list(held.values()))
+            held.clear()
+
         for i, text in enumerate(texts):
             own = words(text) if text else []
             if own and self.langs:
-                hidden[i] = known.average(own)
+                held[i] = own
                 count[i] = len(own)
+                n += len(own)
             else:
                 empty.append(i)
+            if n >= HELD_WORDS:
+                flush()
+                n = 0
+        if held:
+            flush()
         if not self.langs:
             return [("und", 0.0, True)] * len(texts)
         p = self.probabilities(hidden)

@@ -1,0 +1,22 @@
+"""n-grams of many words at once."""
+
+import numpy as np
+
+from eventide.llm import language_id as li
+
+
+def test_grams_of_many_words_are_those_of_each():
+    own = ["a", "ab", "straße", "日本語", "x\U0001F600y", "\U00010400", "z" * 40, "ñandú"]
+    got = [[g for g in row if g < li.BUCKETS] for row in li.grams_of(own).tolist()]
+    assert got == [li.grams(w) for w in own]
+
+
+def test_prediction_hashes_no_word_alone(monkeypatch):
+    texts = [" ".join(f"word{chr(97 + i)}{chr(97 + j)}" for j in range(20)) for i in range(20)] + [None, "", "..."]
+    model = li.Model(["en", "xx"], np.random.default_rng(1).random((li.BUCKETS, 3), np.float32), np.ones((3, 2), np.float32))
+    want = [li.WordVectors(model.vectors).average(li.words(t)) for t in texts[:20]]
+    monkeypatch.setattr(li, "grams", lambda w: 1 / 0)
+    monkeypatch.setattr(li, "HELD_WORDS", 50)
+    got = li.WordVectors(model.vectors, 30).averages([li.words(t) for t in texts[:20]])
+    assert np.allclose(got, want, atol=1e-6)
+    assert [p[0] for p in model.predict(texts)][20:] == ["und"] * 3
