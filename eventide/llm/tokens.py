@@ -94,6 +94,8 @@ class WordEncoder:
         return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
 
     def _piece(self, piece: str) -> bytes:
+        if self.keeps_space and piece.isascii() and piece.removeprefix(" ").isalpha():
+            return self._word(piece)
         if PLAIN.fullmatch(piece):
             ids = b"".join(map(self._merge, self.cut(piece.lower() if self.lower else piece)))
         else:
@@ -102,15 +104,31 @@ class WordEncoder:
             self.pieces[piece] = ids
         return ids
 
+    def _word(self, word: str) -> bytes:
+        """ids of a piece that is one pre-token: kept once, among the pieces or, where they are full, the words."""
+        ids = self.merged.get(word)
+        if ids is None:
+            ids = self._model(word)
+            for kept in (self.pieces, self.merged):
+                if len(kept) < self.limit:
+                    kept[word] = ids
+                    break
+        return ids
+
     def _merge(self, word: str) -> bytes:
         ids = self.merged.get(word)
+        if ids is None and self.keeps_space and word.isascii() and word.removeprefix(" ").isalpha():
+            ids = self.pieces.get(word)
         if ids is None:
-            letters = word.encode().decode("latin-1").translate(self.letters)
-            ids = array(self.code, [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+            ids = self._model(word)
             if len(self.merged) < self.limit:
                 self.merged[word] = ids
         return ids
 
+    def _model(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+
 
 #: Fixed value: the pattern of byte-level pre-tokens.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

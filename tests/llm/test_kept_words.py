@@ -1,0 +1,15 @@
+"""Words that the encoder keeps."""
+
+import numpy as np
+import public_tokenizers
+
+from eventide.llm import tokens
+
+
+def test_words_are_kept_once():
+    enc = tokens.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"), cache_pieces=4)
+    text = "alpha beta gamma delta epsilon zeta, beta. 'tis don't eta's x1 one\ntwo Ünï"
+    whole = enc.tokenizer.encode(text, add_special_tokens=False).ids
+    for _ in range(2):
+        assert np.frombuffer(enc.encode([text])[0], enc.dtype).tolist() == whole
+    assert not set(enc.pieces) & set(enc.merged)
