@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -80,3 +81,31 @@ def test_text_stays_valid_and_columns_stay(edge, nothing):
     assert sd.spans(nothing).count() == 0 and sd.deduplicate(nothing).count() == 0
     assert sd.whole_characters("aéé".encode(), [(2, 4)]) == []
     assert sd.whole_characters("aéé".encode(), [(1, 4)]) == [(1, 3)]
+
+
+def test_strands_with_anchors_of_their_own_are_not_written(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    texts = [rng.integers(97, 123, 1_200, np.uint8).tobytes() for _ in range(40)]
+    texts.append(texts[0][300:900] + texts[1][:500])
+    docs = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id long, text string")
+    docs = sd.written(docs, "test-strands")
+    rows, plain = {}, sd.written
+
+    def counted(df, name, **options):
+        out = plain(df, name, **options)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(sd, "written", counted)
+    got = [r["text"].encode() for r in sd.deduplicate(docs, 101, gram=32).orderBy("doc_id").collect()]
+    want = [texts[0][:300] + texts[0][900:], texts[1][500:], *texts[2:40], b""]
+    assert got == want
+    every = list(sd.strands(texts, 101, 32))
+    keys, times = sd.strand_keys(texts, 101, 32)
+    assert dict(zip(keys.tolist(), times.tolist())) == dict(Counter(s[-1] for s in every))
+    assert 0 < max(rows.values()) < len(every) / 5
+
+
+def test_texts_are_dealt_out_once(edge):
+    plan = sd.deduplicate(edge)._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS body" not in plan[plan.index("Join LeftOuter"):].split("Aggregate")[0]
