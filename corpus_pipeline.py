@@ -2,7 +2,7 @@
 
 Stages take (spark, docs, sf_dir) and return the columns of ``documents``; the
 last one returns the packed sequences' pieces.  A stage's result is written
-as a table before the next one reads it.
+as a table before the next one reads it, and goes when the next one's is written.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.llm import exact_dedup, jaccard_join, language_id, packing, suffix_dedup
-from eventide.llm.common import table, written
+from eventide.llm.common import removed, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 VOCABULARY, END_ID, CAPACITY = "word_bpe_49k.json", 2, 4_096
@@ -60,7 +60,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, made = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        removed(*made)
+        made = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import written
+from eventide.llm.common import removed, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -21,6 +21,7 @@ def connected(links: DataFrame) -> DataFrame:
     round is two aggregates and two joins over the links; links and smallest
     neighbours are written, so an executor that is lost costs one step at most,
     and the joins are of plain exchanges, which Spark splits where a node is hot.
+    Those of a round go when it ends.
     """
     edges = (links.where(F.col("a") != F.col("b"))
              .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
@@ -36,10 +37,12 @@ def connected(links: DataFrame) -> DataFrame:
         large = (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u != v").distinct())
         large = written(large, "components-large")
+        removed(edges, least)
         # Small star: smaller neighbours, and the node itself, move to the smallest of them.
         least = written(large.groupBy("u").agg(F.min("v").alias("m")), "components-least")
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
                  .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         edges = written(small, "components")
+        removed(large, least)
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import per_process, shards, written
+from eventide.llm.common import per_process, removed, shards, written
 from eventide.llm.components import connected
 from eventide.llm.exact_dedup import addressed, from_files
 
@@ -307,9 +307,10 @@ def _untested(met: DataFrame, x: str, y: str, tested: DataFrame, num: int, den:
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     """Components by ``roots`` after further ``links``."""
-    if links.isEmpty():
-        return roots
-    return connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
+    if not links.isEmpty():
+        roots = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
+    removed(links)
+    return roots
 
 
 def _mixed(keyed: DataFrame, sketches: DataFrame, roots: DataFrame) -> DataFrame:
@@ -320,8 +321,11 @@ def _mixed(keyed: DataFrame, sketches: DataFrame, roots: DataFrame) -> DataFrame
     keys = (keyed.join(nodes, "d0").groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key")
             .agg(F.max_by("root", F.struct("c", "root")).alias("most"), F.count(F.lit(1)).alias("roots"))
             .where("roots > 1").select("key", "most"))
-    placed = keyed.join(written(keys, "jaccard-mixed"), "key").join(nodes, "d0")
-    return written(placed.select("key", "m", "root", (F.col("root") != F.col("most")).alias("outside")), "jaccard-placed")
+    keys = written(keys, "jaccard-mixed")
+    placed = keyed.join(keys, "key").join(nodes, "d0")
+    placed = written(placed.select("key", "m", "root", (F.col("root") != F.col("most")).alias("outside")), "jaccard-placed")
+    removed(keys)
+    return placed
 
 
 def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
@@ -359,11 +363,16 @@ def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_co
     # (Written first: a join of two plain exchanges is one that Spark splits where a key is hot.)
     pivots = written(keyed.groupBy("key").agg(F.min("d0").alias("p0")), "jaccard-pivots")
     # A pair comes from many keys: sketches are fetched once per pair, not once per key and member.
-    star = written(keyed.join(pivots, "key").where("d0 != p0").select("d0", "p0").distinct(), "jaccard-star")
+    pairs = written(keyed.join(pivots, "key").where("d0 != p0").select("d0", "p0").distinct(), "jaccard-star")
+    removed(pivots)
     side = lambda d0, m: sketches.select(F.col("d0").alias(d0), F.struct(*info).alias(m))
-    star = star.join(side("d0", "m"), "d0").join(side("p0", "p"), "p0").where(_possible("m", "p", num, den))
+    star = pairs.join(side("d0", "m"), "d0").join(side("p0", "p"), "p0").where(_possible("m", "p", num, den))
     tested = written(star.select(*_pair("m", "p")), "jaccard-pairs")
-    roots = connected(written(verified(tested, bodies, num, den), "jaccard-links", batch_rows=PAIR_ROWS))
+    removed(pairs)
+    compared = [tested]
+    links = written(verified(tested, bodies, num, den), "jaccard-links", batch_rows=PAIR_ROWS)
+    roots = connected(links)
+    removed(links)
 
     # Rounds of drawn pivots: keys differ in theirs, so the components of a group of near copies merge
     # at a cost in proportion to the members, before any two sides of a key are joined.
@@ -376,6 +385,8 @@ def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_co
                        "jaccard-drawn")
         met = placed.join(ends.select("key", F.explode(F.array("few", "most")).alias("p")), "key").where("root != p.root")
         late = _untested(met.select("m", F.col("p.m").alias("p")), "m", "p", tested, num, den)
+        removed(placed, ends)
+        compared.append(late)
         if late.isEmpty():
             continue
         tested = tested.unionByName(late)
@@ -386,13 +397,16 @@ def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_co
     few = placed.where("outside").select("key", F.col("m").alias("x"), F.col("root").alias("rx"))
     others = placed.select("key", F.col("m").alias("y"), F.col("root").alias("ry"))
     late = _untested(few.join(others, "key").where("rx != ry"), "x", "y", tested, num, den)
+    removed(placed, keyed, sketches)
     if not late.isEmpty():
         roots = _joined(roots, written(verified(late, bodies, num, den), "jaccard-late-links", batch_rows=PAIR_ROWS))
+    removed(bodies, late, *compared)
 
     # Per class, then per component, then per row.
     rooted = classes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("least").alias("first"))
     first = written(rooted.select("node", "root").join(least, "root").select("node", "first"), "jaccard-first")
+    removed(classes)
     out = rows.select("id", "fh", "ri", "n", "node").join(first, "node", "left")
     kept = F.coalesce((F.col("fh") == F.col("first.fh")) & (F.col("ri") == F.col("first.ri")), F.lit(True))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
