@@ -15,9 +15,12 @@
    is lost.  Bands with D = 1 use the parities of the set with one token left
    out; with D = 0 only equal sets link, which are one class already.
 3. Candidates of a key are compared with the key's pivot, not with each other;
-   short bit sketches (parity of the tokens per bit) whose Hamming distance
+   bit sketches (parity of the tokens per bit) whose Hamming distance
    exceeds D, or sizes too far apart, rule a pair out before the sets are
-   fetched.  Then connected components.  In keys that hold several, two more
+   fetched: short sketches first, then, for large sets, whose D is beyond what
+   a short sketch can show, wide ones of a bit per token or more.  Sets are
+   fetched for what is left of the pairs, in each round for its own, and go
+   when they are compared.  Then connected components.  In keys that hold several, two more
    pivots are drawn by a hash of key and member, one in the largest component and one outside;
    at last, members that are not in their key's largest component are compared
    with the members of other components.
@@ -61,11 +64,11 @@ HELD_KEYS = 500_000
 BUCKET_KEYS, LEAST_BUCKETS = 500_000, 256
 #: Rounds of drawn pivots, after the first and before what is left is joined.
 PIVOT_ROUNDS = 1
-#: 64-bit words of the short bit sketch.
+#: 64-bit words of the short bit sketch.  Sets with more tokens than it has bits have a wide one, too.
 SKETCH = 16
 
 _SKETCH = [f"s{i}" for i in range(SKETCH)]
-_SETS = "id long, fh long, ri long, n long, d0 long, node binary, " + ", ".join(f"{s} long" for s in _SKETCH)
+_SETS = "id long, fh long, ri long, n long, d0 long, node binary, wide array<long>, " + ", ".join(f"{s} long" for s in _SKETCH)
 
 
 class Similarity:
@@ -170,12 +173,20 @@ def part_keys(tokens: np.ndarray, sim: Similarity) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def bit_sketch(tokens: np.ndarray) -> np.ndarray:
-    """Parity of the tokens per bit, as ``SKETCH`` 64-bit words."""
-    bits = np.bincount((tokens % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+def bit_sketch(tokens: np.ndarray, words: int = SKETCH) -> np.ndarray:
+    """Parity of the tokens per bit, as ``words`` 64-bit words.  The XOR of its halves is the sketch of half as many."""
+    bits = np.bincount((tokens % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(tokens: np.ndarray) -> np.ndarray | None:
+    """The sketch of the first doubling of ``SKETCH`` words that has a bit per token; none if that is the short one."""
+    words = SKETCH
+    while 64 * words < len(tokens):
+        words *= 2
+    return bit_sketch(tokens, words) if words > SKETCH else None
+
+
 def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     both = np.concatenate([a, b])
     both.sort()
@@ -191,7 +202,7 @@ def sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                n, d0, node = [], [], []
+                n, d0, node, wide = [], [], [], []
                 sketch = np.zeros((part.num_rows, SKETCH), np.int64)
                 for i, text in enumerate(part["body"].to_pylist()):
                     tokens = make.set_of(text, width)
@@ -199,11 +210,13 @@ def sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
                     n.append(len(tokens))
                     d0.append(int.from_bytes(digest[:8], "little", signed=True))
                     node.append(digest)
+                    wide.append(wide_sketch(tokens))
                     sketch[i] = bit_sketch(tokens)
                 yield pa.RecordBatch.from_arrays(
                     [part["id"], part["fh"], part["ri"], pa.array(n, pa.int64()), pa.array(d0, pa.int64()),
-                     pa.array(node, pa.binary()), *(pa.array(sketch[:, i]) for i in range(SKETCH))],
-                    ["id", "fh", "ri", "n", "d0", "node", *_SKETCH])
+                     pa.array(node, pa.binary()), pa.array(wide, pa.list_(pa.int64())),
+                     *(pa.array(sketch[:, i]) for i in range(SKETCH))],
+                    ["id", "fh", "ri", "n", "d0", "node", "wide", *_SKETCH])
 
     return written(_texts(docs, id_col, text_col).mapInArrow(run, _SETS), "jaccard-sets", batch_rows=TEXT_ROWS)
 
@@ -281,6 +294,45 @@ def _possible(a: str, b: str, num: int, den: int) -> Column:
     return (small * den >= large * num) & (apart * (num + den) <= (small + large) * (den - num))
 
 
+def _halved(sketch: Column) -> Column:
+    half = (F.size(sketch) / 2).cast("int")
+    return F.zip_with(F.slice(sketch, 1, half), F.slice(sketch, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+
+
+def narrowed(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """``pairs`` (a, b), of sizes that do not rule a link out, without those that the wide sketches of both rule out."""
+    side = lambda node, m: (classes.where("wide IS NOT NULL")
+                            .select(F.col("node").alias(node), F.struct("n", "wide").alias(m)))
+    met = pairs.join(side("a", "x"), "a", "left").join(side("b", "y"), "b", "left")
+    for _ in range(math.ceil(math.log2(den / num))):  # sizes differ by that factor at most: sketches by as many doublings
+        x, y = F.col("x.wide"), F.col("y.wide")
+        met = met.select("a", "b", F.struct("x.n", F.when(F.size(x) > F.size(y), _halved(x)).otherwise(x).alias("wide")).alias("x"),
+                         F.struct("y.n", F.when(F.size(y) > F.size(x), _halved(y)).otherwise(y).alias("wide")).alias("y"))
+    unequal = F.zip_with("x.wide", "y.wide", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long"))
+    apart = F.aggregate(unequal, F.lit(0).cast("long"), lambda total, n: total + n)
+    possible = apart * (num + den) <= (F.col("x.n") + F.col("y.n")) * (den - num)
+    return met.where(F.coalesce(possible, F.lit(True))).select("a", "b")
+
+
+def sets_of(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(node, tokens): the sets of the classes in ``pairs``, one copy each (a written table)."""
+
+    def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = shingler()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                tokens = [make.set_of(t.as_py(), width).tobytes() for t in part["body"]]
+                yield pa.RecordBatch.from_arrays([part["node"], pa.array(tokens, pa.binary())], ["node", "tokens"])
+
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = written(nodes.join(classes.select("node", "r.fh", "r.ri"), "node"), "jaccard-wanted")
+    bodies = written(texts.join(wanted, ["fh", "ri"]).select("node", "body").mapInArrow(load, "node binary, tokens binary"),
+                     "jaccard-bodies", batch_rows=TEXT_ROWS)
+    removed(wanted)
+    return bodies
+
+
 def verified(pairs: DataFrame, bodies: DataFrame, num: int, den: int) -> DataFrame:
     """The linked ones of ``pairs`` (a, b), compared on their sets."""
 
@@ -299,10 +351,10 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.greatest(f"{x}.node", f"{y}.node").alias("a"), F.least(f"{x}.node", f"{y}.node").alias("b")]
 
 
-def _untested(met: DataFrame, x: str, y: str, tested: DataFrame, num: int, den: int) -> DataFrame:
+def _untested(met: DataFrame, x: str, y: str, tested: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs of ``met`` that may be links and were not compared yet (a written table)."""
     pairs = met.where(_possible(x, y, num, den)).select(*_pair(x, y)).distinct()
-    return written(pairs.join(tested, ["a", "b"], "left_anti"), "jaccard-late")
+    return written(narrowed(pairs.join(tested, ["a", "b"], "left_anti"), classes, num, den), "jaccard-late")
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -338,26 +390,20 @@ def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_co
     info = ["node", "n", *_SKETCH]
     address = F.min(F.struct("fh", "ri")).alias("r")
     classes = written(rows.where("n > 0").groupBy("d0", *info).agg(
-        F.min(F.struct(F.col("id").isNull().alias("last"), "id", "fh", "ri")).alias("least"), address), "jaccard-classes")
+        F.min(F.struct(F.col("id").isNull().alias("last"), "id", "fh", "ri")).alias("least"), address,
+        F.max("wide").alias("wide")), "jaccard-classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
     buckets = buckets or shards(total // 2, BUCKET_KEYS, LEAST_BUCKETS)
     keyed = shared_keys(texts, width, num, den, buckets)
 
     # Classes that share a key, with their sketches; members of keys are their 64-bit names alone.
-    sketches = written(keyed.select("d0").distinct().join(classes.select("d0", *info, "r"), "d0"), "jaccard-sketches")
-    # The sets of all candidates, one copy each.
-    wanted = sketches.select("node", F.col("r.fh").alias("fh"), F.col("r.ri").alias("ri"))
+    sketches = written(keyed.select("d0").distinct().join(classes.select("d0", *info), "d0"), "jaccard-sketches")
 
-    def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = shingler()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                tokens = [make.set_of(t.as_py(), width).tobytes() for t in part["body"]]
-                yield pa.RecordBatch.from_arrays([part["node"], pa.array(tokens, pa.binary())], ["node", "tokens"])
-
-    bodies = written(texts.join(wanted, ["fh", "ri"]).select("node", "body").mapInArrow(load, "node binary, tokens binary"),
-                     "jaccard-bodies", batch_rows=TEXT_ROWS)
+    def linked(pairs: DataFrame) -> DataFrame:
+        bodies = sets_of(pairs, classes, texts, width)
+        links = written(verified(pairs, bodies, num, den), "jaccard-links", batch_rows=PAIR_ROWS)
+        removed(bodies)
+        return links
 
     # Round 1: members against their key's pivot.
     # (Written first: a join of two plain exchanges is one that Spark splits where a key is hot.)
@@ -367,10 +413,10 @@ def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_co
     removed(pivots)
     side = lambda d0, m: sketches.select(F.col("d0").alias(d0), F.struct(*info).alias(m))
     star = pairs.join(side("d0", "m"), "d0").join(side("p0", "p"), "p0").where(_possible("m", "p", num, den))
-    tested = written(star.select(*_pair("m", "p")), "jaccard-pairs")
+    tested = written(narrowed(star.select(*_pair("m", "p")), classes, num, den), "jaccard-pairs")
     removed(pairs)
     compared = [tested]
-    links = written(verified(tested, bodies, num, den), "jaccard-links", batch_rows=PAIR_ROWS)
+    links = linked(tested)
     roots = connected(links)
     removed(links)
 
@@ -384,23 +430,27 @@ def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_co
                                                  F.min_by(end, F.when(~F.col("outside"), drawn)).alias("most")),
                        "jaccard-drawn")
         met = placed.join(ends.select("key", F.explode(F.array("few", "most")).alias("p")), "key").where("root != p.root")
-        late = _untested(met.select("m", F.col("p.m").alias("p")), "m", "p", tested, num, den)
+        late = _untested(met.select("m", F.col("p.m").alias("p")), "m", "p", tested, classes, num, den)
         removed(placed, ends)
         compared.append(late)
         if late.isEmpty():
             continue
         tested = tested.unionByName(late)
-        roots = _joined(roots, written(verified(late, bodies, num, den), "jaccard-links", batch_rows=PAIR_ROWS))
+        roots = _joined(roots, linked(late))
 
     # Last round: in keys that still hold several components, what is not in the largest one against the others.
     placed = _mixed(keyed, sketches, roots)
-    few = placed.where("outside").select("key", F.col("m").alias("x"), F.col("root").alias("rx"))
-    others = placed.select("key", F.col("m").alias("y"), F.col("root").alias("ry"))
-    late = _untested(few.join(others, "key").where("rx != ry"), "x", "y", tested, num, den)
-    removed(placed, keyed, sketches)
-    if not late.isEmpty():
-        roots = _joined(roots, written(verified(late, bodies, num, den), "jaccard-late-links", batch_rows=PAIR_ROWS))
-    removed(bodies, late, *compared)
+    if placed.isEmpty():  # no key does, and no rows to free
+        removed(keyed, sketches)
+    else:
+        few = placed.where("outside").select("key", F.col("m").alias("x"), F.col("root").alias("rx"))
+        others = placed.select("key", F.col("m").alias("y"), F.col("root").alias("ry"))
+        late = _untested(few.join(others, "key").where("rx != ry"), "x", "y", tested, classes, num, den)
+        removed(placed, keyed, sketches)
+        compared.append(late)
+        if not late.isEmpty():
+            roots = _joined(roots, linked(late))
+    removed(*compared)
 
     # Per class, then per component, then per row.
     rooted = classes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
